@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,3 +52,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/cardloom-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives the executors this package, unless their Python path has it already."""
+    package = Path(__file__).resolve().parents[1]
+    context = spark.sparkContext
+    on_path = [os.path.realpath(p) for p in os.environ.get("PYTHONPATH", "").split(":") if p]
+    name = f"{package.name}.zip"
+    if str(package.parent) in on_path or any(f.endswith(name) for f in context._python_includes):
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="spark-"), name)
+    with zipfile.ZipFile(path, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(path)

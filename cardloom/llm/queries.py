@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from cardloom.llm import quality_rules
+from cardloom.llm import packing, quality_rules, token_counts
 from cardloom.llm.common import table
 
 
@@ -14,8 +13,25 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    """Where the public tokenizer files are installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op8_token_counts": op8_token_counts,
+    "op9_packing": op9_packing,
 }
 
 ORACLES: dict[str, str] = {}
