@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardloom.llm import packing, quality_rules, token_counts
+from cardloom.llm import packing, quality_rules, token_counts, warc
 from cardloom.llm.common import table
 
 
@@ -28,8 +28,13 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_warc": op3_warc,
     "op8_token_counts": op8_token_counts,
     "op9_packing": op9_packing,
 }
