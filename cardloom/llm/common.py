@@ -26,8 +26,29 @@ def words_of(text: Column) -> Column:
 
 
 def ascii_lower(text: Column) -> Column:
-    """Lower-cases A-Z and leaves every other character as it is."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    """Lower-cases A-Z and leaves every other character as it is.
+
+    Where every character is one byte, ``lower`` does just that, and faster.
+    """
+    slow = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(slow)
+
+
+def shingles_of(words: Column, size: int) -> Column:
+    """Hashes of the windows of ``size`` words of a column of words, repeats and
+    all; of a shorter text, one hash of all its words; of none, none."""
+    windows = F.transform(words, lambda w, i: F.xxhash64(w, *[F.get(words, i + k) for k in range(1, size)]))
+    return F.when(F.size(words) >= size, F.slice(windows, 1, F.greatest(F.size(words) - (size - 1), F.lit(0)))).when(F.size(words) > 0, F.array(F.xxhash64(words))).otherwise(F.array().cast("array<long>"))
+
+
+def where_computed(df: DataFrame, condition: str) -> DataFrame:
+    """Filters after the columns are made.
+
+    Moved below the projections, a condition on a column that comes from lambdas
+    over arrays would be evaluated again, arrays included, for every element; the
+    optimizer moves nothing below a column that isn't deterministic.
+    """
+    return df.withColumn("_at", F.monotonically_increasing_id()).filter(f"({condition}) and _at >= 0").drop("_at")
 
 
 def shared_folder(spark: SparkSession) -> str:

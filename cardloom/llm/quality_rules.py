@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardloom.llm.common import words_of
+from cardloom.llm.common import where_computed, words_of
 
 SYMBOLS = "[#*$%&|<>]"
 
@@ -103,4 +103,4 @@ def keep_good(docs: DataFrame, text: str = "text", **rules) -> DataFrame:
     """The rows of ``docs`` that pass, with their own columns only."""
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     judged = judge(docs.select(whole, F.col(text).alias("_text")), "_text", **rules)
-    return judged.filter("kept").select("_row.*")
+    return where_computed(judged.select("_row", "kept"), "kept").select("_row.*")
