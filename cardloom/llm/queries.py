@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardloom.llm import minhash, packing, quality_rules, token_counts, warc
+from cardloom.llm import minhash, packing, pii, quality_rules, token_counts, warc
 from cardloom.llm.common import table
 
 
@@ -36,12 +36,17 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.spans_of(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op3_warc": op3_warc,
     "op4_minhash": op4_minhash,
     "op8_token_counts": op8_token_counts,
     "op9_packing": op9_packing,
+    "op10_pii": op10_pii,
 }
 
 ORACLES: dict[str, str] = {}
