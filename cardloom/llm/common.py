@@ -41,6 +41,17 @@ def shingles_of(words: Column, size: int) -> Column:
     return F.when(F.size(words) >= size, F.slice(windows, 1, F.greatest(F.size(words) - (size - 1), F.lit(0)))).when(F.size(words) > 0, F.array(F.xxhash64(words))).otherwise(F.array().cast("array<long>"))
 
 
+def text_keys(text: Column) -> list[Column]:
+    """Two hashes that stand for a text in joins."""
+    return [F.xxhash64(text).alias("key_a"), F.xxhash64(F.lit(1), text).alias("key_b")]
+
+
+def small_if_checked(df: DataFrame, most_rows: int = 200_000) -> DataFrame:
+    """``df``, to be broadcast only if it is counted to have at most that many rows
+    (of a few numbers each); any other join strategy is left to Spark."""
+    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
+
+
 def where_computed(df: DataFrame, condition: str) -> DataFrame:
     """Filters after the columns are made.
 

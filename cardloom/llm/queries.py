@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardloom.llm import minhash, packing, pii, quality_rules, token_counts, warc
+from cardloom.llm import decontaminate, minhash, packing, pii, quality_rules, token_counts, warc
 from cardloom.llm.common import table
 
 
@@ -40,10 +40,15 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.spans_of(table(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op3_warc": op3_warc,
     "op4_minhash": op4_minhash,
+    "op6_decontamination": op6_decontamination,
     "op8_token_counts": op8_token_counts,
     "op9_packing": op9_packing,
     "op10_pii": op10_pii,
