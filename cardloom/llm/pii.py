@@ -196,9 +196,9 @@ class Boosted:
 
 def train(docs: DataFrame, text: str = "text", **options) -> Boosted:
     """Trees from the candidates of all documents."""
-    found = with_candidates(docs.select(F.col(text).alias("text"))).select(F.explode("candidates").alias("c"))
+    found = with_candidates(docs.select(F.col(text).alias("text"))).select(F.explode_outer("candidates").alias("c"))
     counts = found.groupBy("c.mask").agg(F.count("*").alias("n"), F.count_if("c.good").alias("g"))
-    return Boosted([(r.mask, r.n, r.g) for r in counts.collect()], **options)  # at most 2 ** len(FEATURES) rows
+    return Boosted([(r.mask, r.n, r.g) for r in counts.collect() if r.mask is not None], **options)  # at most 2 ** len(FEATURES) rows
 
 
 def valid_spans(kind: str) -> Column:
