@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardloom.llm import decontaminate, minhash, packing, pii, quality_rules, token_counts, warc
+from cardloom.llm import decontaminate, language_id, minhash, packing, pii, quality_rules, token_counts, warc
 from cardloom.llm.common import table
 
 
@@ -44,11 +44,16 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op3_warc": op3_warc,
     "op4_minhash": op4_minhash,
     "op6_decontamination": op6_decontamination,
+    "op7_language_id": op7_language_id,
     "op8_token_counts": op8_token_counts,
     "op9_packing": op9_packing,
     "op10_pii": op10_pii,
