@@ -31,12 +31,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardloom.llm.common import ascii_lower, shingles_of, ship, words_of, written
+from cardloom.llm.common import ascii_lower, shingles_of, ship, small_if_checked, words_of, written
 from cardloom.llm.components import components
 
 #: Nodes of a bucket in one block.
 BLOCK = 512
 ROWS = 4
+#: Parts into which the copies of one set are dealt when they look up their node.
+SALTS = 32
 
 
 def bands_for(percent: int, miss: float = 1e-6) -> int:
@@ -154,11 +156,14 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_column
     ship(docs.sparkSession)
     docs = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
     signed = written(signatures(with_sets(docs, size), bands_for(percent)), "signatures")
-    same = signed.filter("n_shingles > 0").groupBy("key_a", "key_b").agg(F.min("doc_id").alias("node"))
-    members = signed.select("doc_id", "n_shingles", "key_a", "key_b").join(same, ["key_a", "key_b"], "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("node", "doc_id")).alias("node"))
-
-    nodes = signed.join(same, ["key_a", "key_b"]).filter(F.col("doc_id") == F.col("node"))
-    buckets = nodes.select("node", F.explode("buckets").alias("bucket"))
+    same = signed.filter("n_shingles > 0").groupBy("key_a", "key_b").agg(F.min("doc_id").alias("node"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    salted = signed.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
+    salts = same.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    noded = salted.join(salts, ["key_a", "key_b", "salt"], "left").withColumn("node", F.when(F.col("doc_id").isNotNull(), F.coalesce("node", "doc_id")))
+    noded = written(noded.select("doc_id", "n_shingles", "node", F.when(F.col("doc_id") == F.col("node"), F.col("buckets")).alias("buckets")), "nodes")
+    members = noded.select("doc_id", "n_shingles", "node")
+
+    buckets = noded.filter("doc_id = node").select("node", F.explode("buckets").alias("bucket"))
     heads = buckets.groupBy("bucket").agg(F.min("node").alias("head"), F.max("node").alias("last")).filter("head < last").drop("last")
     crowded = written(buckets.join(heads, "bucket").distinct(), "crowded")
     wanted = crowded.select(F.col("node").alias("doc_id")).distinct()
@@ -173,3 +178,16 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_column
     joined = members.join(first, "node", "left").withColumn("label", F.coalesce("label", "node")).join(second, "label", "left")
     component = F.coalesce("further", "label")
     return joined.select(F.col("doc_id").alias(id_column), "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def without_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` with one document of each group, the smallest id; of rows
+    that repeat an id one stays.  Rows without id all stay."""
+    found = written(near_duplicates(docs, size, percent, id_column, text).select(F.col(id_column).alias("_id"), "kept"), "kept")
+    dropped = found.filter("not kept").select("_id").distinct()
+    repeated = found.filter("_id is not null").groupBy("_id").count().filter("count > 1").select("_id")
+    own = F.col(f"`{id_column}`").cast("long")
+    left = docs.withColumn("_id", own).join(small_if_checked(dropped), "_id", "left_anti")
+    repeated = small_if_checked(written(repeated, "repeated"))
+    once = left.join(repeated, "_id", "left_anti").unionByName(left.join(repeated, "_id", "left_semi").dropDuplicates(["_id"]))
+    return once.select(*[F.col(f"`{c}`") for c in docs.columns])
