@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardloom.llm import decontaminate, language_id, minhash, packing, pii, quality_rules, token_counts, warc
+from cardloom.llm import decontaminate, language_id, minhash, ngram_quality, packing, pii, quality_rules, token_counts, warc
 from cardloom.llm.common import table
 
 
@@ -48,10 +48,15 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op3_warc": op3_warc,
     "op4_minhash": op4_minhash,
+    "op5_quality_classifier": op5_quality_classifier,
     "op6_decontamination": op6_decontamination,
     "op7_language_id": op7_language_id,
     "op8_token_counts": op8_token_counts,
