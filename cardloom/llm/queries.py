@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardloom.llm import decontaminate, language_id, minhash, ngram_quality, packing, pii, quality_rules, token_counts, warc
+from cardloom.llm import decontaminate, language_id, masked_lm, minhash, ngram_quality, packing, pii, quality_rules, token_counts, warc
 from cardloom.llm.common import table
 
 
@@ -52,8 +52,13 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return masked_lm.pseudo_likelihood(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_warc": op3_warc,
     "op4_minhash": op4_minhash,
     "op5_quality_classifier": op5_quality_classifier,
