@@ -1,4 +1,479 @@
-"""The catalogue jobs bound to the test tables."""
+"""The catalogue operators bound to the test tables, each with its SQL.
 
-QUERIES = {}
+The tables stand in for the catalogue's: a part for a card or a product, a line
+item for a printing, a supplier for a set, an event for a price entry, an order for
+a deck, a conversation turn for a face.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cardloom.functions.text import normalize_name
+from cardloom.functions.values import date_or_null
+from cardloom.operators import cards, decks, latest, ledger, links, market, merge, quality, tags
+from cardloom.sources import schemas
+from cardloom.sources.storage import Snapshots, shared_folder, table
+from cardloom.streaming import latest_prices
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None) -> Callable:
+    """Registers a query under its function's name, with its SQL."""
+
+    def register(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return register
+
+
+def clock(column: str | Column) -> Column:
+    return F.date_format(column, "yyyy-MM-dd HH:mm:ss")
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem")
+
+
+@query("""
+    WITH newest AS (SELECT user_id, event_id, value, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events)
+    SELECT l_orderkey, l_linenumber, l_suppkey, p_partkey AS id_product, p_name, value AS price, strftime(ts, '%Y-%m-%d %H:%M:%S') AS captured_at
+    FROM lineitem JOIN part ON p_partkey = l_partkey JOIN newest ON user_id = l_partkey AND n = 1""")
+def latest_price_by_printing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part")
+    printings = _lines(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_suppkey", F.col("l_partkey").alias("card_id"), F.col("l_partkey").alias("cardmarket_id"))
+    entries = table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.col("user_id").alias("id_product"), F.col("ts").alias("captured_at"), F.col("value").alias("price"))
+    view = latest.latest_prices(printings, part.select(F.col("p_partkey").alias("card_id"), "p_name"), part.select(F.col("p_partkey").alias("id_product")), entries)
+    return view.select("l_orderkey", "l_linenumber", "l_suppkey", "id_product", "p_name", "price", clock("captured_at").alias("captured_at"))
+
+
+@query("""
+    SELECT user_id, event_type, event_id, value, strftime(ts, '%Y-%m-%d %H:%M:%S') AS captured_at FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""")
+def latest_entry_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    newest = latest.latest_of_each(table(spark, sf_dir, "events"), ["user_id", "event_type"], "ts", "event_id")
+    return newest.select("user_id", "event_type", "event_id", "value", clock("ts").alias("captured_at"))
+
+
+@query("""
+    SELECT event_type AS file_type, user_id % 7 AS kind, event_id AS id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS started_at FROM events WHERE value > 20
+    QUALIFY row_number() OVER (PARTITION BY event_type, user_id % 7 ORDER BY ts DESC, event_id DESC) = 1""")
+def last_successful_import(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events")
+    log = events.select(F.concat_ws("/", "event_type", F.col("user_id") % 7).alias("file_type"), F.col("event_type").alias("type"), (F.col("user_id") % 7).alias("kind"), F.col("event_id").alias("id"), F.col("ts").alias("started_at"), F.when(F.col("value") > 20, "success").otherwise("failed").alias("status"))
+    return ledger.last_successes(log).select(F.col("type").alias("file_type"), "kind", "id", clock("started_at").alias("started_at"))
+
+
+_PRINTING = """
+    SELECT l_partkey AS card_id, l_suppkey % 9 = 0 AS digital, CASE WHEN l_suppkey % 10 = 1 THEN 'sld' WHEN l_suppkey % 10 = 2 THEN NULL ELSE 'set' || l_suppkey END AS set_code,
+           CASE WHEN l_linenumber = 3 THEN NULL WHEN l_returnflag = 'N' THEN 'en' ELSE 'fr' END AS lang, CASE WHEN l_quantity = 7 THEN NULL ELSE l_shipdate END AS released_at,
+           l_orderkey * 100000000 + l_suppkey * 1000 + l_linenumber * 100 + l_quantity AS id FROM lineitem"""
+
+
+def _printings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    l = _lines(spark, sf_dir)  # noqa: E741
+    supplier = F.col("l_suppkey")
+    return l.select(
+        F.col("l_partkey").alias("card_id"),
+        (supplier % 9 == 0).alias("digital"),
+        F.when(supplier % 10 == 1, "sld").when(supplier % 10 != 2, F.concat(F.lit("set"), supplier.cast("string"))).alias("set_code"),
+        F.when(F.col("l_linenumber") != 3, F.when(F.col("l_returnflag") == "N", "en").otherwise("fr")).alias("lang"),
+        F.when(F.col("l_quantity") != 7, F.col("l_shipdate")).alias("released_at"),
+        (F.col("l_orderkey") * 100000000 + supplier * 1000 + F.col("l_linenumber") * 100 + F.col("l_quantity").cast("long")).alias("id"),
+    )
+
+
+@query(f"""
+    SELECT card_id, set_code, lang, strftime(released_at, '%Y-%m-%d') AS released_at, id::BIGINT AS id FROM ({_PRINTING}) WHERE NOT digital AND set_code NOT IN ('sld', 'ptc', 'plist')
+    QUALIFY row_number() OVER (PARTITION BY card_id ORDER BY (lang = 'en') DESC NULLS FIRST, released_at DESC NULLS FIRST, id) = 1""")
+def best_printing_per_card(spark: SparkSession, sf_dir: str) -> DataFrame:
+    best = latest.printing_for_tags(_printings(spark, sf_dir))
+    return best.select("card_id", "set_code", "lang", F.date_format("released_at", "yyyy-MM-dd").alias("released_at"), "id")
+
+
+@query(f"""
+    SELECT card_id, id::BIGINT AS id FROM ({_PRINTING}) WHERE NOT digital AND set_code NOT IN ('sld', 'ptc', 'plist') AND card_id NOT IN (SELECT user_id FROM events)
+    QUALIFY row_number() OVER (PARTITION BY card_id ORDER BY (lang = 'en') DESC NULLS FIRST, released_at DESC NULLS FIRST, id) = 1
+    ORDER BY card_id LIMIT 50""")
+def tag_work_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 50 cards without a tag; the limit is the feature."""
+    untagged = links.without_children(_printings(spark, sf_dir), table(spark, sf_dir, "events"), "card_id", "user_id")
+    return latest.printing_for_tags(untagged, limit=50).select("card_id", "id")
+
+
+@query("SELECT p_partkey, p_name FROM part WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_quantity > 48)")
+def cards_without_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return links.without_children(table(spark, sf_dir, "part"), _lines(spark, sf_dir).filter("l_quantity > 48"), "p_partkey", "l_partkey").select("p_partkey", "p_name")
+
+
+@query("""
+    WITH p AS (SELECT *, CASE WHEN l_quantity > 25 THEN l_orderkey END AS market_id, CASE WHEN l_suppkey % 10 <> 0 THEN l_suppkey END AS set_code FROM lineitem)
+    SELECT l_orderkey, l_partkey, l_linenumber, set_code, CASE WHEN set_code IS NULL THEN market_id ELSE coalesce(market_id, min(market_id) OVER (PARTITION BY l_partkey, set_code)) END AS market_id FROM p""")
+def propagate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    printings = _lines(spark, sf_dir).select("l_orderkey", "l_partkey", "l_linenumber", F.when(F.col("l_suppkey") % 10 != 0, F.col("l_suppkey")).alias("set_code"), F.when(F.col("l_quantity") > 25, F.col("l_orderkey")).alias("market_id"))
+    return links.propagate(printings, ["l_partkey", "set_code"], "market_id")
+
+
+@query("SELECT event_id, CASE WHEN p_partkey IS NOT NULL THEN user_id END AS id_product, value FROM events LEFT JOIN part ON p_partkey = user_id AND p_size > 25")
+def null_out_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("id_product"), "value")
+    return links.null_out_unknown(entries, "id_product", table(spark, sf_dir, "part").filter("p_size > 25"), "p_partkey")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)")
+def fk_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, bad = links.split_by_reference(_lines(spark, sf_dir), "l_suppkey", table(spark, sf_dir, "supplier").filter("s_acctbal > 0"), "s_suppkey")
+    return bad.select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey")
+
+
+@query("""
+    WITH l AS (SELECT CASE WHEN l_quantity > 10 THEN l_partkey END AS ref FROM lineitem), p AS (SELECT p_partkey FROM part WHERE p_size <= 40),
+         c AS (SELECT (SELECT count(*) FROM p) AS total_products, count(ref)::BIGINT AS with_reference, count(p_partkey)::BIGINT AS matched FROM l LEFT JOIN p ON p_partkey = ref)
+    SELECT total_products, with_reference, matched, with_reference - matched AS unlinked FROM c""")
+def link_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    printings = _lines(spark, sf_dir).select(F.when(F.col("l_quantity") > 10, F.col("l_partkey")).alias("ref"))
+    return links.link_report(printings, "ref", table(spark, sf_dir, "part").filter("p_size <= 40"), "p_partkey")
+
+
+@query("""
+    WITH old AS (SELECT p_partkey, p_name, p_retailprice, 'old' AS first_seen, p_size FROM part WHERE p_partkey % 3 <> 0),
+         new AS (SELECT p_partkey, CASE WHEN p_partkey % 10 <> 0 THEN upper(p_name) END AS p_name, p_retailprice + 1 AS p_retailprice FROM part WHERE p_partkey % 2 = 0)
+    SELECT coalesce(n.p_partkey, o.p_partkey) AS p_partkey, CASE WHEN n.p_partkey IS NOT NULL THEN n.p_name ELSE o.p_name END AS p_name,
+           CASE WHEN n.p_partkey IS NOT NULL THEN n.p_retailprice ELSE o.p_retailprice END AS p_retailprice, coalesce(o.first_seen, 'new') AS first_seen, o.p_size
+    FROM old o FULL JOIN new n ON o.p_partkey = n.p_partkey""")
+def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part")
+    old = part.filter("p_partkey % 3 <> 0").select("p_partkey", "p_name", "p_retailprice", F.lit("old").alias("first_seen"), "p_size")
+    new = part.filter("p_partkey % 2 = 0").select("p_partkey", F.when(F.col("p_partkey") % 10 != 0, F.upper("p_name")).alias("p_name"), (F.col("p_retailprice") + 1).alias("p_retailprice"))
+    return merge.upsert(old, new, ["p_partkey"], ["p_name", "p_retailprice"], {"first_seen": F.lit("new")})
+
+
+@query("SELECT user_id, event_type, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) = 1")
+def dedup_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge.last_of_each(table(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "value"), ["user_id", "event_type"], ["event_id"])
+
+
+_INSERT = """
+    WITH e AS (SELECT {key} AS user_id, event_type, event_id, value, ts FROM events), target AS (SELECT * FROM e WHERE ts < TIMESTAMP '2024-01-05'), stage AS (SELECT * FROM e WHERE ts >= TIMESTAMP '2024-01-05')
+    SELECT user_id, event_type, event_id, value FROM stage s WHERE user_id IS NULL
+    UNION ALL (SELECT user_id, event_type, event_id, value FROM stage s WHERE user_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM target t WHERE t.user_id = s.user_id AND t.event_type = s.event_type)
+    QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) = 1)"""
+
+
+def _inserted(spark: SparkSession, sf_dir: str, key: Column) -> DataFrame:
+    events = table(spark, sf_dir, "events").select(key.alias("user_id"), "event_type", "event_id", "value", "ts")
+    early = F.col("ts") < F.lit("2024-01-05").cast("timestamp_ntz")
+    return merge.insert_absent(events.filter(early), events.filter(~early), ["user_id", "event_type"], ["event_id"]).drop("ts")
+
+
+@query(_INSERT.format(key="user_id"))
+def insert_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _inserted(spark, sf_dir, F.col("user_id"))
+
+
+@query(_INSERT.format(key="CASE WHEN event_id % 5 <> 0 THEN user_id END"))
+def insert_absent_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _inserted(spark, sf_dir, F.when(F.col("event_id") % 5 != 0, F.col("user_id")))
+
+
+@query("""
+    SELECT conv_id, turn, role, text FROM conversations WHERE conv_id % 2 <> 0
+    UNION ALL SELECT conv_id, turn, role, upper(role) AS text FROM conversations WHERE conv_id % 2 = 0 AND turn < 3""")
+def replace_children(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    new = turns.filter("conv_id % 2 = 0 and turn < 3").withColumn("text", F.upper("role"))
+    return merge.replace_children(turns, new, "conv_id")
+
+
+def _tags(spark: SparkSession, sf_dir: str, replace: bool) -> DataFrame:
+    events = table(spark, sf_dir, "events")
+    held = events.filter("event_id % 3 = 0").select(F.col("user_id").alias("card_id"), F.col("event_type").alias("tag_name")).distinct()
+    tagging = F.struct(F.struct(F.concat(F.lit("new "), "event_type").alias("name"), F.when(F.col("event_id") % 2 == 0, tags.CARD_TAG).otherwise("ARTWORK").alias("type")).alias("tag"))
+    responses = events.filter("user_id % 4 <> 0").groupBy(F.col("user_id").alias("card_id")).agg(F.collect_list(tagging).alias("taggings"))
+    return tags.merge_tags(held, tags.tag_rows(responses, "card_id"), "card_id", replace)
+
+
+_HELD = "SELECT DISTINCT user_id AS card_id, event_type AS tag_name FROM events WHERE event_id % 3 = 0"
+_NEW = "SELECT DISTINCT user_id AS card_id, 'new ' || event_type AS tag_name FROM events WHERE user_id % 4 <> 0 AND event_id % 2 = 0"
+
+
+@query(f"{_HELD} UNION {_NEW}")
+def tags_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _tags(spark, sf_dir, replace=False)
+
+
+@query(f"SELECT * FROM ({_HELD}) WHERE card_id NOT IN (SELECT card_id FROM ({_NEW})) UNION ALL {_NEW}")
+def tags_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _tags(spark, sf_dir, replace=True)
+
+
+@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)")
+def cascade_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gone = table(spark, sf_dir, "customer").filter("c_acctbal < 0").withColumnRenamed("c_custkey", "o_custkey")
+    return merge.cascade(table(spark, sf_dir, "orders"), gone, "o_custkey").select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN s_suppkey IS NULL THEN l_suppkey END AS l_suppkey FROM lineitem LEFT JOIN supplier ON s_suppkey = l_suppkey AND s_acctbal < 0")
+def set_null_on_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gone = table(spark, sf_dir, "supplier").filter("s_acctbal < 0")
+    return merge.set_null(_lines(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), gone, "l_suppkey", "s_suppkey")
+
+
+@query("""
+    WITH known AS (SELECT p_partkey, p_partkey + 5 AS id FROM part WHERE p_partkey % 2 = 0), new AS (SELECT DISTINCT l_partkey AS p_partkey FROM lineitem WHERE l_partkey % 2 = 1)
+    SELECT p_partkey, id FROM known UNION ALL SELECT p_partkey, (SELECT max(id) FROM known) + row_number() OVER (ORDER BY p_partkey) AS id FROM new""")
+def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = table(spark, sf_dir, "part").filter("p_partkey % 2 = 0").select("p_partkey", (F.col("p_partkey") + 5).alias("id"))
+    return merge.surrogate_ids(known, _lines(spark, sf_dir).select(F.col("l_partkey").alias("p_partkey")), "p_partkey", "id")
+
+
+def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as card records in JSON and read back under the dump's schema."""
+    d = F.col("doc_id")
+    face = F.struct(F.col("source").alias("name"), F.when(d % 3 == 0, "{X}").otherwise("").alias("mana_cost"))
+    fields = [
+        d.cast("string").alias("id"),
+        F.when(d % 11 == 0, "").when(d % 13 != 0, F.concat(F.lit("o"), d.cast("string"))).alias("oracle_id"),
+        F.when(d % 7 != 0, F.col("text")).alias("name"),
+        F.when(d % 2 == 0, "").when(d % 5 == 0, "{G}").alias("mana_cost"),
+        F.col("n_chars").cast("double").alias("cmc"),
+        F.when(d % 4 != 0, F.array(face)).alias("card_faces"),
+        F.when(d % 6 != 0, F.create_map(F.lit("commander"), F.when(d % 3 == 1, "legal").otherwise("banned"))).alias("legalities"),
+        F.when(d % 5 == 0, F.array("lang")).alias("colors"),
+    ]
+    text = table(spark, sf_dir, "documents").select(F.to_json(F.struct(*fields)).alias("raw"))
+    return text.select(F.from_json("raw", schemas.CARD).alias("r")).select("r.*")
+
+
+@query("""
+    SELECT 'o' || doc_id AS oracle_id, coalesce(CASE WHEN doc_id % 7 <> 0 THEN text END, '') AS name,
+           CASE WHEN doc_id % 2 <> 0 AND doc_id % 5 = 0 THEN '{G}' WHEN doc_id % 4 <> 0 AND doc_id % 3 = 0 THEN '{X}' END AS mana_cost,
+           n_chars::DOUBLE AS mana_value, coalesce(doc_id % 6 <> 0 AND doc_id % 3 = 1, false) AS legal_commander, CASE WHEN doc_id % 5 = 0 THEN lang ELSE '' END AS colors
+    FROM documents WHERE doc_id % 11 <> 0 AND doc_id % 13 <> 0""")
+def parse_card_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = cards.card_rows(_records(spark, sf_dir))
+    return parsed.select("oracle_id", "name", "mana_cost", "mana_value", "legal_commander", F.array_join("colors", ",").alias("colors"))
+
+
+@query("""
+    SELECT conv_id::VARCHAR AS conv_id, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1)::INTEGER AS face_index, text AS face_name, nullif(CASE WHEN turn % 2 = 0 THEN '' ELSE role END, '') AS mana_cost FROM conversations""")
+def explode_faces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cards.face_rows(_conversation_records(spark, sf_dir), "conv_id").select("conv_id", "face_index", "face_name", "mana_cost")
+
+
+def _conversation_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as records with a face for each turn, through JSON."""
+    turns = table(spark, sf_dir, "conversations")
+    face = F.struct("turn", F.col("text").alias("name"), F.when(F.col("role") != "system", F.col("text")).otherwise("").alias("printed_name"), F.when(F.col("turn") % 2 == 0, "").otherwise(F.col("role")).alias("mana_cost"))
+    nested = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(face)).alias("card_faces"))
+    raw = nested.select(F.col("conv_id").cast("string").alias("conv_id"), F.to_json(F.struct("card_faces", F.when(F.col("conv_id") % 5 == 0, "printed").alias("printed_name"))).alias("raw"))
+    return raw.select("conv_id", F.from_json("raw", schemas.CARD).alias("r")).select("conv_id", "r.*")
+
+
+@query("""
+    SELECT conv_id::VARCHAR AS conv_id, CASE WHEN conv_id % 5 = 0 THEN 'printed' ELSE nullif(string_agg(CASE WHEN role <> 'system' AND text <> '' THEN text END, ' // ' ORDER BY turn), '') END AS printed_name
+    FROM conversations GROUP BY conv_id""")
+def printed_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _conversation_records(spark, sf_dir).select("conv_id", cards.printed_name().alias("printed_name"))
+
+
+@query("""
+    SELECT conv_id::VARCHAR AS conv_id, sum(turn)::BIGINT AS total, count(*) AS n, string_agg(role, ',' ORDER BY turn, role) AS roles FROM conversations GROUP BY conv_id""")
+def nested_faces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    whole = links.nested(turns.select("conv_id").distinct(), turns, "conv_id", ["turn", "role"], "faces")
+    total = F.aggregate("faces", F.lit(0).cast("long"), lambda a, f: a + f["turn"])
+    return whole.select(F.col("conv_id").cast("string").alias("conv_id"), total.alias("total"), F.size("faces").cast("long").alias("n"), F.array_join(F.transform("faces", lambda f: f["role"]), ",").alias("roles"))
+
+
+def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as market records whose keys are spelled in three ways."""
+    k = F.col("p_partkey")
+    number = F.when(k % 17 == 0, F.lit("none")).otherwise(k.cast("string"))
+    pairs = lambda *x: F.map_from_arrays(F.array(*[F.lit(a) for a in x[::2]]), F.array(*x[1::2]))
+    blank, name = F.lit(None).cast("string"), F.col("p_name")
+    size = F.concat(F.lit(" "), F.col("p_size").cast("string"))
+    first = pairs("idProduct", number, "enName", name, "countReprints", size, "rarity", F.concat(F.lit("  "), "p_type"))
+    second = pairs("id_product", number, "en_name", name, "count_reprints", F.lit("12.0"), "rarity", F.lit(" "))
+    third = pairs("IdProduct", number, "enName", blank, "name", name, "countReprints", blank, "count_reprints", size, "rarity", F.col("p_brand"))
+    text = F.to_json(F.when(k % 3 == 0, first).when(k % 3 == 1, second).otherwise(third))
+    return table(spark, sf_dir, "part").select(F.from_json(text, "map<string,string>").alias("record"))
+
+
+@query("""
+    SELECT p_partkey AS id_product, CASE WHEN p_partkey % 3 = 2 THEN '' ELSE p_name END AS en_name, CASE WHEN p_partkey % 3 = 0 THEN p_size::BIGINT END AS count_reprints,
+           CASE p_partkey % 3 WHEN 0 THEN p_type WHEN 2 THEN p_brand END AS rarity FROM part WHERE p_partkey % 17 <> 0""")
+def parse_product_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _ = market.product_rows(_products(spark, sf_dir))
+    return good.select("id_product", "en_name", "count_reprints", "rarity")
+
+
+@query("""
+    WITH p AS (SELECT l_orderkey * 10 + l_linenumber AS id_product, l_quantity, l_tax, l_discount, l_extendedprice FROM lineitem)
+    SELECT id_product, l_quantity::DECIMAL(12,4)::VARCHAR AS avg_price, CASE WHEN l_discount > 0 THEN l_discount::DECIMAL(12,4)::VARCHAR END AS low_price,
+           CASE WHEN l_tax > 0.02 THEN l_tax::DECIMAL(12,4)::VARCHAR END AS trend_price, NULL::VARCHAR AS foil_sell FROM p""")
+def parse_prices_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number = lambda c: F.col(c).cast("decimal(12,2)").cast("string")
+    line = _lines(spark, sf_dir)
+    alternate = F.when(F.col("l_linenumber") % 2 == 0, F.concat(F.lit(" "), F.replace(number("l_quantity"), F.lit("."), F.lit(",")))).otherwise(number("l_quantity"))
+    tax = F.when(F.col("l_tax") > 0.02, number("l_tax")).otherwise("n/a")
+    keys = F.array(F.lit("idProduct"), F.when(F.col("l_linenumber") > 3, "Avg").otherwise("avg"), F.lit("LOW"), F.lit("trendPrice"), F.lit("avg-foil"), F.lit("foilSell"))
+    values = F.array((F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string"), alternate, number("l_discount"), tax, F.lit(None).cast("string"), F.lit("5"))
+    records = line.select(F.from_json(F.to_json(F.map_from_arrays(keys, values)), "map<string,string>").alias("record"))
+    good, _ = market.price_entries(records)
+    return good.select("id_product", *[F.col(c).cast("string").alias(c) for c in ("avg_price", "low_price", "trend_price", "foil_sell")])
+
+
+@query("""
+    SELECT l_orderkey, l_linenumber, l_suppkey, currency, price_type, price::DECIMAL(10,2)::VARCHAR AS price FROM (
+      SELECT l_orderkey, l_linenumber, l_suppkey, 'eur' AS currency, 'regular' AS price_type, l_extendedprice AS price FROM lineitem UNION ALL
+      SELECT l_orderkey, l_linenumber, l_suppkey, 'eur', 'foil', CASE WHEN l_discount <> 0.05 THEN l_discount END FROM lineitem UNION ALL
+      SELECT l_orderkey, l_linenumber, l_suppkey, 'usd', 'regular', CASE WHEN l_tax > 0 THEN l_tax END FROM lineitem UNION ALL
+      SELECT l_orderkey, l_linenumber, l_suppkey, 'tix', 'regular', l_quantity FROM lineitem) WHERE price IS NOT NULL""")
+def unpivot_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = lambda c: F.col(c).cast("decimal(12,2)").cast("string")
+    prices = F.struct(text("l_extendedprice").alias("eur"), F.when(F.col("l_discount") != 0.05, text("l_discount")).otherwise("").alias("eur_foil"), F.when(F.col("l_tax") > 0, text("l_tax")).otherwise("n/a").alias("usd"), F.lit(None).cast("string").alias("usd_foil"), text("l_quantity").alias("tix"))
+    records = _lines(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_suppkey", prices.alias("prices"))
+    rows = cards.price_rows(records, F.lit("2024-01-01").cast("date"), "bulk", "l_orderkey", "l_linenumber", "l_suppkey")
+    return rows.select("l_orderkey", "l_linenumber", "l_suppkey", "currency", "price_type", F.col("price").cast("string").alias("price"))
+
+
+@query("""
+    SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%d') END AS released_at FROM orders""")
+def safe_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey") % 5
+    text = F.when(k == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).when(k == 1, F.date_format("o_orderdate", "yyyyMMdd")).when(k == 2, F.date_format("o_orderdate", "yyyy")).when(k == 3, F.lit("2024-13-01"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.date_format(date_or_null(text), "yyyy-MM-dd").alias("released_at"))
+
+
+@query("SELECT doc_id, lower(trim(strip_accents(text))) AS normalized_name FROM documents")
+def normalize_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", normalize_name(F.col("text")).alias("normalized_name"))
+
+
+@query("""
+    WITH listed AS (SELECT DISTINCT CASE WHEN p_partkey % 3 = 0 THEN upper(p_name) WHEN p_partkey % 3 = 1 THEN p_name ELSE 'no ' || p_name END AS name FROM part WHERE p_size < 6),
+         exact AS (SELECT name FROM listed WHERE name IN (SELECT p_name FROM part)), loose AS (SELECT lower(name) AS name FROM listed WHERE name NOT IN (SELECT p_name FROM part))
+    SELECT p_partkey, p_name AS name, p_name IN (SELECT name FROM exact) OR lower(p_name) IN (SELECT name FROM loose) AS flag FROM part""")
+def flag_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flagged, _ = links.flag_by_name(*_named(spark, sf_dir))
+    return flagged.select("p_partkey", "name", "flag")
+
+
+def _named(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    part = table(spark, sf_dir, "part")
+    k = F.col("p_partkey") % 3
+    listed = part.filter("p_size < 6").select(F.when(k == 0, F.upper("p_name")).when(k == 1, F.col("p_name")).otherwise(F.concat(F.lit("no "), "p_name")).alias("name"))
+    return part.select("p_partkey", F.col("p_name").alias("name"), normalize_name(F.col("p_name")).alias("normalized_name")), listed
+
+
+@query("SELECT DISTINCT 'no ' || p_name AS name FROM part WHERE p_size < 6 AND p_partkey % 3 = 2")
+def names_not_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return links.flag_by_name(*_named(spark, sf_dir))[1]
+
+
+@query("""
+    SELECT conv_id AS id_product, turn AS id_language, role AS language_name, trim(text, ' ' || chr(10)) AS product_name FROM conversations WHERE role <> 'system' AND trim(text, ' ' || chr(10)) <> ''""")
+def localizations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    entry = F.create_map(F.lit("idLanguage"), F.when(F.col("role") != "system", F.col("turn").cast("string")).otherwise("x"), F.lit("languageName"), F.col("role"), F.lit("productName"), F.col("text"))
+    nested = turns.groupBy("conv_id").agg(F.collect_list(entry).alias("entries"))
+    records = nested.select(F.create_map(F.lit("idProduct"), F.col("conv_id").cast("string"), F.lit("localizations"), F.to_json("entries")).alias("record"))
+    return market.localizations(records).select("id_product", "id_language", "language_name", "product_name")
+
+
+_DECKS = "WITH d AS (SELECT DISTINCT o_orderkey AS deck_id, o_custkey % 40 AS commander, p_name AS card_name FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey)"
+
+
+def _decks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _lines(spark, sf_dir).join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    return lines.select(F.col("o_orderkey").alias("deck_id"), (F.col("o_custkey") % 40).alias("commander"), F.col("p_name").alias("card_name"))
+
+
+@query(f"""{_DECKS}
+    SELECT card_name, count(DISTINCT deck_id) AS decks_count, (SELECT count(DISTINCT deck_id) FROM d) AS total_decks,
+           round(count(DISTINCT deck_id) / (SELECT count(DISTINCT deck_id) FROM d) * 100, 6) AS global_frequency, count(DISTINCT commander) AS commanders_count,
+           round(ln((SELECT count(DISTINCT commander) FROM d) / count(DISTINCT commander)), 6) AS idf FROM d GROUP BY card_name""")
+def deck_global(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decks.card_statistics(_decks(spark, sf_dir)).withColumns({"global_frequency": F.round("global_frequency", 6), "idf": F.round("idf", 6)})
+
+
+@query(f"""{_DECKS}, t AS (SELECT commander, count(DISTINCT deck_id) AS total_decks FROM d GROUP BY commander)
+    SELECT commander, card_name, count(DISTINCT deck_id) AS decks_with_card, total_decks, round(count(DISTINCT deck_id) / total_decks * 100, 6) AS inclusion_rate FROM d JOIN t USING (commander) GROUP BY commander, card_name, total_decks""")
+def deck_commander(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decks.commander_statistics(_decks(spark, sf_dir)).withColumn("inclusion_rate", F.round("inclusion_rate", 6))
+
+
+@query("""
+    SELECT round(avg(CASE WHEN l_discount <> 0 THEN 100.0 ELSE 0 END), 6)::DOUBLE AS discount_filled, round(avg(CASE WHEN l_tax <> 0 THEN 100.0 ELSE 0 END), 6)::DOUBLE AS tax_filled,
+           round(avg(CASE WHEN l_discount = 0 AND l_tax = 0 THEN 100.0 ELSE 0 END), 6)::DOUBLE AS all_null FROM lineitem""")
+def fill_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prices = _lines(spark, sf_dir).select(F.nullif("l_discount", F.lit(0.0)).alias("discount"), F.nullif("l_tax", F.lit(0.0)).alias("tax"))
+    rates = quality.fill_rates(prices, ["discount", "tax"])
+    return rates.select(*[F.round(c, 6).alias(c) for c in rates.columns])
+
+
+@query("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1")
+def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.duplicate_keys(_lines(spark, sf_dir), ["l_orderkey", "l_linenumber"])
+
+
+@query("""
+    SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN 'lang is missing; ' ELSE '' END || CASE WHEN length(text) > 2000 THEN 'text is longer than 2000; ' ELSE '' END AS reasons
+    FROM documents WHERE doc_id % 9 = 0 OR length(text) > 2000""")
+def constraint_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.when(F.col("doc_id") % 9 != 0, F.col("lang")).alias("lang"))
+    _, bad = quality.quarantine(docs, required=["lang"], longest={"text": 2000})
+    return bad.select("doc_id", F.concat("reason", F.lit("; ")).alias("reasons"))
+
+
+@query("SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_seen_at, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_seen_at FROM events GROUP BY user_id")
+def first_last_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seen = quality.first_and_last_seen(table(spark, sf_dir, "events"), "user_id", "ts")
+    return seen.select("user_id", clock("first_seen_at").alias("first_seen_at"), clock("last_seen_at").alias("last_seen_at"))
+
+
+@query("""
+    SELECT o_orderkey, coalesce(string_agg(l_linenumber || ':' || l_partkey || ':' || l_suppkey, ',' ORDER BY l_linenumber, l_partkey, l_suppkey), '') AS lines
+    FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey""")
+def nested_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _lines(spark, sf_dir).withColumnRenamed("l_orderkey", "o_orderkey")
+    whole = links.nested(table(spark, sf_dir, "orders").select("o_orderkey"), lines, "o_orderkey", ["l_linenumber", "l_partkey", "l_suppkey"], "lines")
+    line = lambda x: F.concat_ws(":", *[x[c].cast("string") for c in ("l_linenumber", "l_partkey", "l_suppkey")])
+    return whole.select("o_orderkey", F.array_join(F.transform("lines", line), ",").alias("lines"))
+
+
+@query("""
+    SELECT doc_id, sha256(text) AS sha256 FROM documents WHERE sha256(text) NOT IN (SELECT sha256(text) FROM documents WHERE doc_id % 4 = 0 AND source <> 'src0')""")
+def changed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = table(spark, sf_dir, "documents").select("doc_id", "source", F.sha2("text", 256).alias("sha256"))
+    done = files.filter("doc_id % 4 = 0").select("sha256", F.lit("price_guide").alias("file_type"), F.when(F.col("source") != "src0", "success").otherwise("failed").alias("status"))
+    return ledger.changed_files(files, done, "price_guide").select("doc_id", "sha256")
+
+
+@query("SELECT source, lang, arg_min(text, doc_id) AS printed_name FROM documents GROUP BY source, lang")
+def translations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first = merge.first_of_each(table(spark, sf_dir, "documents").select("source", "lang", "doc_id", "text"), ["source", "lang"], ["doc_id"])
+    return first.select("source", "lang", F.col("text").alias("printed_name"))
+
+
+@query("""
+    SELECT user_id, event_id, value, strftime(ts, '%Y-%m-%d %H:%M:%S') AS captured_at FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
+def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest entries, from files as they arrive: all that are there are taken in."""
+    import uuid
+
+    schema = table(spark, sf_dir, "events").schema
+    folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    current = Snapshots(spark, f"{folder}/latest")
+    latest_prices.ingest_arrivals(spark, f"{sf_dir}/events.parquet*", schema, f"{folder}/checkpoint", latest_prices.keep_latest(current, ["user_id"], "ts", "event_id"))
+    return current.current().select("user_id", "event_id", "value", clock("ts").alias("captured_at"))
