@@ -11,7 +11,8 @@ from cardloom.sources import schemas
 
 
 def product_id(record: Column) -> Column:
-    return integer_or_null(first_present(record, schemas.PRODUCT_ID))
+    """The product id; 0 is none, whether it is written as a number or as text."""
+    return F.nullif(integer_or_null(first_present(record, schemas.PRODUCT_ID)), F.lit(0))
 
 
 def _split(records: DataFrame) -> tuple[DataFrame, DataFrame]:
