@@ -4,22 +4,19 @@ from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardloom.sources.storage import shared_folder, table, written  # noqa: F401
+
 #: The white space that separates words everywhere in this subpackage.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def words_of(text: Column) -> Column:
     """The words of a text as an array; none for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")
@@ -62,30 +59,6 @@ def where_computed(df: DataFrame, condition: str) -> DataFrame:
     return df.withColumn("_at", F.monotonically_increasing_id()).filter(f"({condition}) and _at >= 0").drop("_at")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from ``spark.checkpoint.dir``.
-
-    Where the setting is missing a temporary folder is made, but only for a
-    local master, whose executors live in the driver.
-    """
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    root = f"file://{tempfile.mkdtemp(prefix='spark-')}"
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: the lineage ends here, so
-    a lost executor costs a read and not the work before it."""
-    path = f"{shared_folder(df.sparkSession)}/cardloom-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def ship(spark: SparkSession) -> None:
     """Gives the executors this package, unless their Python path has it already."""
     package = Path(__file__).resolve().parents[1]
