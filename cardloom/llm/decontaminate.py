@@ -54,7 +54,7 @@ def counted(shingles: Column) -> Column:
     return F.transform(shingles, lambda h, i: F.xxhash64(h, i - F.array_position(shingles, h)))
 
 
-def holders(docs: DataFrame, items: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
+def holders(docs: DataFrame, items: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """(key_a, key_b, item_id, start, distance, shared, total): for each text of
     ``docs`` (column text) and each item (item_id, text) in it the best window, its
     first word counted from 0, and the weights shared and in total."""
@@ -65,7 +65,7 @@ def holders(docs: DataFrame, items: DataFrame, size: int = 5, similarity: float
     keyed = docs.select(*text_keys(F.col("text")), "text")
     # explode_outer: for explode the optimizer filters on the array's size, and makes it once more for that
     found = with_shingles(keyed, size).select("key_a", "key_b", F.explode_outer("shingles").alias("shingle"))
-    hits = found.join(small_if_checked(shared), "shingle").groupBy("key_a", "key_b", "item_id", "n").count().filter(F.col("count") >= similarity * F.col("n"))
+    hits = found.join(small_if_checked(shared), "shingle").groupBy("key_a", "key_b", "item_id", "n").count().filter(100 * F.col("count") >= percent * F.col("n"))
     suspects = written(hits.select("key_a", "key_b").distinct(), "suspects")
     texts = keyed.join(small_if_checked(suspects), ["key_a", "key_b"], "left_semi").dropDuplicates(["key_a", "key_b"])
     texts = written(with_shingles(texts, size), "texts")
@@ -90,7 +90,7 @@ def holders(docs: DataFrame, items: DataFrame, size: int = 5, similarity: float
 
     both = F.size(F.array_intersect(counted(F.col("window")), counted(F.col("item"))))
     exact = near.select("key_a", "key_b", "item_id", "start", distance.alias("distance"), both.cast("long").alias("shared"), (F.size("window") + F.size("item")).cast("long").alias("sizes"))
-    exact = exact.withColumn("total", F.col("sizes") - F.col("shared")).filter(F.col("shared") >= similarity * F.col("total"))
+    exact = exact.withColumn("total", F.col("sizes") - F.col("shared")).filter(100 * F.col("shared") >= percent * F.col("total"))
     best = Window.partitionBy("key_a", "key_b", "item_id").orderBy((F.col("shared") / F.col("total")).desc(), "start")
     return exact.withColumn("rank", F.row_number().over(best)).filter("rank = 1").select("key_a", "key_b", "item_id", F.greatest("start", F.lit(0)).cast("long").alias("start"), "distance", "shared", "total")
 

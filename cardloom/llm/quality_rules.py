@@ -78,7 +78,7 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
             "stop_word_ratio": share(F.size(F.filter(w, lambda x: F.lower(x).isin(STOP_WORDS))), n_words),
             "dup_line_ratio": share(n_lines - F.size(F.array_distinct(lines)), n_lines),
             "bullet_line_ratio": share(F.size(F.filter(lines, lambda x: x.rlike(r"^[\x20\x09]*[-*•]"))), n_lines),
-            "ellipsis_line_ratio": share(F.size(F.filter(lines, lambda x: x.rlike(r"(\.\.\.|…)[\x20\x09\x0D]*$"))), n_lines),
+            "ellipsis_line_ratio": share(F.size(F.filter(lines, lambda x: x.rlike(r"(\.\.\.|…)[\x20\x09\x0D]*\z"))), n_lines),
         }
     ).drop("_words", "_lines", "_windows", "_at")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardloom.llm import decontaminate, language_id, masked_lm, minhash, ngram_quality, packing, pii, quality_rules, token_counts, warc
+from cardloom.llm import decontaminate, language_id, masked_lm, minhash, ngram_quality, oracles, packing, pii, quality_rules, token_counts, warc
 from cardloom.llm.common import table
 
 
@@ -69,4 +69,10 @@ QUERIES = {
     "op10_pii": op10_pii,
 }
 
-ORACLES: dict[str, str] = {}
+#: Without SQL: trained models (2, 5, 7, 10) and token ids of a library (8, 9).
+ORACLES: dict[str, str] = {
+    "op1_quality_rules": oracles.OP1,
+    "op3_warc": oracles.OP3,
+    "op4_minhash": oracles.OP4,
+    "op6_decontamination": oracles.OP6,
+}

@@ -66,7 +66,7 @@ def _fields(record_id: int | None, url: str | None, n_bytes: int, sha1: str, ref
     return "\r\n".join(lines).encode() + b"\r\n\r\n"
 
 
-def write_archives(records: DataFrame, folder: str, chunk_bytes: int = 1 << 20, archive_bytes: int = 1 << 28, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
+def write_archives(records: DataFrame, folder: str, chunk_bytes: int = 1 << 16, archive_bytes: int = 1 << 28, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
     """Writes records of ``with_revisits`` and returns the manifest.
 
     Each record is a gzip member of its own.  A task begins another archive
@@ -161,7 +161,7 @@ def records_of(stream: io.BufferedReader, chunk_bytes: int) -> Iterator[tuple]:
                 break
 
 
-def read_chunks(manifest: DataFrame, chunk_bytes: int = 1 << 20, with_data: bool = True, batch_bytes: int = 1 << 23) -> DataFrame:
+def read_chunks(manifest: DataFrame, chunk_bytes: int = 1 << 16, with_data: bool = True, batch_bytes: int = 1 << 23) -> DataFrame:
     """The chunk rows of all archives of a manifest; one task reads an archive."""
     ship(manifest.sparkSession)
     names = [c.split()[0] for c in CHUNKS.split(", ")]
