@@ -1,0 +1,63 @@
+import hashlib
+import random
+import re
+
+from cardloom.llm import pii
+
+
+def luhn(number):
+    total = 0
+    for i, c in enumerate(reversed(number)):
+        x = int(c) * (1 + i % 2)
+        total += x - 9 * (x > 9)
+    return total % 10 == 0
+
+
+def base(t):
+    out = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+    out += [(m.start(), 1, m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(x) <= 255 for x in m[0].split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t):
+        number = re.sub("[^0-9]", "", m[0])
+        if 14 <= len(number) <= 19 and luhn(number):
+            out.append((m.start(), 2, m.end()))
+    out += [(m.start(), 3, m.end()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t) if 10 <= len(re.sub("[^0-9]", "", m[0])) <= 15]
+    return sorted(out)
+
+
+PARTS = ["1", "2", "42", "4111111111111111", "a", "b@", "@", "c.d", ".", "-", " ", "+", "(", ")", "é", "😀", "x@y.com", "%", "255", "256", "0", "=", "password", "token: ", '"', "9a8b7c6d5e4f3a2b1c", "\n"]
+
+
+def test_base_spans_against_plain_patterns(docs):
+    random.seed(3)
+    texts = ["".join(random.choice(PARTS) for _ in range(random.choice([3, 10, 40, 200]))) for _ in range(200)]
+    texts += [None, "", "1.2.3.4.5.6.7.8 " * 700, "1" * 3000, "a" * 3000 + "@"]
+    df = docs(texts).withColumnRenamed("source", "email").withColumnRenamed("n_chars", "base")
+    got = {r.doc_id: r for r in pii.spans_of(df, model=pii.train(df)).collect()}
+    for i, t in enumerate(texts):
+        spans = base(t or "")
+        listed = ",".join(f"{pii.KINDS[k]}:{s}:{e}" for s, k, e in spans)
+        r = got[i]
+        assert r.base_sha256 == hashlib.sha256(listed.encode()).hexdigest(), repr(t)[:200]
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(x[1] == k for x in spans) for k in range(4)]
+        assert set(filter(None, listed.split(","))) <= set(r.spans.split(","))
+
+
+def test_redaction(docs):
+    texts = ["mail a@b.co now", "no data", None, "", "é 10.0.0.1 and +1 (366) 555-9807!"]
+    texts += [f'x token = "{i:040x}" y' for i in range(30)]
+    df = docs(texts).withColumnRenamed("source", "all_spans")
+    out = pii.redact(df)
+    got = {r.doc_id: r.text for r in out.collect()}
+    assert out.columns == df.columns
+    assert [got[i] for i in range(5)] == ["mail <EMAIL> now", "no data", None, "", "é <IP> and <PHONE>!"]
+    assert all(got[i].startswith("x <SECRET>") for i in range(5, 35))
+    assert pii.redact(df.limit(0)).count() == 0
+
+
+def test_trees_learn_their_rows_and_keep_to_the_precision():
+    rows = [(0b0001, 100, 99), (0b0010, 100, 1), (0b0011, 50, 50), (0, 500, 0)]
+    model = pii.Boosted(rows, precision=0.98)
+    assert model.threshold < float("inf")
+    alone = pii.Boosted([(0, 10, 1)], precision=0.98)
+    assert alone.threshold == float("inf")
+    assert pii.Boosted([]).threshold == float("inf")
