@@ -35,7 +35,7 @@ from cardloom.llm.common import ascii_lower, shingles_of, ship, small_if_checked
 from cardloom.llm.components import components
 
 #: Nodes of a bucket in one block.
-BLOCK = 512
+BLOCK = 256
 ROWS = 4
 #: Parts into which the copies of one set are dealt when they look up their node.
 SALTS = 32
