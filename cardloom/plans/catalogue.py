@@ -7,6 +7,7 @@ a deck, a conversation turn for a face.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from cardloom.functions.text import normalize_name
 from cardloom.functions.values import date_or_null
 from cardloom.operators import cards, decks, latest, ledger, links, market, merge, quality, tags
-from cardloom.sources import schemas
+from cardloom.sources import json_files, schemas
 from cardloom.sources.storage import Snapshots, shared_folder, table
 from cardloom.streaming import latest_prices
 
@@ -470,10 +471,81 @@ def translations(spark: SparkSession, sf_dir: str) -> DataFrame:
     QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
 def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest entries, from files as they arrive: all that are there are taken in."""
-    import uuid
-
     schema = table(spark, sf_dir, "events").schema
     folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     current = Snapshots(spark, f"{folder}/latest")
     latest_prices.ingest_arrivals(spark, f"{sf_dir}/events.parquet*", schema, f"{folder}/checkpoint", latest_prices.keep_latest(current, ["user_id"], "ts", "event_id"))
     return current.current().select("user_id", "event_id", "value", clock("ts").alias("captured_at"))
+
+
+@query("SELECT doc_id::VARCHAR AS id, text AS name, lang, n_chars::DOUBLE AS mana_value, row_number() OVER (ORDER BY doc_id) - 1 AS place FROM documents WHERE doc_id % 10 <> 0")
+def read_bulk_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents landed as one JSON array and read back by lines, in the order of the
+    file; every tenth line can't be read and is set apart."""
+    docs = table(spark, sf_dir, "documents")
+    record = F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), F.lit("o").alias("oracle_id"), F.col("text").alias("name"), "lang", F.col("n_chars").cast("double").alias("cmc")))
+    folder = f"{shared_folder(spark)}/bulk-{uuid.uuid4().hex}"
+    broken = F.when(F.col("doc_id") % 10 == 0, F.concat(F.lit("{"), record)).otherwise(record)
+    docs.repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id").select(F.concat(broken, F.lit(",")).alias("value")).write.text(folder)
+    good, _ = json_files.good_and_bad(json_files.read_array(spark, folder, schemas.CARD))
+    placed = merge.numbered(good.withColumn("number", F.col("id").cast("long")), "number", "place", start=0)
+    return placed.select("id", "name", "lang", F.col("cmc").alias("mana_value"), "place")
+
+
+@query("""
+    SELECT conv_id, count(*) AS n, sum(turn)::BIGINT AS turns FROM conversations WHERE conv_id % 4 <> 3 GROUP BY conv_id""")
+def unwrap_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as wrapped lists: bare, under a later key, under the first key that
+    is a list, and one under no known key, which is empty."""
+    turns = table(spark, sf_dir, "conversations")
+    lists = turns.groupBy("conv_id").agg(F.to_json(F.collect_list(F.struct("turn"))).alias("list"))
+    k = F.col("conv_id") % 4
+    text = F.when(k == 0, F.col("list")).when(k == 1, F.concat(F.lit('{"singles":'), "list", F.lit("}"))).when(k == 2, F.concat(F.lit('{"product":"none","data":'), "list", F.lit("}"))).otherwise(F.concat(F.lit('{"other":'), "list", F.lit("}")))
+    items = lists.select("conv_id", F.explode(json_files.unwrap(text, schemas.PRODUCT_LISTS)).alias("record"))
+    return items.groupBy("conv_id").agg(F.count("*").alias("n"), F.sum(F.try_element_at("record", F.lit("turn")).cast("long")).alias("turns"))
+
+
+@query("""
+    SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey, p_partkey + 1000 AS card_id FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_size > 10""")
+def attach_parent_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cards_ = table(spark, sf_dir, "part").filter("p_size > 10").select(F.col("p_partkey").alias("l_partkey"), (F.col("p_partkey") + 1000).alias("card_id"))
+    return links.attach(_lines(spark, sf_dir), cards_, "l_partkey", "card_id").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "card_id")
+
+
+@query("""
+    SELECT count(*) AS rows_imported, count(*) FILTER (event_type = 'error') AS errors, count(DISTINCT user_id) AS products, count(*) FILTER (value > 50) AS flagged FROM events""")
+def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of a run, as one aggregate over what it wrote."""
+    events = table(spark, sf_dir, "events")
+    products = events.select("user_id").distinct().agg(F.count("user_id").alias("products"))
+    counts = events.agg(F.count("*").alias("rows_imported"), F.count_if(F.col("event_type") == "error").alias("errors"), F.count_if(F.col("value") > 50).alias("flagged"))
+    return counts.join(products, F.lit(True))
+
+
+@query("SELECT p_partkey FROM part WHERE p_partkey % 17 = 0")
+def product_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records whose id is no number, found again by their name's part."""
+    part = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    records = part.select(F.create_map(F.lit("idProduct"), F.when(k % 34 == 0, F.lit("0")).when(k % 17 == 0, F.lit("12.0")).otherwise(k.cast("string")), F.lit("key"), k.cast("string")).alias("record"))
+    _, bad = market.product_rows(records)
+    return bad.select(F.element_at("record", F.lit("key")).cast("long").alias("p_partkey"))
+
+
+@query("""
+    SELECT 's' || s_suppkey AS code, s_name AS name, CASE WHEN s_suppkey % 2 = 0 THEN '2020-01-05' END AS released_at FROM supplier WHERE s_suppkey % 7 <> 0""")
+def import_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sets by way of a first import and a second one that updates a half of them."""
+    k = F.col("s_suppkey")
+    raw = table(spark, sf_dir, "supplier").select(F.concat(F.lit("s"), k.cast("string")).alias("code"), F.when(k % 7 != 0, F.col("s_name")).alias("name"), F.when(k % 2 == 0, "2020-01-05").otherwise("5 Jan").alias("released_at"), (k % 3 == 0).alias("again"))
+    sets = cards.set_rows(raw)
+    old = sets.withColumn("name", F.when(F.col("again"), F.lit("stale")).otherwise(F.col("name"))).drop("again")
+    merged = merge.upsert(old, sets.filter("again"), ["code"], ["name", "released_at"])
+    return merged.select("code", "name", F.date_format("released_at", "yyyy-MM-dd").alias("released_at"))
+
+
+@query("""
+    SELECT p_partkey, p_name, p_brand FROM part WHERE lower(p_name) = 'red widget' AND p_brand = 'Brand#17'""")
+def look_up_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part").filter(F.col("p_brand") == "Brand#17")
+    return part.filter(normalize_name(F.col("p_name")) == "red widget").select("p_partkey", "p_name", "p_brand")
