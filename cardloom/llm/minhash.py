@@ -139,7 +139,8 @@ def block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between the components of members (bucket, node, label) of each bucket."""
     sizes = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    dealt = members.join(sizes.select("bucket", blocks.alias("blocks")), "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    sizes = written(sizes.select("bucket", blocks.alias("blocks")), "sizes")
+    dealt = members.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     paired = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     paired = paired.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "label").join(sets.select("node", "set"), "node")
 
@@ -165,14 +166,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_column
 
     buckets = noded.filter("doc_id = node").select("node", F.explode("buckets").alias("bucket"))
     heads = buckets.groupBy("bucket").agg(F.min("node").alias("head"), F.max("node").alias("last")).filter("head < last").drop("last")
-    crowded = written(buckets.join(heads, "bucket").distinct(), "crowded")
+    # written, as a join is split where a key is hot only if both sides come straight from a shuffle or a table
+    crowded = written(buckets.join(written(heads, "heads"), "bucket"), "crowded")
     wanted = crowded.select(F.col("node").alias("doc_id")).distinct()
     sets = with_sets(docs.join(wanted.hint("shuffle_hash"), "doc_id", "left_semi"), size).dropDuplicates(["doc_id", "key_a", "key_b"])
     sets = written(sets.select(F.col("doc_id").alias("node"), "set"), "sets")
 
     rest = crowded.filter("node <> head")
     first = components(star_links(rest.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(), sets, percent), "star")
-    labelled = rest.join(first, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
+    labelled = written(rest.join(first, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label")).distinct(), "labelled")
     second = components(block_links(labelled, sets, percent), "blocks").select(F.col("node").alias("label"), F.col("label").alias("further"))
 
     joined = members.join(first, "node", "left").withColumn("label", F.coalesce("label", "node")).join(second, "label", "left")
