@@ -12,7 +12,8 @@
    the weight is the number of times a shingle occurs, and the similarity the
    sum of the smaller weights over the sum of the larger.
 
-All steps are built-in functions and joins.  Equal texts are looked at once.
+Case is ignored.  All steps are built-in functions and joins.  Equal texts are
+looked at once.
 
 Defined results: null and empty texts hold nothing; items and texts of fewer than
 five words have no shingle and match nothing; repeated rows all get the result of
@@ -24,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardloom.llm.common import ascii_lower, shingles_of, small_if_checked, text_keys, where_computed, words_of, written
+from cardloom.llm.common import shingles_of, small_if_checked, text_keys, where_computed, words_of, written
 
 BLOCKS, BITS = 8, 8
 #: The largest radius for which some block differs in at most two bits.
@@ -34,7 +35,7 @@ _NEAR = [0] + [1 << i for i in range(BITS)] + [1 << i | 1 << j for i in range(BI
 
 def with_shingles(texts: DataFrame, size: int) -> DataFrame:
     """(…, text) with the column ``shingles``; texts that are too short have none."""
-    worded = texts.withColumn("words", words_of(ascii_lower(F.col("text")))).drop("text")
+    worded = texts.withColumn("words", words_of(F.lower("text"))).drop("text")
     long_enough = F.when(F.size("words") >= size, shingles_of(F.col("words"), size))
     return worded.withColumn("shingles", F.coalesce(long_enough, F.array().cast("array<long>"))).drop("words")
 

@@ -46,7 +46,7 @@ c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM c LEFT JOIN n USING (doc_id)"""
 
 OP6 = f"""
-WITH d AS ({_shingles("documents", "doc_id", 5)}), i AS ({_shingles("benchmark", "item_id", 5)}),
+WITH d AS ({_shingles("documents", "doc_id", 5).replace(_LOWER, "lower(text)")}), i AS ({_shingles("benchmark", "item_id", 5).replace(_LOWER, "lower(text)")}),
 n AS (SELECT item_id, count(*) AS n FROM i GROUP BY item_id), c AS (SELECT item_id, g, count(*) AS k FROM i GROUP BY ALL),
 starts AS (SELECT DISTINCT doc_id, item_id, d.p - i.p AS start, n FROM d JOIN i USING (g) JOIN n USING (item_id)),
 counted AS (SELECT doc_id, item_id, start, n, g, count(*) AS k FROM starts JOIN d USING (doc_id) WHERE d.p BETWEEN start AND start + n - 1 GROUP BY ALL),
