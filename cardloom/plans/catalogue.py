@@ -382,12 +382,12 @@ def names_not_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT conv_id AS id_product, turn AS id_language, role AS language_name, trim(text, ' ' || chr(10)) AS product_name FROM conversations WHERE role <> 'system' AND trim(text, ' ' || chr(10)) <> ''""")
+    SELECT conv_id + 1 AS id_product, turn AS id_language, role AS language_name, trim(text, ' ' || chr(10)) AS product_name FROM conversations WHERE role <> 'system' AND trim(text, ' ' || chr(10)) <> ''""")
 def localizations(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
     entry = F.create_map(F.lit("idLanguage"), F.when(F.col("role") != "system", F.col("turn").cast("string")).otherwise("x"), F.lit("languageName"), F.col("role"), F.lit("productName"), F.col("text"))
     nested = turns.groupBy("conv_id").agg(F.collect_list(entry).alias("entries"))
-    records = nested.select(F.create_map(F.lit("idProduct"), F.col("conv_id").cast("string"), F.lit("localizations"), F.to_json("entries")).alias("record"))
+    records = nested.select(F.create_map(F.lit("idProduct"), (F.col("conv_id") + 1).cast("string"), F.lit("localizations"), F.to_json("entries")).alias("record"))
     return market.localizations(records).select("id_product", "id_language", "language_name", "product_name")
 
 
