@@ -61,8 +61,9 @@ def test_gradients_are_those_of_the_loss():
 def test_pseudo_likelihood_against_one_word_at_a_time(spark, three):
     df = three.withColumnRenamed("lang", "n_words")
     codes = masked_lm.vocabulary(df)
-    weights = masked_lm.train(df, codes, rounds=1, mask=0.5, batch=64)
-    got = {r.doc_id: r for r in masked_lm.score(df, codes, weights).collect()}
+    coded = masked_lm.encode(df, codes)
+    weights = masked_lm.train(coded, rounds=1, mask=0.5, batch=64)
+    got = {r.doc_id: r for r in masked_lm.score(coded, weights).collect()}
     for r in df.collect():
         words = [0, 0, *[codes[w] for w in (r.text or "").lower().encode().split()], 0, 0]
         total = 0.0
@@ -78,9 +79,9 @@ def test_pseudo_likelihood_against_one_word_at_a_time(spark, three):
 
 
 def test_training_beats_the_start(spark, three):
-    codes = masked_lm.vocabulary(three)
-    mean = lambda w: masked_lm.score(three, codes, w).agg({"log_likelihood": "sum"}).first()[0]
-    assert mean(masked_lm.train(three, codes, mask=0.5, batch=64)) > mean(masked_lm.fresh())
+    coded = masked_lm.encode(three, masked_lm.vocabulary(three))
+    mean = lambda w: masked_lm.score(coded, w).agg({"log_likelihood": "sum"}).first()[0]
+    assert mean(masked_lm.train(coded, mask=0.5, batch=64)) > mean(masked_lm.fresh())
 
 
 def test_model_is_a_distribution_and_matches_direct_scoring(spark, three):
