@@ -40,8 +40,8 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){13,18}+(?![\x20-]?[0-9])",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "secret": r"(?i)(?<![a-z])(?:pass(?:word|wd|phrase)?|pwd|secret|token|credentials?|(?:api|access|private)[_-]?key)[\x20\x09]{0,3}[=:][\x20\x09]{0,3}[\"']?[^\s\"']{4,200}",
-    "code": r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,200}+(?![A-Za-z0-9+/_-])",
+    "secret": r"(?i)(?<![a-z])(?:pass(?:word|wd|phrase)?|pwd|secret|token|credentials?|(?:api|access|private)[_-]?key)[\x20\x09]{0,3}[=:][\x20\x09]{0,3}[\"']?[^\s\"']{4,}+",
+    "code": r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}+",
     "number": r"(?<![0-9A-Za-z+.])\(?[0-9]{2,5}\)?(?:[\x20.-][0-9]{2,6}){2,6}+(?![0-9A-Za-z])",
 }
 #: What a text holds if it can match at all; the rest of the texts skip the pattern.

@@ -54,6 +54,19 @@ def test_redaction(docs):
     assert pii.redact(df.limit(0)).count() == 0
 
 
+def test_long_secrets_go_whole(docs):
+    random.seed(5)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    run = lambda n: "aB3" + "".join(random.choices(letters, k=n - 3))
+    sizes = [40] * 30 + [199, 200, 201, 400, 5000, 20_000]
+    texts = [f"x token = {run(n // 3)}.{run(n // 3)}.{run(n)} y" for n in sizes]
+    texts += [f'x {{"secret": "{run(n)}"}} y' for n in sizes]
+    got = {r.doc_id: r.text for r in pii.redact(docs(texts)).collect()}
+    for i in range(len(sizes)):
+        assert got[i] == "x <SECRET> y"
+        assert got[len(sizes) + i] == 'x {"secret": "<CODE>"} y'
+
+
 def test_trees_learn_their_rows_and_keep_to_the_precision():
     rows = [(0b0001, 100, 99), (0b0010, 100, 1), (0b0011, 50, 50), (0, 500, 0)]
     model = pii.Boosted(rows, precision=0.98)
