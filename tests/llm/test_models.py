@@ -1,3 +1,7 @@
+import math
+import random
+from collections import Counter
+
 import numpy as np
 import pytest
 
@@ -101,6 +105,60 @@ def test_model_is_a_distribution_and_matches_direct_scoring(spark, three):
         assert abs(got[r.doc_id].log_probability - want) < 1e-3 and got[r.doc_id].n_words == len(ids) - 3
 
 
+def kneser_ney(texts):
+    """p(w | u v) and the words, from plain counts."""
+    rows = [["<", "<", *t.lower().split(), ">"] for t in texts]
+    three = Counter(x for r in rows for x in zip(r, r[1:], r[2:]))
+    two = Counter((v, w) for _, v, w in three)
+    one = Counter(w for _, w in two)
+    cuts = [ngram_quality.discounts([sum(n == k for n in c.values()) for k in range(1, 5)]) for c in (one, two, three)]
+    cut = lambda order, n: cuts[order - 1][min(n, 3)]
+    left = sum(cut(1, n) for n in one.values()) / (len(one) + 1)
+
+    def p(w, *context):
+        if not context:
+            return (max(one[w] - cut(1, one[w]), 0) + left) / sum(one.values())
+        counts = two if len(context) == 1 else three
+        here = {k[-1]: n for k, n in counts.items() if k[:-1] == context}
+        below = p(w, *context[1:])
+        if not here:
+            return below
+        n, order = here.get(w, 0), len(context) + 1
+        return (n - cut(order, n) + sum(cut(order, x) for x in here.values()) * below) / sum(here.values())
+
+    return p, list(one)
+
+
+def test_open_vocabulary_against_plain_counts(spark, three):
+    random.seed(4)
+    texts = [" ".join(random.choice(["a", "b", "c", "d", f"x{i}"]) for _ in range(12)) for i in range(40)] + MIX
+    p, words = kneser_ney(texts)
+    for context in (("<", "<"), ("a", "b"), ("nope", "a"), ("no", "pe")):
+        assert abs(sum(p(w, *context) for w in [*words, "unknown"]) - 1) < 1e-9
+    asked = [*texts[:5], MIX[1], "a b zzz qqq a", "zzz", "", None]
+    df = spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string").selectExpr("*", "'en' AS lang")
+    model = ngram_quality.train_open(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3))
+    got = {r.doc_id: r for r in ngram_quality.score(df, *model).collect()}
+    for i, t in enumerate(asked):
+        r = ["<", "<", *(t or "").lower().split(), ">"]
+        want = sum(math.log(p(w, u, v)) for u, v, w in zip(r, r[1:], r[2:]))
+        assert abs(got[i].log_probability - want) < 1e-3 and got[i].n_words == len(r) - 3
+
+
+def test_gibberish_of_unseen_letter_words_is_rejected(spark):
+    random.seed(6)
+    name = lambda: "".join(random.choices("abcdefghijklmnopqrstuvwxyz", k=random.randint(3, 9)))
+    known = [name() for _ in range(6000)]
+    # half of the words are few and frequent, the others are rare and more than any small vocabulary has
+    prose = lambda: " ".join(random.choice(known[:40] if random.random() < 0.5 else known) for _ in range(120))
+    rows = [(i, prose(), "en") for i in range(400)] + [(1000 + i, " ".join(name() for _ in range(300)), "en") for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(400)], "doc_id long, quality int")
+    got = {r.doc_id: r for r in ngram_quality.classify(df, labels).collect()}
+    assert sum(got[i].kept for i in range(400)) >= 380
+    assert not any(got[1000 + i].kept for i in range(5))
+
+
 def test_classifier(spark, small, three):
     labels = {r.doc_id: r.quality for r in table(spark, small, "labels").collect()}
     told = op5_quality_classifier(spark, small).collect()
