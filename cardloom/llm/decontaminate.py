@@ -1,36 +1,49 @@
 """Documents that hold a benchmark item: SimHash of item-sized windows.
 
-1. A text is suspect if it shares as many five-word shingles with an item as any
-   window that is similar to the item must share.  This loses no window.
-2. In a suspect text, each place of a shared shingle puts the item at a start;
-   the window of the item's size there gets a 64-bit SimHash.
+1. A first pass drops texts without loss: a window that is similar to an item of n
+   shingles has at least 80 % of n in common with it, so only texts that share so
+   many places with some item of n shingles have windows of that size to look at.
+2. Every window of such a size in such a text, whatever shingles it has, gets a
+   64-bit SimHash.  Windows may hang over the ends of a text by a fifth.
 3. Fingerprints are looked up by size in a multi-index of the items: the bits are
-   cut into eight blocks, and two fingerprints within ``RADIUS`` differ in at most
-   two bits of some block, so the index holds each block value with all values
-   within two bits.  Every fingerprint within the radius is found.
+   cut into four blocks, and two fingerprints within ``RADIUS`` differ in at most
+   three bits of some block, so the index holds each block value with all values
+   within three bits.  Every fingerprint within the radius is found, and only those
+   are candidates.
 4. Candidates are confirmed by the exact similarity of their weighted shingles:
    the weight is the number of times a shingle occurs, and the similarity the
    sum of the smaller weights over the sum of the larger.
 
+Votes of a window are counted for many bits at once: a number holds one lane for
+each of several bits, and the lanes of all shingles are added up.
+
 Case is ignored.  All steps are built-in functions and joins.  Equal texts are
 looked at once.
 
 Defined results: null and empty texts hold nothing; items and texts of fewer than
 five words have no shingle and match nothing; repeated rows all get the result of
-their text; an empty benchmark finds nothing.
+their text; very long texts are looked at whole, window by window; of equally
+similar windows the first counts; an item id that several rows have stands for all
+their texts, and gives one row for a document with any of them; an empty benchmark or
+an empty table gives an empty result; other columns may have any names.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardloom.llm.common import shingles_of, small_if_checked, text_keys, where_computed, words_of, written
 
-BLOCKS, BITS = 8, 8
-#: The largest radius for which some block differs in at most two bits.
-RADIUS = 3 * BLOCKS - 1
-_NEAR = [0] + [1 << i for i in range(BITS)] + [1 << i | 1 << j for i in range(BITS) for j in range(i)]
+BLOCKS, BITS = 4, 16
+#: Bits that may differ in a block of the index.
+FREE = 3
+#: The largest radius for which some block differs in at most that many bits.
+RADIUS = (FREE + 1) * BLOCKS - 1
+#: Rows of the index up to which it is broadcast: one number as key and two more.
+INDEX_ROWS = 2_000_000
 
 
 def with_shingles(texts: DataFrame, size: int) -> DataFrame:
@@ -40,14 +53,60 @@ def with_shingles(texts: DataFrame, size: int) -> DataFrame:
     return worded.withColumn("shingles", F.coalesce(long_enough, F.array().cast("array<long>"))).drop("words")
 
 
-def simhash(shingles: Column) -> Column:
-    """64 bits: each is set if more hashes of the window have it than have it not."""
-    votes = lambda bit: F.aggregate(shingles, F.lit(0), lambda total, h: total + F.when(F.getbit(h, bit) == 1, 1).otherwise(-1))
-    return F.aggregate(F.sequence(F.lit(0), F.lit(63)), F.lit(0).cast("long"), lambda out, bit: F.when(votes(bit) > 0, out.bitwiseOR(F.expr("1L") * F.call_function("shiftleft", F.lit(1).cast("long"), bit))).otherwise(out))
+def lane_for(most: int) -> int:
+    """The width of a lane that can count up to ``most`` shingles."""
+    return next(w for w in (8, 16, 32) if most < 1 << (w - 1))
+
+
+def every(step: int) -> int:
+    """The number whose bits 0, step, 2 * step... are set."""
+    return sum(1 << i for i in range(0, 64, step))
+
+
+def simhash(shingles: Column, lane: int) -> Column:
+    """64 bits: each is set if more hashes of the window have it than have it not.
+
+    Number j of ``lane`` numbers counts the bits j, j + lane, j + 2 * lane...
+    """
+    unit = F.lit(every(lane)).cast("long")
+    none = F.struct(*[F.lit(0).cast("long").alias(f"c{j}") for j in range(lane)])
+    bits = lambda h, j: F.call_function("shiftrightunsigned", h, F.lit(j)).bitwiseAND(unit)
+    add = lambda c, h: F.struct(*[(c[f"c{j}"] + bits(h, j)).alias(f"c{j}") for j in range(lane)])
+
+    def marked(c: Column) -> Column:
+        # a lane has its highest bit once what it lacks to more than a half is added; every second lane at a time, so that nothing runs over
+        wide = every(2 * lane)
+        long = lambda x: F.lit(x).cast("long")
+        lack = (long(1 << (lane - 1)) - F.floor(F.size(shingles) / 2) - 1) * long(wide)
+        out = long(0)
+        for j in range(lane):
+            for half in (0, lane):
+                counts = F.call_function("shiftrightunsigned", c[f"c{j}"], F.lit(half)).bitwiseAND(long(wide * ((1 << lane) - 1)))
+                more = F.call_function("shiftrightunsigned", counts + lack, F.lit(lane - 1)).bitwiseAND(long(wide))
+                out = out.bitwiseOR(F.call_function("shiftleft", more, F.lit(j + half)))
+        return out
+
+    return F.aggregate(shingles, none, add, marked)
+
+
+def window_at(start: Column, n: Column, shingles: Column) -> Column:
+    """The part of the window of ``n`` shingles from ``start`` that is in the text."""
+    low = F.greatest(start, F.lit(0))
+    return F.slice(shingles, low + 1, F.greatest(F.least(start + n, F.size(shingles)) - low, F.lit(0)))
 
 
-def block(fingerprint: Column, number: Column) -> Column:
-    return F.call_function("shiftright", fingerprint, number * BITS).bitwiseAND(F.lit((1 << BITS) - 1)).cast("int")
+def block(fingerprint: Column, number: int) -> Column:
+    return F.call_function("shiftrightunsigned", fingerprint, F.lit(number * BITS)).bitwiseAND(F.lit((1 << BITS) - 1).cast("long"))
+
+
+def place(n: Column, number: int, value: Column) -> Column:
+    """Size, block and block value as one number."""
+    return (n.cast("long") * BLOCKS + number) * (1 << BITS) + value
+
+
+def near_values() -> list[int]:
+    """All changes of at most ``FREE`` bits of a block."""
+    return [sum(1 << i for i in bits) for k in range(FREE + 1) for bits in combinations(range(BITS), k)]
 
 
 def counted(shingles: Column) -> Column:
@@ -55,42 +114,54 @@ def counted(shingles: Column) -> Column:
     return F.transform(shingles, lambda h, i: F.xxhash64(h, i - F.array_position(shingles, h)))
 
 
+def index_of(items: DataFrame) -> DataFrame:
+    """(place, item_key, item_mark): the items' fingerprints under all block values near theirs."""
+    near = F.array(*[F.lit(x).cast("long") for x in near_values()])
+
+    def places_of(number: int) -> Column:
+        return F.transform(near, lambda x: place(F.col("n"), number, block(F.col("item_mark"), number).bitwiseXOR(x)))
+
+    places = F.concat(*map(places_of, range(BLOCKS)))
+    return items.select("item_key", "item_mark", F.explode(places).alias("place"))
+
+
+def candidates(windows: DataFrame, items: DataFrame) -> DataFrame:
+    """(…, item_key, distance) for windows (…, n, mark) whose fingerprints are within the
+    radius of an item (item_key, n, item_mark) of their size."""
+    asked = windows.withColumn("place", F.explode(F.array(*[place(F.col("n"), k, block(F.col("mark"), k)) for k in range(BLOCKS)])))
+    found = asked.join(small_if_checked(index_of(items), INDEX_ROWS), "place").drop("place")
+    return found.withColumn("distance", F.bit_count(F.col("mark").bitwiseXOR(F.col("item_mark")))).filter(F.col("distance") <= RADIUS).drop("item_mark").distinct()
+
+
 def holders(docs: DataFrame, items: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """(key_a, key_b, item_id, start, distance, shared, total): for each text of
     ``docs`` (column text) and each item (item_id, text) in it the best window, its
     first word counted from 0, and the weights shared and in total."""
-    items = written(where_computed(with_shingles(items.select("item_id", "text"), size), "size(shingles) > 0"), "items")
-    anchors = items.select("item_id", F.size("shingles").alias("n"), F.posexplode("shingles").alias("at", "shingle"))
-    shared = anchors.select("item_id", "n", "shingle").distinct()
+    items = where_computed(with_shingles(items.select("item_id", "text"), size), "size(shingles) > 0")
+    items = written(items.select("item_id", F.xxhash64("shingles").alias("item_key"), F.size("shingles").alias("n"), F.sort_array("shingles").alias("item")).dropDuplicates(["item_id", "item_key"]), "items")
+    lane = lane_for(items.agg(F.coalesce(F.max("n"), F.lit(1))).first()[0])
+    shared = items.select("item_key", "n", F.explode("item").alias("shingle")).distinct()
 
     keyed = docs.select(*text_keys(F.col("text")), "text")
     # explode_outer: for explode the optimizer filters on the array's size, and makes it once more for that
     found = with_shingles(keyed, size).select("key_a", "key_b", F.explode_outer("shingles").alias("shingle"))
-    hits = found.join(small_if_checked(shared), "shingle").groupBy("key_a", "key_b", "item_id", "n").count().filter(100 * F.col("count") >= percent * F.col("n"))
-    suspects = written(hits.select("key_a", "key_b").distinct(), "suspects")
-    texts = keyed.join(small_if_checked(suspects), ["key_a", "key_b"], "left_semi").dropDuplicates(["key_a", "key_b"])
+    hits = found.join(small_if_checked(shared), "shingle").groupBy("key_a", "key_b", "item_key", "n").count().filter(100 * F.col("count") >= percent * F.col("n"))
+    sizes = written(hits.groupBy("key_a", "key_b").agg(F.collect_set("n").alias("sizes")), "sizes")  # at most as many as items have sizes
+    texts = keyed.join(small_if_checked(sizes), ["key_a", "key_b"]).dropDuplicates(["key_a", "key_b"])
     texts = written(with_shingles(texts, size), "texts")
 
-    placed = texts.select("key_a", "key_b", F.posexplode("shingles").alias("place", "shingle")).join(small_if_checked(anchors), "shingle")
-    starts = placed.select("key_a", "key_b", (F.col("place") - F.col("at")).alias("start"), "n").distinct()
-    start = F.col("start")
-    inside = F.slice("shingles", F.greatest(start, F.lit(0)) + 1, F.greatest(F.least(start + F.col("n"), F.size("shingles")) - F.greatest(start, F.lit(0)), F.lit(0)))
-    windows = written(starts.join(texts, ["key_a", "key_b"]).select("key_a", "key_b", "start", "n", F.sort_array(inside).alias("window")), "windows")
-    windows = windows.withColumn("mark", simhash(F.col("window")))
-
-    marked = items.select("item_id", F.size("shingles").alias("n"), F.sort_array("shingles").alias("item"), simhash(F.col("shingles")).alias("item_mark"))
-    number = F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("block")
-    index = marked.select("n", "item_id", "item_mark", "item", number)
-    index = index.select("n", "item_id", "item_mark", "item", "block", F.explode(F.array(*[block(F.col("item_mark"), F.col("block")).bitwiseXOR(F.lit(x)) for x in _NEAR])).alias("value"))
-    looked_up = windows.select("key_a", "key_b", "start", "n", "window", "mark", number)
-    looked_up = looked_up.withColumn("value", block(F.col("mark"), F.col("block")))
-    distance = F.bit_count(F.col("mark").bitwiseXOR(F.col("item_mark")))
-    # a pair that several blocks find is taken at the first of them only
-    agrees = F.filter(F.sequence(F.lit(0), F.lit(BLOCKS - 1)), lambda b: F.bit_count(block(F.col("mark"), b).bitwiseXOR(block(F.col("item_mark"), b))) <= 2)
-    near = looked_up.join(index, ["n", "block", "value"]).filter(distance <= RADIUS).filter(F.get(agrees, F.lit(0)) == F.col("block"))
+    sized = texts.select("key_a", "key_b", "shingles", F.explode("sizes").alias("n"))
+    over = F.floor(F.col("n") * (100 - percent) / 100).cast("int")
+    starts = F.sequence(-over, F.greatest(F.size("shingles") - F.col("n") + over, -over))
+    marks = F.transform(starts, lambda at: F.struct(at.alias("start"), simhash(window_at(at, F.col("n"), F.col("shingles")), lane).alias("mark")))
+    windows = sized.select("key_a", "key_b", "n", F.explode(marks).alias("w")).select("key_a", "key_b", "n", "w.*")
+    marked = items.select("item_key", "n", simhash(F.col("item"), lane).alias("item_mark")).distinct()
+    near = written(candidates(windows, marked).drop("mark"), "candidates")
 
+    exact = near.join(texts.select("key_a", "key_b", "shingles"), ["key_a", "key_b"]).join(items.drop("n"), "item_key")
+    exact = exact.withColumn("window", F.sort_array(window_at(F.col("start"), F.col("n"), F.col("shingles"))))
     both = F.size(F.array_intersect(counted(F.col("window")), counted(F.col("item"))))
-    exact = near.select("key_a", "key_b", "item_id", "start", distance.alias("distance"), both.cast("long").alias("shared"), (F.size("window") + F.size("item")).cast("long").alias("sizes"))
+    exact = exact.select("key_a", "key_b", "item_id", "start", "distance", both.cast("long").alias("shared"), (F.size("window") + F.size("item")).cast("long").alias("sizes"))
     exact = exact.withColumn("total", F.col("sizes") - F.col("shared")).filter(100 * F.col("shared") >= percent * F.col("total"))
     best = Window.partitionBy("key_a", "key_b", "item_id").orderBy((F.col("shared") / F.col("total")).desc(), "start")
     return exact.withColumn("rank", F.row_number().over(best)).filter("rank = 1").select("key_a", "key_b", "item_id", F.greatest("start", F.lit(0)).cast("long").alias("start"), "distance", "shared", "total")

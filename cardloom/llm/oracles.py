@@ -48,7 +48,8 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id
 OP6 = f"""
 WITH d AS ({_shingles("documents", "doc_id", 5).replace(_LOWER, "lower(text)")}), i AS ({_shingles("benchmark", "item_id", 5).replace(_LOWER, "lower(text)")}),
 n AS (SELECT item_id, count(*) AS n FROM i GROUP BY item_id), c AS (SELECT item_id, g, count(*) AS k FROM i GROUP BY ALL),
-starts AS (SELECT DISTINCT doc_id, item_id, d.p - i.p AS start, n FROM d JOIN i USING (g) JOIN n USING (item_id)),
+met AS (SELECT doc_id, item_id, any_value(n) AS n, count(*) AS k FROM d JOIN c USING (g) JOIN n USING (item_id) GROUP BY doc_id, item_id HAVING 100 * count(*) >= 80 * any_value(n)),
+starts AS (SELECT doc_id, item_id, n, unnest(range(-(n // 5), last + n // 5 - n + 2)) AS start FROM met JOIN (SELECT doc_id, max(p) AS last FROM d GROUP BY doc_id) USING (doc_id)),
 counted AS (SELECT doc_id, item_id, start, n, g, count(*) AS k FROM starts JOIN d USING (doc_id) WHERE d.p BETWEEN start AND start + n - 1 GROUP BY ALL),
 summed AS (SELECT doc_id, item_id, start, n, sum(w.k)::BIGINT AS size, sum(least(w.k, coalesce(c.k, 0)))::BIGINT AS shared FROM counted w LEFT JOIN c USING (item_id, g) GROUP BY ALL)
 SELECT doc_id, item_id, greatest(start, 0) AS start, shared, size + n - shared AS total FROM summed WHERE 100 * shared >= 80 * (size + n - shared)
