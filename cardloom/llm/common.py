@@ -49,6 +49,27 @@ def small_if_checked(df: DataFrame, most_rows: int = 200_000) -> DataFrame:
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
 
 
+def most_frequent(counted: DataFrame, key: str, most: int) -> tuple[list[str], int]:
+    """Of a table (key, n) at most ``most`` keys with the largest n, largest first, and
+    the least n among them; found by levels, so that only these keys reach the driver.
+
+    Of keys that are about as frequent as the last ones, some are taken by their hash.
+    """
+    level = (F.floor(F.log2("n") * 16) * 64 + F.pmod(F.xxhash64(key), F.lit(64))).cast("int")
+    levels = counted.select(level.alias("level")).groupBy("level").count().collect()  # at most 64 * 16 * 64 rows
+    taken, least = 0, None
+    for r in sorted(levels, key=lambda r: -r["level"]):
+        taken += r["count"]
+        if taken > most:
+            break
+        least = r["level"]
+    if least is None:
+        return [], 0
+    rows = counted.filter(level >= least).select(key, "n").collect()
+    rows.sort(key=lambda r: (-r["n"], r[key]))
+    return [r[key] for r in rows], rows[-1]["n"]
+
+
 def where_computed(df: DataFrame, condition: str) -> DataFrame:
     """Filters after the columns are made.
 

@@ -42,51 +42,129 @@ def test_held_out_accuracy(spark, small):
     assert sum(truth[r.doc_id] == r.lang_pred for r in told) >= 0.95 * len(told)
 
 
-def test_gradients_are_those_of_the_loss():
-    w = {k: v.astype(np.float64) for k, v in masked_lm.fresh().items()}
-    random = np.random.default_rng(1)
-    context, target = random.integers(0, masked_lm.CODES, (20, 4)), random.integers(0, masked_lm.CODES, 20)
+def forward(w, context, target):
+    """Log-probabilities one word at a time, digit by digit."""
+    out = []
+    for seen, code in zip(context, target, strict=True):
+        hidden = np.tanh(sum(w["embed"][c] @ w["inner"][p * masked_lm.WIDTH : (p + 1) * masked_lm.WIDTH] for p, c in enumerate(seen)) + w["inner_bias"])
+        high, rest = divmod(int(code), masked_lm.BASE**2)
+        middle, low = divmod(rest, masked_lm.BASE)
+        total = 0.0
+        for i, (wanted, bias) in enumerate(((high, w["first"]), (middle, w["second"][high]), (low, w["third"][high * masked_lm.BASE + middle]))):
+            x = hidden @ w["outer"][:, i * masked_lm.BASE : (i + 1) * masked_lm.BASE] + bias
+            total += x[wanted] - np.log(np.exp(x).sum())
+        out.append(total)
+    return np.array(out)
 
-    def loss():
-        hidden = np.tanh(np.einsum("npd,pdh->nh", w["embed"][context], w["inner"]) + w["inner_bias"])
-        high, low = np.divmod(target, masked_lm.BASE)
-        rows = np.arange(20)
-        return -(masked_lm.log_softmax(hidden @ w["first"] + w["first_bias"])[rows, high] + masked_lm.log_softmax(hidden @ w["second"] + w["second_bias"][high])[rows, low]).mean()
 
+def test_gradients_are_those_of_the_loss():
+    w = {k: v.astype(np.float64) for k, v in masked_lm.fresh().items()}
+    at_random = np.random.default_rng(1)
+    context, target = at_random.integers(0, masked_lm.CODES, (20, 4)), at_random.integers(0, masked_lm.CODES, 20)
     for k, g in masked_lm.gradients(w, context, target).items():
         at = np.unravel_index(np.abs(g).argmax(), g.shape)
         w[k][at] += 1e-5
-        up = loss()
+        up = -forward(w, context, target).mean()
         w[k][at] -= 2e-5
-        down = loss()
+        down = -forward(w, context, target).mean()
         w[k][at] += 1e-5
-        assert abs((up - down) / 2e-5 - g[at]) < 1e-6
+        assert abs((up - down) / 2e-5 - g[at]) < 1e-6, k
 
 
-def test_pseudo_likelihood_against_one_word_at_a_time(spark, three):
-    df = three.withColumnRenamed("lang", "n_words")
+def spelling(rare):
+    """log p(word) from letters, three at a time, of all rare words."""
+    fold = lambda w: [0, 0, *[int(masked_lm._LETTER[b]) for b in w], 0]
+    three = Counter(x for w in rare for x in zip(fold(w), fold(w)[1:], fold(w)[2:]))
+    two = Counter()
+    for (a, b, _), n in three.items():
+        two[a, b] += n
+    alike = Counter(masked_lm._LETTER.tolist())
+
+    def log_p(w):
+        f = fold(w)
+        return sum(math.log((three[x] + 0.1) / (two[x[:2]] + 6.4)) for x in zip(f, f[1:], f[2:])) - sum(math.log(alike[x]) for x in f[2:-1])
+
+    return log_p
+
+
+def test_pseudo_likelihood_against_one_word_at_a_time(spark, monkeypatch):
+    """Network, spelling and windows, from their definitions."""
+    random.seed(8)
+    texts = [" ".join(random.choice(["a", "b", "c", f"x{i}y", f"éz{i % 3}"]) for _ in range(30)) for i in range(12)]
+    texts += [texts[0], texts[1] + " more", "a b q c a", "a b r c a", "a b q c a", None, "", "Solo", "w" * 500]
+    monkeypatch.setattr(masked_lm, "most_frequent", lambda counted, key, most: (["a", "b", "c"], 1))
+    df = spark.createDataFrame([(i, t, 5, "x") for i, t in enumerate(texts)], "doc_id long, text string, n_words int, row string")
     codes = masked_lm.vocabulary(df)
-    coded = masked_lm.encode(df, codes)
-    weights = masked_lm.train(coded, rounds=1, mask=0.5, batch=64)
-    got = {r.doc_id: r for r in masked_lm.score(coded, weights).collect()}
-    for r in df.collect():
-        words = [0, 0, *[codes[w] for w in (r.text or "").lower().encode().split()], 0, 0]
-        total = 0.0
-        for i in range(2, len(words) - 2):
-            seen = weights["embed"][[words[i - 2], words[i - 1], words[i + 1], words[i + 2]]]
-            hidden = np.tanh(np.einsum("pd,pdh->h", seen, weights["inner"]) + weights["inner_bias"])
-            high, low = divmod(words[i], masked_lm.BASE)
-            for name, wanted, bias in (("first", high, weights["first_bias"]), ("second", low, weights["second_bias"][high])):
-                total += masked_lm.log_softmax((hidden @ weights[name] + bias)[None])[0, wanted]
-        assert abs(got[r.doc_id].log_likelihood - total) < 1e-3 and got[r.doc_id].n_words == len(words) - 4
-    assert got[100].mean_log_likelihood is None
+    encoded = masked_lm.encode(df.select("doc_id", "text"), codes, 3)
+    weights = masked_lm.train(encoded, 2, batch=64)
+    monkeypatch.setattr(masked_lm, "vocabulary", lambda docs: codes)
+    monkeypatch.setattr(masked_lm, "train", lambda *x: weights)
+    got = {r.doc_id: r for r in masked_lm.pseudo_likelihood(df).collect()}
+
+    words = [(t or "").lower().encode().split() for t in texts]
+    rare = Counter(w for t in words for w in t if w not in (b"a", b"b", b"c"))
+    log_p = spelling(rare)
+    ending = lambda w: int(masked_lm.Spelled([w]).endings()[0])
+    shares = Counter()
+    for w, n in rare.items():
+        shares[ending(w)] += n
+    total = sum(rare.values()) + 0.1 * masked_lm.SHARED
+    known = {b"a": 1, b"b": 2, b"c": 3}
+    code = lambda w: known.get(w) or masked_lm.FIRST_SHARED + ending(w)
+    held = {}
+    for t in words:
+        p = [None, None, *t, None, None]
+        for i in range(2, len(p) - 2):
+            if p[i] in rare:
+                held.setdefault((p[i - 2], p[i - 1], p[i + 1], p[i + 2], ending(p[i])), Counter())[p[i]] += 1
+    for doc, t in enumerate(words):
+        p = [None, None, *t, None, None]
+        c = [0 if w is None else code(w) for w in p]
+        want = 0.0
+        for i in range(2, len(p) - 2):
+            want += forward(weights, [[c[i - 2], c[i - 1], c[i + 1], c[i + 2]]], [c[i]])[0]
+            if p[i] in rare:
+                e = ending(p[i])
+                spelled = min(log_p(p[i]) - math.log((shares[e] + 0.1) / total), 0)
+                want += spelled
+                here = held[p[i - 2], p[i - 1], p[i + 1], p[i + 2], e].copy()
+                here[p[i]] -= 1
+                others = sum(here.values())
+                if others:
+                    nats = min(max(round(-spelled * masked_lm.NAT), 0), 255) / masked_lm.NAT
+                    want += math.log((max(here[p[i]] - masked_lm.CUT, 0) * math.exp(nats) + masked_lm.CUT * sum(n > 0 for n in here.values())) / others)
+        assert abs(got[doc].log_likelihood - want) < 1e-3 and got[doc].n_words == len(t), doc
+        assert got[doc].mean_log_likelihood == (got[doc].log_likelihood / len(t) if t else None)
+
+
+def test_scores_do_not_depend_on_the_layout(spark):
+    docs = table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text")
+    got = []
+    for n in (1, 4, 16):
+        got.append({r.doc_id: r.log_likelihood for r in masked_lm.pseudo_likelihood(docs.repartition(n)).collect()})
+    for other in got[1:]:
+        assert other.keys() == got[0].keys() and all(abs(other[k] - v) <= 1e-6 * max(abs(v), 1) for k, v in got[0].items())
+
+
+def test_copies_are_likelier_and_edges(spark):
+    random.seed(9)
+    word = lambda: "".join(random.choices("abcdefghij", k=6))
+    texts = [" ".join(["the", word(), "of", word()] * 20) for _ in range(80)] + [" ".join(word() for _ in range(80)) for _ in range(80)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, *texts[150:]])] + [(None, "a b"), (7, None)], "doc_id long, text string")
+    rows = masked_lm.pseudo_likelihood(df).collect()
+    got = {r.doc_id: r.mean_log_likelihood for r in rows if r.n_words}
+    assert min(got[i] for i in range(150, 170)) > max(got[i] for i in range(80, 150)) and all(abs(got[150 + i] - got[160 + i]) < 1e-4 for i in range(10))
+    assert sorted((r.n_words, r.mean_log_likelihood is None) for r in rows if r.doc_id in (None, 7)) == [(0, True), (2, False), (80, False)]
     assert masked_lm.pseudo_likelihood(df.limit(0)).count() == 0
 
 
-def test_training_beats_the_start(spark, three):
-    coded = masked_lm.encode(three, masked_lm.vocabulary(three))
-    mean = lambda w: masked_lm.score(coded, w).agg({"log_likelihood": "sum"}).first()[0]
-    assert mean(masked_lm.train(coded, mask=0.5, batch=64)) > mean(masked_lm.fresh())
+def test_each_position_is_masked_once_and_training_helps(spark, three):
+    at = np.arange(1000)
+    assert sorted(np.concatenate([masked_lm.masked(at, at, k, 3) for k in range(3)]).tolist()) == at.tolist()
+    docs = three.select("doc_id", "text")
+    encoded = masked_lm.encode(docs, masked_lm.vocabulary(docs), 1)
+    total = lambda w: masked_lm.score(encoded, w, 1).agg({"value": "sum"}).first()[0]
+    assert total(masked_lm.train(encoded, 2, batch=64)) > total(masked_lm.fresh())
 
 
 def kneser_ney(texts, least=2):
