@@ -1,18 +1,30 @@
 """Personal data: base patterns plus spans that boosted trees select.
 
-Everything is a built-in expression of the row's text, so nothing is shuffled and
-no Python runs on the executors.  ``matches`` gives all matches of a pattern with
-their places: the text between matches and the matches themselves have lengths,
-whose running total is the place of each match.
-
-Generators propose many spans, overlapping ones too.  Each gets a bit mask of
-format and context features.  The masks of all candidates of the corpus are
-counted (at most 2 ** len(FEATURES) rows reach the driver) with how many of each
-are confirmed by a strict rule; trees are boosted on these counts, and the
-threshold is the lowest score whose spans are confirmed to ``precision``.
-
-Defined results: a null or empty text has no spans; rows are judged one by one;
-places count code points, the end is exclusive; the two named columns are read.
+Everything is a built-in expression of the row's text, so the spans of a document
+are found where it is and no Python runs on the executors.  ``matches`` gives all
+matches of a pattern with their places: the text between matches and the matches
+themselves have lengths, whose running total is the place of each match.
+
+Generators propose many spans, overlapping ones too.  Each gets a bit mask of format
+and context features.  What the trees learn is none of them: whether a candidate
+
+* overlaps a span of a base kind, whose checks (check digit, ranges, number of digits)
+  the features don't see, or holds a number with the ranges of a social security
+  number or the check digits of a bank account; or
+* is a secret or a code that isn't made of words (those that occur alone in several
+  texts of the corpus) and isn't repeated in many texts.
+
+The facts of the second kind come from joins over the corpus.  Trees are boosted on
+the counts of masks of at most about ``train_rows`` candidates, chosen by hash of the
+text; a fifth of these is held out, and the threshold is the lowest score that these
+confirm to ``precision``.  At most 2 ** len(FEATURES) rows reach the driver.
+
+Defined results: a null or empty text has no spans; rows are judged one by one, repeated
+or not; very long texts are searched to their end, spans of any length included; spans
+of one start are listed by kind, and a span that a base span covers isn't added to it;
+an empty table gives an empty result, and without candidates nothing is added to the
+base; places count code points, the end is exclusive; the two named columns are read,
+whatever others are called.
 """
 
 from __future__ import annotations
@@ -23,9 +35,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cardloom.llm.common import written
+
 #: Kinds in the order in which spans of one start are listed.
 BASE_KINDS = ("email", "ip", "card", "phone")
-MORE_KINDS = ("secret", "code", "number")
+MORE_KINDS = ("secret", "code", "number", "run", "address")
 KINDS = BASE_KINDS + MORE_KINDS
 #: Matches that are added up in one go; longer lists are added in two levels.
 CHUNK = 256
@@ -41,8 +55,11 @@ PATTERNS = {
     "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){13,18}+(?![\x20-]?[0-9])",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "secret": r"(?i)(?<![a-z])(?:pass(?:word|wd|phrase)?|pwd|secret|token|credentials?|(?:api|access|private)[_-]?key)[\x20\x09]{0,3}[=:][\x20\x09]{0,3}[\"']?[^\s\"']{4,}+",
-    "code": r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}+",
+    # with a digit, or a capital after a small letter: no plain word
+    "code": r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]*+[0-9]|[A-Za-z+/_-]*[a-z][A-Z])[A-Za-z0-9+/_-]{16,}+",
     "number": r"(?<![0-9A-Za-z+.])\(?[0-9]{2,5}\)?(?:[\x20.-][0-9]{2,6}){2,6}+(?![0-9A-Za-z])",
+    "run": r"(?<![0-9A-Za-z])(?:[A-Z]{2}[0-9]{2}[A-Z0-9]{10,30}|[0-9]{7,}+)(?![0-9A-Za-z])",
+    "address": r"(?<![^\s<>()\[\]\"',;:@])[^\s<>()\[\]\"',;:@]++@[^\s<>()\[\]\"',;:@]++",
 }
 #: What a text holds if it can match at all; the rest of the texts skip the pattern.
 TRIGGERS: dict[str, Callable[[Column], Column]] = {
@@ -51,8 +68,10 @@ TRIGGERS: dict[str, Callable[[Column], Column]] = {
     "card": lambda t: t.rlike("[0-9]"),
     "phone": lambda t: F.contains(t, F.lit("+")),
     "secret": lambda t: F.contains(t, F.lit("=")) | F.contains(t, F.lit(":")),
-    "code": lambda t: t.rlike("[0-9]"),
+    "code": lambda t: t.rlike("[0-9]|[a-z][A-Z]"),
     "number": lambda t: t.rlike("[0-9]"),
+    "run": lambda t: t.rlike("[0-9]{7}|[A-Z]{2}[0-9]{2}"),
+    "address": lambda t: F.contains(t, F.lit("@")),
 }
 
 
@@ -105,42 +124,62 @@ _NEAR = r"(?i)(?:pass|pwd|secret|token|key|credential|ssn|social|passport|accoun
 #: Bit by bit, what the trees may ask of a candidate (value, text before it, kind).
 FEATURES: tuple[tuple[str, Callable[[Column, Column, str], Column]], ...] = (
     ("names_a_secret", lambda v, b, k: F.lit(k == "secret")),
-    ("is_number", lambda v, b, k: F.lit(k == "number")),
+    ("is_number", lambda v, b, k: F.lit(k in ("number", "run"))),
     ("keyword_before", lambda v, b, k: b.rlike(_NEAR)),
     ("assigned", lambda v, b, k: b.rlike(r"[=:][\x20\"']*$") | F.lit(k == "secret")),
     ("long_hexadecimal", lambda v, b, k: v.rlike(r"[0-9a-f]{16,}")),
     ("mixed_case_and_digits", lambda v, b, k: v.rlike("[0-9]") & v.rlike("[a-z]") & v.rlike("[A-Z]")),
-    ("letters_and_digits", lambda v, b, k: v.rlike("[0-9]") & v.rlike("[A-Za-z]")),
-    ("many_digits", lambda v, b, k: F.length(digits(v)) >= 4),
-    ("digits_of_a_phone", lambda v, b, k: F.length(digits(v)).between(9, 15)),
+    ("capitals_and_digits", lambda v, b, k: v.rlike("^[A-Z0-9]+$") & v.rlike("[A-Z]") & v.rlike("[0-9]")),
+    ("letters", lambda v, b, k: v.rlike("[A-Za-z]")),
+    ("digits", lambda v, b, k: F.length(digits(v)) >= 4),
+    ("digits_of_a_phone", lambda v, b, k: F.length(digits(v)).between(9, 13)),
+    ("more_digits", lambda v, b, k: F.length(digits(v)) >= 14),
     ("groups_of_an_id", lambda v, b, k: v.rlike(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")),
+    ("dots", lambda v, b, k: v.rlike(r"[A-Za-z0-9]\.[A-Za-z0-9]")),
+    ("plus_before", lambda v, b, k: b.rlike(r"\+[0-9]{0,3}[\x20.-]?$")),
 )
 
 
-def confirmed(value: Column, before: Column, kind: str) -> Column:
-    """The strict rule that labels candidates for training."""
-    if kind == "secret":
-        return F.regexp_replace(value, r"^[^=:]*[=:][\s\"']*", "").rlike(r"^(?=.*[0-9]).{8,}$")
-    if kind == "code":
-        return before.rlike(r"(?i)(?:pass|pwd|secret|token|key|credential)[a-z]*[\x20\"']*[=:][\x20\"']*$") & value.rlike("[0-9]")
-    return value.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$") | (before.rlike(_NEAR) & F.length(digits(value)).between(9, 15))
+def checked(value: Column, kind: str) -> Column:
+    """Whether a number has the ranges of a social security number or the check digits
+    of a bank account."""
+    if kind == "number":
+        return value.rlike(r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$")
+    if kind != "run":
+        return F.lit(False)
+    turned = F.concat(F.substring(value, 5, 40), F.substring(value, 1, 4))
+    figures = F.transform(F.regexp_extract_all(turned, F.lit("."), F.lit(0)), lambda c: F.when(c.rlike("[0-9]"), c.cast("int")).otherwise(F.ascii(c) - 55))
+    rest = F.aggregate(figures, F.lit(0), lambda a, d: F.when(d > 9, a * 100 + d).otherwise(a * 10 + d) % 97)
+    return F.when(value.rlike("^[A-Z]{2}[0-9]{2}[A-Z0-9]{10,30}$"), rest == 1).otherwise(False)
+
 
+def own_part(value: Column, kind: str) -> Column:
+    """The secret itself, without the name it is assigned to."""
+    return F.regexp_replace(value, r"^[^=:]*[=:][\s\"']*", "") if kind == "secret" else value
 
-def described(kind: str) -> Callable[[Column], Column]:
-    """A match of a generator as (kind, start, end, mask, good)."""
+
+def described(kind: str, base: Column) -> Callable[[Column], Column]:
+    """A match of a generator as (kind, start, end, mask, held, good, value): ``held`` if a
+    base span covers it, ``good`` if it has passed a check."""
 
     def of(s: Column) -> Column:
         bits = [F.when(f(s["value"], s["before"], kind), 1 << i).otherwise(0) for i, (_, f) in enumerate(FEATURES)]
-        return F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), sum(bits, F.lit(0)).alias("mask"), confirmed(s["value"], s["before"], kind).alias("good"))
+        over = F.exists(base, lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"]))
+        held = F.exists(base, lambda b: (b["start"] <= s["start"]) & (b["end"] >= s["end"]))
+        return F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), sum(bits, F.lit(0)).alias("mask"), held.alias("held"), (over | checked(s["value"], kind)).alias("good"), s["value"].alias("value"))
 
     return of
 
 
-def with_candidates(docs: DataFrame) -> DataFrame:
-    """(…, text) with an array ``candidates`` of (kind, start, end, mask, good)."""
+def with_candidates(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Adds arrays ``base`` of (start, kind_no, end, kind), sorted, and ``candidates``."""
+    for kind in BASE_KINDS:
+        docs = add_matches(docs, kind, text)
+        docs = docs.withColumn(kind, valid_spans(kind))
+    docs = docs.withColumn("base", F.array_sort(F.concat(*BASE_KINDS))).drop(*BASE_KINDS)
     for kind in MORE_KINDS:
-        docs = add_matches(docs, kind)
-        docs = docs.withColumn(kind, F.transform(kind, described(kind)))
+        docs = add_matches(docs, kind, text)
+        docs = docs.withColumn(kind, F.transform(kind, described(kind, F.col("base"))))
     return docs.withColumn("candidates", F.concat(*MORE_KINDS)).drop(*MORE_KINDS)
 
 
@@ -150,8 +189,10 @@ Tree = tuple[int, int, tuple[float, float, float, float]]
 class Boosted:
     """Trees of depth two over the feature bits, for the log odds of a candidate."""
 
-    def __init__(self, rows: list[tuple[int, int, int]], rounds: int = 12, rate: float = 0.5, precision: float = 0.98, ridge: float = 1.0):
-        """``rows``: (mask, candidates, confirmed ones)."""
+    def __init__(self, rows: list[tuple[int, int, int]], held: list[tuple[int, int, int]] | None = None, rounds: int = 24, rate: float = 0.5, precision: float = 0.98, ridge: float = 1.0):
+        """``rows``: (mask, candidates, confirmed ones) to learn from, ``held``: those that
+        set the threshold, the same ones by default."""
+        held = rows if held is None else held
         total, good = sum(n for _, n, _ in rows), sum(g for *_, g in rows)
         self.start = math.log((good + 1) / (total - good + 1))
         self.trees: list[Tree] = []
@@ -168,10 +209,16 @@ class Boosted:
             for m in scores:
                 scores[m] += tree[2][(m >> a & 1) * 2 + (m >> b & 1)]
         self.threshold, n_over, g_over = math.inf, 0, 0
-        for m, n, g in sorted(rows, key=lambda r: -scores[r[0]]):
+        ranked = sorted(((self.value(m), n, g) for m, n, g in held), key=lambda r: -r[0])
+        for i, (score, n, g) in enumerate(ranked):
             n_over, g_over = n_over + n, g_over + g
-            if g_over >= precision * n_over:
-                self.threshold = scores[m] - 1e-9
+            last_of_score = i + 1 == len(ranked) or ranked[i + 1][0] < score - 1e-9
+            if last_of_score and g_over >= precision * n_over and g_over:
+                self.threshold = score - 1e-9
+
+    def value(self, mask: int) -> float:
+        """The score of one mask."""
+        return self.start + sum(leaves[(mask >> a & 1) * 2 + (mask >> b & 1)] for a, b, leaves in self.trees)
 
     @staticmethod
     def _gain(slopes: list[tuple[int, float, float]], a: int, b: int, ridge: float) -> tuple[float, list[float]]:
@@ -194,11 +241,38 @@ class Boosted:
         return self.score(mask) >= (self.threshold if self.threshold < math.inf else float("inf"))
 
 
-def train(docs: DataFrame, text: str = "text", **options) -> Boosted:
-    """Trees from the candidates of all documents."""
-    found = with_candidates(docs.select(F.col(text).alias("text"))).select(F.explode_outer("candidates").alias("c"))
-    counts = found.groupBy("c.mask").agg(F.count("*").alias("n"), F.count_if("c.good").alias("g"))
-    return Boosted([(r.mask, r.n, r.g) for r in counts.collect() if r.mask is not None], **options)  # at most 2 ** len(FEATURES) rows
+#: A value in more texts than that is no one's own; a word is one if it stands in so many texts.
+MANY_TEXTS, WORD_TEXTS = 20, 3
+
+
+def labelled(docs: DataFrame, text: str = "text", train_rows: int = 200_000) -> DataFrame:
+    """(kind, mask, good, apart): candidates to learn from and whether they are held out."""
+    docs = docs.select(F.col(text).alias("text")).filter("text is not null")
+    found = with_candidates(docs).select(F.xxhash64("text").alias("text_key"), F.explode_outer("candidates").alias("c")).filter("c is not null").select("text_key", "c.kind", "c.mask", "c.good", "c.value")
+    own = F.when(F.col("kind") == "secret", own_part(F.col("value"), "secret")).otherwise(F.col("value"))
+    found = written(found.select("text_key", "kind", "mask", "good", own.alias("value"), F.xxhash64(own).alias("value_key")), "candidates")
+    n = found.count()
+    # a share by hash of the text, so that a text's candidates are in or out together
+    chosen = found.filter(F.pmod("text_key", F.lit(1 << 20)) < F.lit(max(1, (train_rows << 20) // max(n, 1)))).distinct()
+    texts_of = found.select("value_key", "text_key").distinct().groupBy("value_key").count()
+    common = texts_of.filter(F.col("count") > MANY_TEXTS).select("value_key", F.lit(True).alias("common"))
+    asked = chosen.filter(F.col("kind").isin("secret", "code") & ~F.col("good")).select("value_key", "value").distinct()
+    parts = written(asked.select("value_key", F.length("value").alias("size"), F.explode(F.regexp_extract_all(F.lower("value"), F.lit("[a-z]{4,}"), F.lit(0))).alias("word")), "parts")
+    # bounded by train_rows
+    wanted = F.broadcast(parts.select("word").distinct())
+    words = docs.select(F.xxhash64("text").alias("text_key"), F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("word")).join(wanted, "word", "left_semi")
+    known = words.distinct().groupBy("word").count().filter(F.col("count") >= WORD_TEXTS).select("word")
+    worded = parts.join(known, "word").groupBy("value_key", "size").agg(F.sum(F.length("word")).alias("letters")).filter("2 * letters >= size").select("value_key", F.lit(True).alias("worded"))
+    judged = chosen.join(common, "value_key", "left").join(worded, "value_key", "left")
+    secret = F.col("kind").isin("secret", "code") & F.col("worded").isNull() & F.col("common").isNull() & (F.length("value") >= 8)
+    return judged.select("kind", "mask", (F.col("good") | secret).alias("good"), (F.pmod(F.xxhash64("text_key"), F.lit(5)) == 0).alias("apart"))
+
+
+def train(docs: DataFrame, text: str = "text", train_rows: int = 200_000, **options) -> Boosted:
+    """Trees from the candidates of the documents."""
+    counts = labelled(docs, text, train_rows).groupBy("mask", "apart").agg(F.count("*").alias("n"), F.count_if("good").alias("g"))
+    rows = sorted(counts.collect())  # at most 2 ** (len(FEATURES) + 1) rows
+    return Boosted([(r.mask, r.n, r.g) for r in rows if not r.apart], [(r.mask, r.n, r.g) for r in rows if r.apart], **options)
 
 
 def valid_spans(kind: str) -> Column:
@@ -218,12 +292,8 @@ def find_spans(docs: DataFrame, model: Boosted | None = None, text: str = "text"
     ``redact`` keep the input apart.
     """
     model = model or train(docs, text)
-    for kind in BASE_KINDS:
-        docs = add_matches(docs, kind, text)
-        docs = docs.withColumn(kind, valid_spans(kind))
-    docs = docs.withColumn("base", F.array_sort(F.concat(*BASE_KINDS))).drop(*BASE_KINDS)
-    docs = with_candidates(docs if text == "text" else docs.withColumn("text", F.col(text)))
-    chosen = F.filter("candidates", lambda c: model.selects(c["mask"]))
+    docs = with_candidates(docs, text)
+    chosen = F.filter("candidates", lambda c: model.selects(c["mask"]) & ~c["held"])
     number = F.create_map(*[x for i, k in enumerate(KINDS) for x in (F.lit(k), F.lit(i))])
     more = F.transform(chosen, lambda c: F.struct(c["start"].alias("start"), F.element_at(number, c["kind"]).alias("kind_no"), c["end"].alias("end"), c["kind"].alias("kind")))
     return docs.withColumn("all_spans", F.array_sort(F.concat("base", more))).drop("candidates")
