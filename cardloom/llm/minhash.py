@@ -6,24 +6,33 @@ The number of bands follows from the similarity: a pair at the threshold shares
 no band with a probability of under one in a million.
 
 1. Documents with the same set of shingles are one node, the smallest id.
-2. In every band bucket each node is compared with the bucket's smallest node on
-   the full sets; the links found are joined into components.
-3. A bucket whose other nodes still lie in several components is compared
-   further, in blocks of nodes against blocks of nodes.  A block pair gives at
-   most one link for each two components it joins, so the links stay few however
-   many pairs of a group of near copies are similar.
-
-No set is cut short, no bucket is capped and nothing but counts reaches the driver.
+2. In every band bucket each node is compared on the full sets with the bucket's head,
+   the smallest node; the links found are joined into components.  Buckets whose nodes
+   still lie in several components get a new head, by hash, and what isn't of its
+   component is compared with it, ``ROUNDS`` times in all.  Each round costs one
+   comparison a node, and near copies of one text are joined within few.
+3. In a bucket that still has several components, the nodes outside of its largest
+   component are compared with all nodes of other components, in blocks bounded by
+   nodes and by shingles.  A block pair gives at most one link for each two components
+   it joins, so the links stay few however many pairs are similar.
+
+So every pair of a bucket that lies in different components is compared, whatever the
+rounds have found.  No set is cut short, no bucket is capped and nothing but counts
+reaches the driver.
 
 Defined results: a null text or one without a word has an empty set and is
-linked with nothing; rows that repeat an id are one node; a row without id is
-returned unlinked and kept.
+linked with nothing; rows that repeat an id are one node, with the sets of all of them,
+and of them ``without_near_duplicates`` keeps the first one as text; very long texts
+have all their shingles; of equal sets the smallest id is the group's; a row without id
+is returned unlinked and kept; an empty table gives an empty result; only the two named
+columns are read, and others may have any names.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -34,8 +43,10 @@ from pyspark.sql import functions as F
 from cardloom.llm.common import ascii_lower, shingles_of, ship, small_if_checked, words_of, written
 from cardloom.llm.components import components
 
-#: Nodes of a bucket in one block.
-BLOCK = 256
+#: Nodes and shingles of a bucket in one block.
+BLOCK, BLOCK_SHINGLES = 256, 1 << 20
+#: How often the buckets get a new head.
+ROUNDS = 5
 ROWS = 4
 #: Parts into which the copies of one set are dealt when they look up their node.
 SALTS = 32
@@ -135,17 +146,45 @@ def joined_components(labels: np.ndarray, sets: list[np.ndarray], blocks: np.nda
     return out
 
 
+def relabelled(labelled: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    """(bucket, node, n_shingles, label) after links between labels; buckets that have
+    one label left are done and go."""
+    found = components(links, name).select(F.col("node").alias("label"), F.col("label").alias("next"))
+    labelled = labelled.join(found, "label", "left").select("bucket", "node", "n_shingles", F.coalesce("next", "label").alias("label"))
+    return written(labelled, f"{name}-labelled")
+
+
+def several(labelled: DataFrame, name: str) -> DataFrame:
+    """The rows of buckets with several labels."""
+    open_ = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("bucket")
+    return written(labelled.join(written(open_, f"{name}-open"), "bucket", "left_semi"), f"{name}-several")
+
+
+def new_heads(labelled: DataFrame, sets: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Links (a, b) between labels: each bucket's head of this turn, by hash, with the
+    nodes that aren't of its label."""
+    heads = labelled.groupBy("bucket").agg(F.min_by(F.struct("node", "label"), F.xxhash64(F.lit(turn), "node")).alias("h")).select("bucket", F.col("h.node").alias("head"), F.col("h.label").alias("head_label"))
+    met = labelled.join(written(heads, f"heads-{turn}"), "bucket").filter("label <> head_label")
+    met = written(met.groupBy(F.col("head").alias("a"), F.col("node").alias("b")).agg(F.min("head_label").alias("label_a"), F.min("label").alias("label_b")), f"met-{turn}")
+    return star_links(met.select("a", "b"), sets, percent).join(met, ["a", "b"]).select(F.col("label_a").alias("a"), F.col("label_b").alias("b")).distinct()
+
+
 def block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between the components of members (bucket, node, label) of each bucket."""
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    sizes = written(sizes.select("bucket", blocks.alias("blocks")), "sizes")
-    dealt = members.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    paired = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    paired = paired.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "label").join(sets.select("node", "set"), "node")
+    """Links (a, b) between the labels of members (bucket, node, n_shingles, label) of
+    each bucket: the nodes outside of its most frequent label against all others."""
+    by_label = members.groupBy("bucket", "label").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("shingles"))
+    most = F.max_by(F.struct("label", "n", "shingles"), F.struct("n", "label"))
+    parts = lambda n, shingles: F.ceil(F.greatest(n / BLOCK, shingles / BLOCK_SHINGLES)).cast("int")
+    sizes = by_label.groupBy("bucket").agg(most.alias("m"), F.sum("n").alias("n"), F.sum("shingles").alias("shingles"), F.count("*").alias("labels")).filter("labels > 1")
+    sizes = written(sizes.select("bucket", F.col("m.label").alias("main"), parts(F.col("n"), F.col("shingles")).alias("blocks"), parts(F.col("n") - F.col("m.n"), F.col("shingles") - F.col("m.shingles")).alias("apart")), "sizes")
+    dealt = members.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("own", F.pmod(F.xxhash64(F.lit(1), "node"), F.col("apart")).cast("int"))
+    # a group is some of the nodes apart, and one block of all nodes, themselves included
+    asks = dealt.filter("label <> main").withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("bucket", F.col("own").alias("i"), "j", "node", "label", F.lit(0).alias("side"))
+    told = dealt.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("apart") - 1))).select("bucket", "i", F.col("block").alias("j"), "node", "label", F.lit(1).alias("side"))
+    paired = asks.unionByName(told).join(sets.select("node", "set"), "node")
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        found = joined_components(rows["label"].to_numpy(), list(rows["set"]), rows["block"].to_numpy(), percent)
+        found = joined_components(rows["label"].to_numpy(), list(rows["set"]), rows["side"].to_numpy(), percent)
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return paired.groupBy("bucket", "i", "j").applyInPandas(compare, "a long, b long")
@@ -164,7 +203,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_column
     noded = written(noded.select("doc_id", "n_shingles", "node", F.when(F.col("doc_id") == F.col("node"), F.col("buckets")).alias("buckets")), "nodes")
     members = noded.select("doc_id", "n_shingles", "node")
 
-    buckets = noded.filter("doc_id = node").select("node", F.explode("buckets").alias("bucket"))
+    buckets = noded.filter("doc_id = node").select("node", "n_shingles", F.explode("buckets").alias("bucket"))
     heads = buckets.groupBy("bucket").agg(F.min("node").alias("head"), F.max("node").alias("last")).filter("head < last").drop("last")
     # written, as a join is split where a key is hot only if both sides come straight from a shuffle or a table
     crowded = written(buckets.join(written(heads, "heads"), "bucket"), "crowded")
@@ -172,13 +211,21 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_column
     sets = with_sets(docs.join(wanted.hint("shuffle_hash"), "doc_id", "left_semi"), size).dropDuplicates(["doc_id", "key_a", "key_b"])
     sets = written(sets.select(F.col("doc_id").alias("node"), "set"), "sets")
 
-    rest = crowded.filter("node <> head")
-    first = components(star_links(rest.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(), sets, percent), "star")
-    labelled = written(rest.join(first, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label")).distinct(), "labelled")
-    second = components(block_links(labelled, sets, percent), "blocks").select(F.col("node").alias("label"), F.col("label").alias("further"))
-
-    joined = members.join(first, "node", "left").withColumn("label", F.coalesce("label", "node")).join(second, "label", "left")
-    component = F.coalesce("further", "label")
+    first = star_links(crowded.filter("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(), sets, percent)
+    # links between labels are drawn between nodes that bear these labels, so all of them together give the groups
+    links = [written(first, "star")]
+    held = relabelled(crowded.select("bucket", "node", "n_shingles", F.col("node").alias("label")), links[0], "star")
+    for turn in range(1, ROUNDS):
+        held = several(held, f"turn-{turn}")
+        if held.isEmpty():
+            break
+        links.append(written(new_heads(held, sets, percent, turn), f"links-{turn}"))
+        held = relabelled(held, links[-1], f"turn-{turn}")
+    links.append(written(block_links(held, sets, percent), "blocks"))
+    found = components(reduce(DataFrame.unionByName, links), "all").select("node", F.col("label").alias("component"))
+
+    joined = members.join(found, "node", "left")
+    component = F.coalesce("component", "node")
     return joined.select(F.col("doc_id").alias(id_column), "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
@@ -191,5 +238,7 @@ def without_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, i
     own = F.col(f"`{id_column}`").cast("long")
     left = docs.withColumn("_id", own).join(small_if_checked(dropped), "_id", "left_anti")
     repeated = small_if_checked(written(repeated, "repeated"))
-    once = left.join(repeated, "_id", "left_anti").unionByName(left.join(repeated, "_id", "left_semi").dropDuplicates(["_id"]))
+    whole = F.struct(*[F.col(f"`{c}`") for c in left.columns])
+    first = left.join(repeated, "_id", "left_semi").groupBy("_id").agg(F.min_by(whole, F.to_json(whole)).alias("_row")).select("_row.*")
+    once = left.join(repeated, "_id", "left_anti").unionByName(first)
     return once.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -52,9 +52,34 @@ def test_against_brute_force(docs, monkeypatch):
     texts = [None, "", "  ", "A", "a", "a b", "A B", "Ä b", "ä b", "long " * 5000, *cloud(1, 60), *cloud(2, 60, edits=7), *cloud(1, 5)]
     check(docs, texts, 3, 85)
     monkeypatch.setattr(minhash, "BLOCK", 8)
+    monkeypatch.setattr(minhash, "ROUNDS", 1)
     check(docs, texts, 5, 80)
 
 
+def test_blocks_bounded_by_shingles(docs, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 300)
+    monkeypatch.setattr(minhash, "ROUNDS", 2)
+    check(docs, [*cloud(3, 40, edits=8), *cloud(4, 40, edits=8)], 5, 80)
+
+
+def test_crowded_buckets_cost_a_comparison_a_node_and_round(spark, monkeypatch):
+    """The sets that are sent for comparison, of clouds of near copies, grow with the
+    rows and not with their square."""
+    sent = {}
+    for n in (500, 2000):
+        held = []
+        real = minhash.star_links
+        monkeypatch.setattr(minhash, "star_links", lambda pairs, sets, percent: held.append(pairs.count()) or real(pairs, sets, percent))
+        blocks = minhash.block_links
+        monkeypatch.setattr(minhash, "block_links", lambda members, sets, percent: held.append(members.filter("label is not null").count()) or blocks(members, sets, percent))
+        rows = list(enumerate(cloud(6, n, words=200, edits=20)))
+        out = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+        assert out.count() == n
+        sent[n] = sum(held)
+        monkeypatch.undo()
+    assert sent[2000] < 8 * sent[500]
+
+
 def test_edges(spark, docs):
     df = docs(["a b c d", "a b c d", "a b c d", "q"], ids=[5, None, 5, 7])
     got = sorted(((r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(df).collect()), key=str)
@@ -75,5 +100,13 @@ def test_kernel_compares_across_blocks_only():
     sets = [np.array([1, 2, 3]), np.array([1, 2, 3]), np.array([1, 2, 3, 4])]
     labels = np.array([10, 11, 12])
     assert minhash.joined_components(labels, sets, np.array([0, 0, 0]), 100) == [(10, 11)]
-    assert minhash.joined_components(labels, sets, np.array([0, 0, 1]), 75) == [(10, 12), (10, 11)] or len(minhash.joined_components(labels, sets, np.array([0, 0, 1]), 75)) == 2
+    assert minhash.joined_components(labels, sets, np.array([0, 0, 1]), 75) == [(10, 12), (10, 11)]
     assert minhash.joined_components(np.array([1, 1, 1]), sets, np.array([0, 0, 0]), 10) == []
+
+
+def test_the_kept_row_of_a_repeated_id_is_the_first_as_text(spark):
+    rows = [(1, t, t) for t in ("delta x y z q", "alpha b c d e", "gamma u v w x")]
+    for n in (1, 3):
+        df = spark.createDataFrame(rows, "doc_id long, text string, component_id string").repartition(n)
+        kept = minhash.without_near_duplicates(df).collect()
+        assert [r.text for r in kept] == ["alpha b c d e"] and kept[0].component_id == "alpha b c d e"
