@@ -39,15 +39,17 @@ from pyspark.sql import functions as F
 from cardloom.llm.common import most_frequent, ship, words_of, written
 from cardloom.llm.ngram_quality import pack, slices, unpack
 
-BASE = 30
-CODES = BASE**3
+BASE, DIGITS = 8, 5
+CODES = BASE**DIGITS
+#: Where the rows of each digit begin in the table of biases, which has a row for every beginning of a code.
+_ROWS = [sum(BASE**i for i in range(d)) for d in range(DIGITS + 1)]
 #: Code 0 stands beside a text; the last codes are shared by words that aren't frequent.
 SHARED = 1000
 FIRST_SHARED = CODES - SHARED
 #: How often a word must stand in the corpus to have a code of its own, which can be learned.
 SEEN = 50
-SIDE, WIDTH, HIDDEN = 2, 12, 32
-SHAPES = {"embed": (CODES, WIDTH), "inner": (2 * SIDE * WIDTH, HIDDEN), "inner_bias": (HIDDEN,), "outer": (HIDDEN, 3 * BASE), "first": (BASE,), "second": (BASE, BASE), "third": (BASE * BASE, BASE)}
+SIDE, WIDTH, HIDDEN = 2, 8, 24
+SHAPES = {"embed": (CODES, WIDTH), "inner": (2 * SIDE * WIDTH, HIDDEN), "inner_bias": (HIDDEN,), "outer": (HIDDEN, DIGITS * BASE), "bias": (_ROWS[-1], BASE)}
 Weights = dict[str, np.ndarray]
 _AROUND = [*range(-SIDE, 0), *range(1, SIDE + 1)]
 #: Words of a lane, and words that aren't frequent of a shard of windows.
@@ -212,6 +214,8 @@ def recalled(n: np.ndarray, total: np.ndarray, kinds: np.ndarray, worth: np.ndar
 def remembered(encoded: DataFrame) -> DataFrame:
     """(row, value): for each document with windows that stand elsewhere what they add."""
 
+    part = pa.schema([("row", pa.int64()), ("places", pa.binary()), ("values", pa.binary())])
+
     def shard(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         parts = [(np.cumsum(unpack(r["keys"], "<u8"), dtype=np.uint64), unpack(r["words"], "<u2"), unpack(r["counts"], "<u4")) for r in rows]
@@ -223,7 +227,7 @@ def remembered(encoded: DataFrame) -> DataFrame:
         word_of[order], key_of[order] = np.cumsum(new_word) - 1, np.cumsum(new_key) - 1
         n, total = np.bincount(word_of, counts), np.bincount(key_of, counts)
         kinds = np.bincount(np.cumsum(new_key)[new_word] - 1)
-        out, start = {"row": [], "value": []}, 0
+        out, start = [], 0
         for r, (k, _, c) in zip(rows, parts, strict=True):
             here = slice(start, start + len(k))
             start += len(k)
@@ -231,13 +235,21 @@ def remembered(encoded: DataFrame) -> DataFrame:
             owners = np.cumsum(unpack(r["owners"], "<u2"), dtype=np.uint16)
             sums = np.bincount(owners, np.repeat(value, c))
             at = np.flatnonzero(sums)
-            # the rows of a batch follow each other
-            out["row"].append(at + r["row"])
-            out["value"].append(sums[at])
-        return pa.table({k: np.concatenate(v) for k, v in out.items()}, schema=pa.schema([("row", pa.int64()), ("value", pa.float64())]))
+            if len(at):
+                out.append((r["row"], at.astype("<u2").tobytes(), sums[at].astype("<f8").tobytes()))
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else ([],) * 3, part.types, strict=True)], schema=part)
+
+    def batch(table: pa.Table) -> pa.Table:
+        sums = np.zeros(1 << 16)
+        for r in sorted(table.to_pylist(), key=lambda r: (r["places"], r["values"])):
+            sums[np.frombuffer(r["places"], "<u2")] += np.frombuffer(r["values"], "<f8")
+        at = np.flatnonzero(sums)
+        # the rows of a batch follow each other
+        return pa.table({"row": at + table.column("row")[0].as_py(), "value": sums[at]})
 
     asked = encoded.filter("kind = 'window'").select("row", "shard", "keys", "words", "worths", "counts", "owners")
-    return asked.groupBy("shard").applyInArrow(shard, "row long, value double").groupBy("row").agg(F.sum("value").alias("value"))
+    told = asked.groupBy("shard").applyInArrow(shard, "row long, places binary, values binary")
+    return told.groupBy("row").applyInArrow(batch, "row long, value double")
 
 
 def positions(n: np.ndarray) -> np.ndarray:
@@ -263,47 +275,41 @@ def shaped(values: np.ndarray) -> Weights:
     return out
 
 
-def digits(codes: np.ndarray) -> list[np.ndarray]:
-    """The three digits of codes, the first one also with the second as one number."""
-    return [codes // (BASE * BASE), codes // BASE % BASE, codes % BASE, codes // BASE]
-
-
-def log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
-
-
-def outputs(w: Weights, hidden: np.ndarray, target: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each digit the log-probabilities of its values and the digit wanted."""
-    first, second, third, both = digits(target)
-    raw = hidden @ w["outer"]
-    biases = (w["first"], w["second"][first], w["third"][both])
-    return [(log_softmax(raw[:, i * BASE : (i + 1) * BASE] + bias), wanted) for i, (bias, wanted) in enumerate(zip(biases, (first, second, third), strict=True))]
+def outputs(w: Weights, hidden: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The exponentials of what the network says of each digit's values (place, digit,
+    value), under the condition of the digits before; the digits wanted; their rows of
+    biases."""
+    left = [target // BASE ** (DIGITS - d) for d in range(DIGITS + 1)]
+    wanted = np.stack([x % BASE for x in left[1:]], axis=1)
+    rows = np.stack([start + x for start, x in zip(_ROWS, left, strict=False)], axis=1)[:, :DIGITS]
+    x = (hidden @ w["outer"]).reshape(-1, DIGITS, BASE) + w["bias"][rows]
+    return np.exp(np.clip(x, -60, 60, out=x), out=x), wanted, rows
 
 
 def gradients(w: Weights, context: np.ndarray, target: np.ndarray) -> Weights:
     """Of the mean negative log-probability of ``target`` under ``context``."""
-    rows = np.arange(len(target))
-    first, _, _, both = digits(target)
-    seen = w["embed"][context].reshape(len(target), -1)
+    n = len(target)
+    seen = w["embed"][context].reshape(n, -1)
     hidden = np.tanh(seen @ w["inner"] + w["inner_bias"])
-    errors = []
-    for logs, wanted in outputs(w, hidden, target):
-        d = np.exp(logs)
-        d[rows, wanted] -= 1
-        errors.append(d / len(target))
-    d = np.concatenate(errors, axis=1)
+    x, wanted, rows = outputs(w, hidden, target)
+    x /= x.sum(axis=2, keepdims=True)
+    errors = x.reshape(-1, BASE)
+    errors[np.arange(len(errors)), wanted.ravel()] -= 1
+    errors /= n
+    d = errors.reshape(n, -1)
     d_inner = (d @ w["outer"].T) * (1 - hidden**2)
     d_seen = (d_inner @ w["inner"].T).reshape(-1, WIDTH)
-    spread = lambda at, values, size: np.bincount((at[:, None] * values.shape[1] + np.arange(values.shape[1])).ravel(), values.ravel(), size * values.shape[1]).reshape(size, -1)
+
+    def spread(at: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+        """The sums of the rows of values that have the same place."""
+        return np.stack([np.bincount(at, column, size) for column in np.ascontiguousarray(values.T)], axis=1)
+
     return {
         "embed": spread(context.ravel(), d_seen, CODES),
         "inner": seen.T @ d_inner,
         "inner_bias": d_inner.sum(axis=0),
         "outer": hidden.T @ d,
-        "first": errors[0].sum(axis=0),
-        "second": spread(first, errors[1], BASE),
-        "third": spread(both, errors[2], BASE * BASE),
+        "bias": spread(rows.ravel(), errors, _ROWS[-1]),
     }
 
 
@@ -317,9 +323,12 @@ class Trainer:
     def learn(self, context: np.ndarray, target: np.ndarray) -> None:
         self.seen += len(target)
         for k, g in gradients(self.weights, context, target).items():
-            g = g.astype(np.float32)
-            self.square[k] += g * g
-            self.weights[k] -= self.rate * g / np.sqrt(self.square[k])
+            # words that aren't in the windows of these steps have no gradient
+            at = np.flatnonzero(np.bincount(context.ravel(), minlength=CODES)) if k == "embed" else slice(None)
+            g = g[at].astype(np.float32)
+            square = self.square[k][at] + g * g
+            self.square[k][at] = square
+            self.weights[k][at] -= self.rate * g / np.sqrt(square)
 
 
 def laid_out(codes: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -336,7 +345,7 @@ def masked(text: np.ndarray, at: np.ndarray, turn: int, rounds: int) -> np.ndarr
     return at[scrambled(at.astype(np.uint64) + np.uint64(1)) % np.uint64(rounds) == turn]
 
 
-def train(encoded: DataFrame, lanes: int, rounds: int = 2, batch: int = 4096) -> Weights:
+def train(encoded: DataFrame, lanes: int, rounds: int = 2, batch: int = 8192) -> Weights:
     """Weights after ``rounds`` of steps in all lanes and averaging."""
     spark, weights = encoded.sparkSession, fresh()
     texts = laned(encoded, lanes).filter("n_words > 0").select("lane", "doc_id", "codes")
@@ -384,7 +393,7 @@ def train(encoded: DataFrame, lanes: int, rounds: int = 2, batch: int = 4096) ->
 def laned(encoded: DataFrame, lanes: int) -> DataFrame:
     """The rows of texts with their lanes, each lane in one partition."""
     texts = encoded.filter("kind = 'text'").withColumn("lane", F.pmod(F.xxhash64("doc_id", "codes"), F.lit(lanes).cast("long")))
-    return texts.repartition(2 * lanes, "lane")
+    return texts.repartitionById(lanes, F.col("lane").cast("int"))
 
 
 def log_probabilities(w: Weights, text: np.ndarray, at: np.ndarray, chunk: int = 8192) -> np.ndarray:
@@ -394,7 +403,9 @@ def log_probabilities(w: Weights, text: np.ndarray, at: np.ndarray, chunk: int =
     for start in range(0, len(at), chunk):
         here = at[start : start + chunk]
         hidden = np.tanh(w["inner_bias"] + sum(table[text[here + k]] for table, k in zip(tables, _AROUND, strict=True)))
-        out[start : start + chunk] = sum(logs[np.arange(len(here)), wanted] for logs, wanted in outputs(w, hidden, text[here]))
+        x, wanted, _ = outputs(w, hidden, text[here])
+        chosen = np.take_along_axis(x, wanted[:, :, None], axis=2)[:, :, 0]
+        out[start : start + chunk] = np.log(chosen / x.sum(axis=2)).sum(axis=1)
     return out
 
 

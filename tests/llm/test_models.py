@@ -47,12 +47,12 @@ def forward(w, context, target):
     out = []
     for seen, code in zip(context, target, strict=True):
         hidden = np.tanh(sum(w["embed"][c] @ w["inner"][p * masked_lm.WIDTH : (p + 1) * masked_lm.WIDTH] for p, c in enumerate(seen)) + w["inner_bias"])
-        high, rest = divmod(int(code), masked_lm.BASE**2)
-        middle, low = divmod(rest, masked_lm.BASE)
-        total = 0.0
-        for i, (wanted, bias) in enumerate(((high, w["first"]), (middle, w["second"][high]), (low, w["third"][high * masked_lm.BASE + middle]))):
-            x = hidden @ w["outer"][:, i * masked_lm.BASE : (i + 1) * masked_lm.BASE] + bias
+        total, before, row = 0.0, 0, 0
+        for i in range(masked_lm.DIGITS):
+            wanted = int(code) // masked_lm.BASE ** (masked_lm.DIGITS - 1 - i) % masked_lm.BASE
+            x = hidden @ w["outer"][:, i * masked_lm.BASE : (i + 1) * masked_lm.BASE] + w["bias"][row + before]
             total += x[wanted] - np.log(np.exp(x).sum())
+            row, before = row + masked_lm.BASE**i, before * masked_lm.BASE + wanted
         out.append(total)
     return np.array(out)
 
