@@ -14,6 +14,8 @@ import struct
 import unicodedata
 from collections.abc import Iterator
 
+#: Longer pre-tokens aren't kept in a cache.
+LONGEST = 256
 #: Characters whose lower case and composed form need no tables of the library.
 _PLAIN = re.compile("[\t-\r -~¡-¬®-įĲ-ňŊ-ſ‐-‧‰-⁞€]*")
 
@@ -37,11 +39,13 @@ def _byte_characters() -> dict[int, str]:
 class PreTokens(dict):
     """Maps a pre-token to its ids as little-endian 32-bit integers.
 
+    Entries of over ``LONGEST`` characters aren't kept.
+
     ``fixed`` stays; of what is learned besides, at most ``capacity`` entries
     are held, so memory is bounded whatever the corpus is.
     """
 
-    def __init__(self, path: str, fixed: dict[str, bytes] | None = None, capacity: int = 300_000):
+    def __init__(self, path: str, fixed: dict | None = None, capacity: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -59,10 +63,16 @@ class PreTokens(dict):
             self.clear()
             self.update(self.fixed)
         units = token.encode().decode("latin-1").translate(self.table)
-        ids = self.model.tokenize(units)
-        self[token] = out = self.packed([t.id for t in ids])
+        out = self.of([t.id for t in self.model.tokenize(units)])
+        if len(token) <= LONGEST:
+            self[token] = out
         return out
 
+    @classmethod
+    def of(cls, ids: list[int]) -> bytes:
+        """What is kept of a pre-token with these ids."""
+        return cls.packed(ids)
+
     @staticmethod
     def packed(ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}I", *ids)
@@ -81,14 +91,29 @@ class PreTokens(dict):
         return b"".join(map(self.__getitem__, tokens))
 
 
-_IN_WORKER: dict[str, PreTokens] = {}
+class Lengths(PreTokens):
+    """Maps a pre-token to its number of tokens."""
+
+    @classmethod
+    def of(cls, ids: list[int]) -> int:
+        return len(ids)
+
+    def count(self, text: str) -> int:
+        """The number of tokens of a whole text."""
+        tokens = self.split(text)
+        if tokens is None:
+            return len(self.library.encode(text, add_special_tokens=False).ids)
+        return sum(map(self.__getitem__, tokens))
+
+
+_IN_WORKER: dict[tuple[str, type], PreTokens] = {}
 
 
-def for_worker(path: str, fixed: dict[str, bytes] | None = None) -> PreTokens:
+def for_worker(path: str, kind: type = PreTokens, fixed: dict | None = None) -> PreTokens:
     """The cache of this Python worker; later tasks of the worker find it warm."""
-    held = _IN_WORKER.get(path)
+    held = _IN_WORKER.get((path, kind))
     if held is None or held.fixed != (fixed or {}):
-        _IN_WORKER[path] = held = PreTokens(path, fixed)
+        _IN_WORKER[path, kind] = held = kind(path, fixed)
     return held
 
 

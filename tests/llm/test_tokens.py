@@ -37,6 +37,16 @@ def test_counts(docs, library):
         n = len(ids(library, t))
         assert (got[i].n_bytes, got[i].n_tokens, got[i].over_limit) == (len((t or "").encode()), n, n > 2048)
     assert token_counts.count_tokens(df.limit(0), tokenizer_file()).count() == 0
+    twice = token_counts.count_tokens(df.unionAll(df), tokenizer_file()).collect()
+    assert len(twice) == 2 * len(TEXTS) and all(r.n_tokens == got[r.doc_id].n_tokens for r in twice)
+
+
+def test_frequent_lengths_are_those_of_all_documents(docs, library):
+    texts = ["common word " * 50 + f"rare{i} only{i}" for i in range(200)] + ["z" * 100 + " "] * 300
+    table = token_counts.frequent(docs(texts), tokenizer_file(), table_size=4)
+    assert 2 <= len(table) <= 4 and {"common", "word"} <= set(table) and "z" * 100 not in table
+    assert all(n == len(ids(library, t)) for t, n in table.items())
+    assert token_counts.frequent(docs([]), tokenizer_file()) == {}
 
 
 def test_packing_places_each_id_once(docs, library):
@@ -64,6 +74,9 @@ def test_packing_places_each_id_once(docs, library):
         used += at
     assert used / (4096 * len(sequences)) > 0.97
     assert packing.pack(docs(texts).limit(0), tokenizer_file()).count() == 0
+    assert sum(r.length == 4096 for r in rows) == sum(r.length == 4096 and r.offset == 0 for r in rows) > 1
+    clash = docs(texts[:20]).withColumnRenamed("source", "length").withColumnRenamed("lang", "rank")
+    assert packing.pack(clash, tokenizer_file()).select("doc_id").distinct().count() == 20
     twice = packing.pack(docs(["a", "a"], ids=[1, 1]), tokenizer_file()).collect()
     assert sorted(r.offset for r in twice) == [0, twice[0].length]
 
