@@ -5,11 +5,15 @@ Only the histogram of piece lengths, at most ``size`` rows, reaches the driver,
 where lengths are placed longest first into the emptiest packs that still have
 room.  That gives *patterns* with counts instead of packs.  Each piece finds its
 place by its rank among the pieces of its length: ranks are made in salted
-groups, so that a length that a third of all pieces share is no single task.
-
-Defined results: a null or empty text is the end id alone; repeated rows are
-packed one by one; an empty input gives an empty result; only the two named
-columns are read.
+groups, so that a length that a third of all pieces share is no single task.  Full
+pieces fill a sequence alone and need no rank: their sequences have numbers of their own
+after all others, with gaps between those of different tasks.
+
+Defined results: a null or empty text is the end id alone; very long texts are cut into
+as many pieces as they need; pieces of one length are ranked by salt, id, start and
+checksum, and those alike in all have the ranks in any order, which shows in no column;
+repeated rows are packed one by one; an empty input gives an empty result; only the two
+named columns are read, whatever others are called.
 """
 
 from __future__ import annotations
@@ -114,10 +118,12 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, size: int = 4096, id_
     ship(docs.sparkSession)
     docs = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
     cut = written(pieces(docs, tokenizer, end_id, size), "pieces")
+    full, cut = cut.filter(F.col("length") == size), cut.filter(F.col("length") < size)
     counts = cut.groupBy("length").count()
     histogram = {r["length"]: r["count"] for r in counts.collect()}  # at most `size` rows
     spark = docs.sparkSession
-    at = spark.sparkContext.broadcast(places(patterns(histogram, size)))
+    found = patterns(histogram, size)
+    at = spark.sparkContext.broadcast(places(found))
 
     groups = F.broadcast(spark.createDataFrame([(k, -(-n // GROUP)) for k, n in histogram.items()], "length long, groups long"))
     dealt = cut.join(groups, "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.col("groups"))).drop("groups")
@@ -136,4 +142,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, size: int = 4096, id_
             new = [pa.array(to["sequence"][row] + pack_no), pa.array(to["offset"][row] + turn * length)]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *new], names=[*kept, "sequence_id", "offset"])
 
-    return ranked.select(*kept, "rank").mapInArrow(place, f"{PIECES}, sequence_id long, offset long").withColumnRenamed("doc_id", id_column)
+    placed = ranked.select(*kept, "rank").mapInArrow(place, f"{PIECES}, sequence_id long, offset long")
+    after = F.lit(sum(n for n, _ in found)) + F.monotonically_increasing_id()
+    alone = full.select(*kept, after.alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    return placed.unionByName(alone).withColumnRenamed("doc_id", id_column)
