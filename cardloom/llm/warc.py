@@ -6,6 +6,15 @@ in chunks of ``chunk_bytes`` on both ways; each chunk row carries the number of
 payload bytes and the SHA-1 up to its end, so the last chunk's values are those
 of the whole payload and no task ever holds a whole large record.
 
+Only digests and ids decide what is a response: the records that a payload has are found
+by an aggregate of these, and come back to the payloads as a small table, or else by a
+join of written tables, which Spark splits where a digest is hot.
+
+Archives of others are read too: plain or gzip, with folded header lines, ids of any
+kind, without payload digests (none is declared then), and with ``resource`` records or
+responses of other protocols, whose whole block is the payload.  Other record types are
+skipped.
+
 A task writes archives under names of its own and returns a manifest row for
 each.  The manifest is a Parquet table, whose commit takes one attempt of each
 task: what a lost or repeated attempt left behind is in no manifest and not read.
@@ -13,7 +22,9 @@ task: what a lost or repeated attempt left behind is in no manifest and not read
 Defined results: a null payload is empty; of equal payloads of ``least_bytes``
 or more, the record with the largest id is the response and the others revisit
 it (a repeated id makes several responses); null ids revisit the largest id, or
-are responses if there is none; no records give no archives.
+are responses if there is none; repeated rows are archived one by one; very large
+payloads pass in chunks; no records give no archives and an empty result; other columns
+than the three named are not read, whatever they are called.
 """
 
 from __future__ import annotations
@@ -31,7 +42,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardloom.llm.common import shared_folder, ship, written
+from cardloom.llm.common import shared_folder, ship, small_if_checked, written
 
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MANIFEST = "file string, n_records long, n_bytes long"
@@ -47,7 +58,7 @@ def with_revisits(records: DataFrame, least_bytes: int = 0) -> DataFrame:
     payload = F.coalesce(F.col("payload").cast("binary"), F.lit("").cast("binary"))
     records = records.withColumn("payload", payload).withColumn("sha1", F.sha1("payload")).withColumn("n_bytes", F.octet_length("payload").cast("long"))
     heads = records.filter(F.col("n_bytes") >= least_bytes).groupBy("sha1").agg(F.max("id").alias("head"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    joined = records.join(heads, "sha1", "left")
+    joined = records.join(small_if_checked(written(heads, "heads")), "sha1", "left")
     return joined.withColumn("refers_to", F.when(~F.col("head").eqNullSafe(F.col("id")), F.col("head"))).drop("head")
 
 
@@ -119,14 +130,23 @@ def write_archives(records: DataFrame, folder: str, chunk_bytes: int = 1 << 16,
 
 
 def _header(stream: io.BufferedReader) -> dict[str, str]:
-    """Named fields up to the empty line, names in lower case."""
-    out = {}
+    """Named fields up to the empty line, names in lower case; a line that begins with
+    white space goes on with the field before."""
+    out, key = {}, b""
     while (line := stream.readline().rstrip(b"\r\n")):
+        if line[:1] in b" \t" and key:
+            out[key.decode(errors="replace")] += " " + line.strip().decode(errors="replace")
+            continue
         key, _, value = line.partition(b":")
-        out[key.strip().lower().decode()] = value.strip().decode()
+        key = key.strip().lower()
+        out[key.decode(errors="replace")] = value.strip().decode(errors="replace")
     return out
 
 
+def _bare(uri: str | None) -> str | None:
+    return uri and uri.removeprefix("<").removesuffix(">")
+
+
 def records_of(stream: io.BufferedReader, chunk_bytes: int) -> Iterator[tuple]:
     """Chunk rows of one archive, in order; the stream holds at most a chunk more."""
     while line := stream.readline():
@@ -134,19 +154,23 @@ def records_of(stream: io.BufferedReader, chunk_bytes: int) -> Iterator[tuple]:
             continue
         fields = _header(stream)
         left = int(fields["content-length"])
-        if fields["warc-type"] not in ("response", "revisit"):
+        if fields.get("warc-type") not in ("response", "revisit", "resource"):
             while left and (skipped := stream.read(min(left, chunk_bytes))):
                 left -= len(skipped)
             continue
         head, status = b"", b""
-        while left and status not in (b"\r\n", b"\n"):
-            status = stream.readline()
-            left -= len(status)
-            head += status
+        if fields["warc-type"] != "resource" and fields.get("content-type", "application/http").startswith("application/http"):
+            while left and status not in (b"\r\n", b"\n"):
+                status = stream.readline(left)
+                if not status:
+                    break
+                left -= len(status)
+                head += status
         inner = _header(io.BufferedReader(io.BytesIO(head.partition(b"\n")[2])))
-        whole = int(inner.get("content-length", left))
-        name = lambda x: x and x.removeprefix("<urn:page:").removesuffix(">")
-        same = (name(fields["warc-record-id"]), fields["warc-type"], name(fields.get("warc-refers-to")), fields.get("warc-target-uri"), fields["warc-payload-digest"].removeprefix("sha1:"), whole)
+        declared = inner.get("content-length", "")
+        whole = int(declared) if declared.isdecimal() else left
+        digest_of = fields.get("warc-payload-digest")
+        same = (_bare(fields.get("warc-record-id")), fields["warc-type"], _bare(fields.get("warc-refers-to")), _bare(fields.get("warc-target-uri")), digest_of and digest_of.partition(":")[2], whole)
         digest, so_far, chunk_no = hashlib.sha1(), 0, 0
         while True:
             data = stream.read(min(left, chunk_bytes))
@@ -161,6 +185,11 @@ def records_of(stream: io.BufferedReader, chunk_bytes: int) -> Iterator[tuple]:
                 break
 
 
+def opened(raw: io.BufferedReader) -> io.BufferedReader:
+    """An archive's bytes, whether it is compressed or not."""
+    return io.BufferedReader(gzip.GzipFile(fileobj=raw), 1 << 16) if raw.peek(2)[:2] == b"\x1f\x8b" else raw
+
+
 def read_chunks(manifest: DataFrame, chunk_bytes: int = 1 << 16, with_data: bool = True, batch_bytes: int = 1 << 23) -> DataFrame:
     """The chunk rows of all archives of a manifest; one task reads an archive."""
     ship(manifest.sparkSession)
@@ -176,8 +205,8 @@ def read_chunks(manifest: DataFrame, chunk_bytes: int = 1 << 16, with_data: bool
         for batch in batches:
             for file in batch.column("file").to_pylist():
                 store, path = fs.FileSystem.from_uri(file)
-                with store.open_input_stream(path, compression=None) as raw, gzip.GzipFile(fileobj=raw) as plain:
-                    for row in records_of(io.BufferedReader(plain, 1 << 16), chunk_bytes):
+                with store.open_input_stream(path, compression=None) as raw:
+                    for row in records_of(opened(io.BufferedReader(raw, 1 << 16)), chunk_bytes):
                         held += len(row[7]) + 200
                         rows.append(row if with_data else (*row[:7], None, *row[8:]))
                         if held >= batch_bytes:
@@ -196,10 +225,11 @@ def round_trip(pages: DataFrame, id_column: str = "page_id", url: str = "url", p
     manifest = write_archives(with_revisits(records, least_bytes), f"{shared_folder(pages.sparkSession)}/warc-{uuid.uuid4().hex}")
     read = read_chunks(manifest, with_data=False).filter("last")
     own = F.col("record_type") == "response"
+    page = lambda c: F.regexp_extract(c, "^urn:page:(-?[0-9]+)$", 1).try_cast("bigint")
     return read.select(
-        F.expr("try_cast(record_id as bigint)").alias(id_column),
+        page("record_id").alias(id_column),
         F.when(own, F.col("bytes_so_far")).otherwise(F.col("declared_bytes")).alias("payload_bytes"),
         F.when(own, F.col("digest_so_far")).otherwise(F.col("declared_digest")).alias("payload_digest"),
         "record_type",
-        F.expr("try_cast(refers_to as bigint)").alias("refers_to"),
+        page("refers_to").alias("refers_to"),
     )

@@ -43,3 +43,25 @@ def test_other_records_are_skipped_and_short_ones_are_errors():
     except EOFError:
         return
     raise AssertionError("a cut record was read")
+
+
+def test_foreign_archives_are_read(spark, tmp_path):
+    parts = [
+        b"WARC/1.1\r\nWARC-Type: warcinfo\r\nContent-Length: 2\r\n\r\nhi\r\n\r\n",
+        b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:1-2>\r\nWARC-Target-URI: <http://a/>\r\nContent-Type: application/http;\r\n msgtype=response\r\nContent-Length: 23\r\n\r\nHTTP/1.1 200 OK\r\n\r\nbody\r\n\r\n",
+        b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:3>\r\nContent-Type: text/dns\r\nContent-Length: 9\r\n\r\n1 A 1.2.3\r\n\r\n",
+        b"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:uuid:4>\r\nWARC-Payload-Digest: sha1:X\r\nContent-Length: 3\r\n\r\n\xff\x00z\r\n\r\n",
+        b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:5>\r\nContent-Length: 40\r\n\r\nHTTP/1.1 200 OK\r\nContent-Length: many\r\n\r\n\r\n\r\n",
+    ]
+    (tmp_path / "plain.warc").write_bytes(b"".join(parts))
+    (tmp_path / "small.warc.gz").write_bytes(b"".join(map(gzip.compress, parts)))
+    files = spark.createDataFrame([(f"file://{tmp_path}/{f}",) for f in ("plain.warc", "small.warc.gz")], "file string")
+    got = [(r.record_id, r.record_type, bytes(r.data), r.declared_digest, r.target_uri) for r in warc.read_chunks(files).collect()]
+    want = [("urn:uuid:1-2", "response", b"body", None, "http://a/"), ("urn:uuid:3", "response", b"1 A 1.2.3", None, None), ("urn:uuid:4", "resource", b"\xff\x00z", "X", None)]
+    assert sorted(x for x in got if x[0] != "urn:uuid:5") == sorted(want * 2) and len(got) == 8
+
+
+def test_other_columns_and_hot_payloads(spark):
+    df = spark.range(500).selectExpr("id AS page_id", "'u' AS url", "if(id % 3 = 0, 'hot', concat('p', id)) AS html", "'x' AS head", "1 AS sha1", "2 AS payload")
+    got = {r.page_id: (r.record_type, r.refers_to) for r in warc.round_trip(df).collect()}
+    assert all(got[i] == (("revisit", 498) if i % 3 == 0 and i != 498 else ("response", None)) for i in range(500))
