@@ -9,11 +9,17 @@ For a document expectation-maximisation finds the proportions under which its
 n-grams are likeliest.  Languages are then taken away, least first, as long as
 the log-likelihood lost is smaller than the penalty for one language more; the
 language with the largest proportion among those left is the prediction, and
-that proportion the score.
+that proportion the score.  ``languages`` are all that are left.
 
-Defined results: a null text and one without a letter are ``und`` with score 0,
-as is everything if no language was learned; rows without language or text are
-not learned from; rows are predicted one by one.
+At most ``LANGUAGES`` values of ``lang`` are learned, those that most documents have
+(of equals the first by name), so that a dirty column doesn't make the models grow.
+
+Defined results: a null or empty text and one without a letter are ``und`` with score 0
+and no languages, as is everything if no language was learned; rows without language or
+text are not learned from; very long texts are read whole; of equal proportions the
+first language by name is predicted and the last one taken away; rows are predicted one
+by one, repeated or not; an empty table gives an empty result; only the three named
+columns are read, whatever others are called.
 """
 
 from __future__ import annotations
@@ -26,9 +32,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardloom.llm.common import ship
+from cardloom.llm.common import ship, written
 
 CELLS = 1 << 15
+LANGUAGES = 256
 UNKNOWN = "und"
 _FOLD = bytes(32 if b < 65 or 91 <= b <= 96 or 123 <= b <= 127 else b for b in range(256))
 
@@ -54,8 +61,11 @@ def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
             cells = np.nonzero(counts)[0]
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(cells)), pa.array(cells.astype(np.int32)), pa.array(counts[cells])], names=["lang", "cell", "n"])
 
-    sums = docs.filter("lang is not null and text is not null").select("text", "lang").mapInArrow(count, "lang string, cell int, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
-    # one row for each language, at most CELLS entries in it
+    docs = docs.filter("lang is not null and text is not null").select("text", "lang")
+    found = written(docs.groupBy("lang").count(), "languages")
+    chosen = found.orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang")
+    sums = docs.join(F.broadcast(chosen), "lang", "left_semi").select("text", "lang").mapInArrow(count, "lang string, cell int, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
+    # at most LANGUAGES rows, with at most CELLS entries in each
     rows = sums.groupBy("lang").agg(F.collect_list(F.struct("cell", "n")).alias("cells")).orderBy("lang").collect()
     models = np.full((len(rows), CELLS), 0.5)
     for model, row in zip(models, rows, strict=True):
@@ -84,7 +94,7 @@ def infer(cells: np.ndarray, models: np.ndarray, penalty: float) -> tuple[int, f
     share, score = mixture(likely, times, np.full(len(models), 1 / len(models), np.float32))
     cost = penalty * np.log(times.sum() + 1)
     while len(kept) > 1:
-        fewer = np.delete(np.arange(len(kept)), share.argmin())
+        fewer = np.delete(np.arange(len(kept)), len(share) - 1 - share[::-1].argmin())
         start = share[fewer] + 1e-6
         next_share, next_score = mixture(likely[kept[fewer]], times, start / start.sum())
         if score - next_score > cost:
@@ -130,7 +140,7 @@ def identify(docs: DataFrame) -> DataFrame:
     ship(docs.sparkSession)
     learned = docs.filter(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull())
     told = predict(docs, *learn(learned))
-    return told.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+    return told.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "languages")
 
 
 def crc_is_two(doc_id: int) -> bool:

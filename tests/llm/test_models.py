@@ -36,6 +36,56 @@ def test_a_mixed_text_has_both_languages(spark, three):
     assert set(got[1].languages) == {"en", "fr"} and 0.3 < got[1].score < 0.7 and got[2].languages == ["en"]
 
 
+def em(text, models, names, penalty=4.0):
+    """The likeliest language, its proportion and the set, n-gram by n-gram in plain Python."""
+    grams = Counter(int(c) for c in language_id.cells_of(text))
+
+    def fit(kept, start):
+        share = dict(start)
+        for _ in range(12):
+            new = dict.fromkeys(kept, 0.0)
+            for g, n in grams.items():
+                joint = {k: share[k] * math.exp(float(models[k][g])) for k in kept}
+                for k in kept:
+                    new[k] += n * joint[k] / sum(joint.values())
+            share = {k: v / sum(grams.values()) for k, v in new.items()}
+        return share, sum(n * math.log(sum(share[k] * math.exp(float(models[k][g])) for k in kept)) for g, n in grams.items())
+
+    kept = list(range(len(names)))
+    share, best = fit(kept, dict.fromkeys(kept, 1 / len(kept)))
+    while len(kept) > 1:
+        least = min(reversed(kept), key=lambda k: share[k])
+        fewer = [k for k in kept if k != least]
+        start = {k: share[k] + 1e-6 for k in fewer}
+        next_share, score = fit(fewer, {k: v / sum(start.values()) for k, v in start.items()})
+        if best - score > penalty * math.log(sum(grams.values()) + 1):
+            break
+        kept, share, best = fewer, next_share, score
+    top = max(kept, key=lambda k: share[k])
+    return names[top], share[top] / sum(share.values()), {names[k] for k in kept}
+
+
+def test_languages_against_plain_expectation_maximisation(spark, three):
+    names, models = language_id.learn(three)
+    texts = [MIX[0], MIX[1] + MIX[2], MIX[0] + MIX[1] + MIX[2], "the", "xyz qq", "le der the " * 30, MIX[2] * 400]
+    got = {r.doc_id: r for r in language_id.predict(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), names, models).collect()}
+    for i, t in enumerate(texts):
+        name, share, chosen = em(t, models, names)
+        assert got[i].lang_pred == name and abs(got[i].score - share) < 1e-3 and set(got[i].languages) == chosen, i
+
+
+def test_languages_are_bounded_and_repeats_alike(spark, three, monkeypatch):
+    monkeypatch.setattr(language_id, "LANGUAGES", 2)
+    dirty = three.unionAll(spark.createDataFrame([(200 + i, MIX[0], f"x{i}") for i in range(30)], three.schema))
+    assert language_id.learn(dirty)[0] == ["de", "en"]  # of 20 documents each the first by name
+    twice = dirty.unionAll(dirty).selectExpr("*", "1 AS cell", "2 AS held_out", "'y' AS languages")
+    rows = language_id.identify(twice).collect()
+    seen = {}
+    for r in rows:
+        seen.setdefault(r.doc_id, set()).add((r.lang_pred, r.score, tuple(r.languages)))
+    assert len(rows) == 188 and all(len(x) == 1 for x in seen.values())
+
+
 def test_held_out_accuracy(spark, small):
     truth = {r.doc_id: r.lang for r in table(spark, small, "documents").collect()}
     told = [r for r in op7_language_id(spark, small).collect() if r.held_out]
