@@ -77,7 +77,7 @@ def test_languages_against_plain_expectation_maximisation(spark, three):
 def test_languages_are_bounded_and_repeats_alike(spark, three, monkeypatch):
     monkeypatch.setattr(language_id, "LANGUAGES", 2)
     dirty = three.unionAll(spark.createDataFrame([(200 + i, MIX[0], f"x{i}") for i in range(30)], three.schema))
-    assert language_id.learn(dirty)[0] == ["de", "en"]  # of 20 documents each the first by name
+    assert language_id.learn(dirty)[0] == ["de", "fr"]  # 21 documents each, and 20 of the third
     twice = dirty.unionAll(dirty).selectExpr("*", "1 AS cell", "2 AS held_out", "'y' AS languages")
     rows = language_id.identify(twice).collect()
     seen = {}
