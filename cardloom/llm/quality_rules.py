@@ -5,13 +5,18 @@ document has, and why.  ``judge`` turns the table into one select over measures
 that are themselves built-in functions of the text: no Python runs and nothing
 is shuffled.
 
+Stop words are one list for all languages by default; another list is a parameter.
+
 Defined results: a null text is an empty one; an empty text has no words and
-fails; repeated rows are judged one by one; columns of the input that have the
-name of a measure are replaced in the measures and left alone by ``keep_good``.
+fails; very long texts are measured whole; a value at a threshold is good; of equal
+lines all but the first are duplicates; repeated rows are judged one by one; an empty
+table gives an empty result; columns of the input that have the name of a measure are
+replaced in the measures and left alone by ``keep_good``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -51,7 +56,7 @@ THRESHOLDS = (
 )
 
 
-def measures(docs: DataFrame, text: str = "text") -> DataFrame:
+def measures(docs: DataFrame, text: str = "text", stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
     """``docs`` with one column for each measure."""
     t = F.coalesce(F.col(text), F.lit(""))
     docs = docs.withColumns({"_words": words_of(F.col(text)), "_lines": F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")), "n_symbols": F.regexp_count(t, F.lit(SYMBOLS)).cast("long")})
@@ -75,7 +80,7 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
             "repeat_pct": share(100 * covered, n_words),
             "mean_word_chars": share(F.col("word_chars"), n_words),
             "symbols_per_word": share(F.col("n_symbols"), n_words),
-            "stop_word_ratio": share(F.size(F.filter(w, lambda x: F.lower(x).isin(STOP_WORDS))), n_words),
+            "stop_word_ratio": share(F.size(F.filter(w, lambda x: F.lower(x).isin(list(stop_words)))), n_words),
             "dup_line_ratio": share(n_lines - F.size(F.array_distinct(lines)), n_lines),
             "bullet_line_ratio": share(F.size(F.filter(lines, lambda x: x.rlike(r"^[\x20\x09]*[-*•]"))), n_lines),
             "ellipsis_line_ratio": share(F.size(F.filter(lines, lambda x: x.rlike(r"(\.\.\.|…)[\x20\x09\x0D]*\z"))), n_lines),
@@ -94,9 +99,9 @@ def holds(thresholds: tuple[Threshold, ...]) -> Column:
     return out
 
 
-def judge(docs: DataFrame, text: str = "text", thresholds: tuple[Threshold, ...] = THRESHOLDS, base: tuple[Threshold, ...] = BASE) -> DataFrame:
+def judge(docs: DataFrame, text: str = "text", thresholds: tuple[Threshold, ...] = THRESHOLDS, base: tuple[Threshold, ...] = BASE, stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
     """The measures with ``base_failed`` and ``kept``."""
-    return measures(docs, text).withColumn("base_failed", ~holds(base)).withColumn("kept", ~F.col("base_failed") & holds(thresholds))
+    return measures(docs, text, stop_words).withColumn("base_failed", ~holds(base)).withColumn("kept", ~F.col("base_failed") & holds(thresholds))
 
 
 def keep_good(docs: DataFrame, text: str = "text", **rules) -> DataFrame:

@@ -38,3 +38,21 @@ def test_good_text_stays_with_its_own_columns(spark, docs):
 def test_table_is_a_parameter(docs):
     never = (q.Threshold("n_words", most=-1),)
     assert q.judge(docs(["the of " * 100]), thresholds=never, base=()).first().kept is False
+
+
+def test_very_long_texts_thresholds_and_stop_words(docs):
+    text = " ".join(f"der w{i}" for i in range(60))
+    long = " ".join(f"w{i % 70_000} the" for i in range(100_000))
+    got = {r.doc_id: r for r in q.judge(docs([text, long]), stop_words=["xyz"]).collect()}
+    assert got[0].stop_word_ratio == 0 and not got[0].kept and got[1].n_words == 200_000 and got[1].n_repeat_words == brute_repeats(long)
+    assert q.judge(docs([text]), stop_words=["der"]).first().kept
+    edge = " ".join(["the", *[f"w{i}" for i in range(49)]])
+    assert q.judge(docs([edge])).first().kept  # 50 words, a fiftieth of them stop words
+
+
+def brute_repeats(text):
+    words = text.split()
+    seen = {}
+    for i in range(len(words) - 2):
+        seen.setdefault(tuple(words[i : i + 3]), []).append(i)
+    return len({i + k for at in seen.values() if len(at) > 1 for i in at for k in range(3)})
