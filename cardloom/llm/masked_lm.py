@@ -392,8 +392,8 @@ def train(encoded: DataFrame, lanes: int, rounds: int = 2, batch: int = 8192) ->
 
 def laned(encoded: DataFrame, lanes: int) -> DataFrame:
     """The rows of texts with their lanes, each lane in one partition."""
-    texts = encoded.filter("kind = 'text'").withColumn("lane", F.pmod(F.xxhash64("doc_id", "codes"), F.lit(lanes).cast("long")))
-    return texts.repartitionById(lanes, F.col("lane").cast("int"))
+    texts = encoded.filter("kind = 'text'").withColumn("lane", F.pmod(F.xxhash64("doc_id", "codes"), F.lit(lanes).cast("long")).cast("int"))
+    return texts.repartitionById(lanes, "lane")
 
 
 def log_probabilities(w: Weights, text: np.ndarray, at: np.ndarray, chunk: int = 8192) -> np.ndarray:
