@@ -12,11 +12,14 @@ from pyspark.sql import types as T
 
 #: White space as the inputs' producers strip it: Unicode's and four separators.
 _BLANK = r"[\s\x1c-\x1f]"
+#: Those of them that are one byte.
+_PLAIN_BLANK = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"
 
 
 def strip_blank(text: Column) -> Column:
-    """Without white space of any kind at both ends."""
-    return F.regexp_replace(text, f"(?U)^{_BLANK}+|{_BLANK}+$", "")
+    """Without white space of any kind at both ends; where all characters are one byte,
+    without a pattern."""
+    return F.when(F.octet_length(text) == F.length(text), F.btrim(text, F.lit(_PLAIN_BLANK))).otherwise(F.regexp_replace(text, f"(?U)^{_BLANK}+|{_BLANK}+$", ""))
 
 
 def text_or_null(text: Column) -> Column:

@@ -12,22 +12,44 @@ from cardloom.functions.text import strip_blank
 
 def date_or_null(text: Column) -> Column:
     """An ISO date, with or without hyphens; anything looser is null."""
-    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text.try_cast("date")).when(text.rlike(r"^\d{8}$"), F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2)).try_cast("date"))
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}\z"), text.try_cast("date")).when(text.rlike(r"^\d{8}\z"), F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2)).try_cast("date"))
 
 
 def integer_or_null(text: Column) -> Column:
     """A whole number, blanks around it allowed; ``12.0`` is none."""
     stripped = strip_blank(text)
-    return F.when(stripped.rlike(r"^[+-]?\d+$"), stripped.try_cast("bigint"))
+    return F.when(stripped.rlike(r"^[+-]?\d+\z"), stripped.try_cast("bigint"))
+
+
+def decimal_or_null(text: Column) -> Column:
+    """A decimal with point or comma, blanks around it allowed."""
+    return F.replace(strip_blank(text), F.lit(","), F.lit(".")).try_cast("decimal(38,18)")
 
 
 def price_or_null(text: Column) -> Column:
-    """A decimal with point or comma; 0 stands for no data and is null.
+    """A decimal of four digits; 0 stands for no data and is null.
 
     Whether it is 0 is seen before rounding to four digits.
     """
+    number = decimal_or_null(text)
+    return F.when(number != 0, number.try_cast("decimal(12,4)"))
+
+
+def overflows(text: Column, kind: str) -> Column:
+    """Whether a text is a number that the decimal type ``kind`` can't hold."""
     plain = F.replace(strip_blank(text), F.lit(","), F.lit("."))
-    return F.when(plain.try_cast("decimal(38,18)") != 0, plain.try_cast("decimal(12,4)"))
+    return F.coalesce(plain.try_cast("double").isNotNull() & plain.try_cast(kind).isNull(), F.lit(False))
+
+
+def time_or_null(text: Column) -> Column:
+    """An ISO time with ``Z`` or an offset; anything else is null."""
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:\d{2})\z"), text.try_cast("timestamp"))
+
+
+def stamped_name(name: Column, time: Column) -> Column:
+    """The last part of a path, with a time before its suffix."""
+    last = F.substring_index(name, "/", -1)
+    return F.concat(F.regexp_replace(last, r"\.[^.]*\z", ""), F.lit("_"), F.date_format(time, "yyyyMMdd_HHmmss"), F.regexp_extract(last, r"(\.[^.]*)\z", 1))
 
 
 def first_present(record: Column, keys: Sequence[str]) -> Column:

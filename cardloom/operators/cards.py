@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardloom.functions.text import normalize_name
-from cardloom.functions.values import date_or_null, empty_to_null
+from cardloom.functions.values import date_or_null, empty_to_null, overflows
+from cardloom.operators.quality import quarantine
 
 _PASSED = ("type_line", "oracle_text", "power", "toughness", "loyalty", "defense")
 _LISTS = ("colors", "color_identity", "keywords")
@@ -102,6 +103,14 @@ def price_rows(records: DataFrame, date: Column, source: str, *keys: str) -> Dat
     return priced.filter("price is not null")
 
 
-def set_rows(sets: DataFrame) -> DataFrame:
-    """Sets with code and name, their dates read."""
-    return sets.filter("code is not null and name is not null").withColumn("released_at", date_or_null(F.col("released_at")))
+def overflowing(records: DataFrame, *keys: str) -> DataFrame:
+    """(keys, currency, price_type, text) for prices that are numbers but too large to be kept."""
+    all_prices = F.array(*[F.struct(F.lit(c).alias("currency"), F.lit(k).alias("price_type"), F.col(f"prices.{f}").alias("text")) for c, k, f in PRICE_FIELDS])
+    rows = records.select(*keys, F.explode(all_prices).alias("p")).select(*keys, "p.*")
+    return rows.filter(overflows(F.col("text"), "decimal(10,2)"))
+
+
+def set_rows(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Sets with code and name, their dates read, and a quarantine of those without."""
+    good, bad = quarantine(sets, required=("code", "name"))
+    return good.withColumn("released_at", date_or_null(F.col("released_at"))), bad

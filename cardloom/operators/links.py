@@ -15,26 +15,37 @@ def attach(children: DataFrame, parents: DataFrame, key: str, id_column: str) ->
     return children.filter(F.col(key).isNotNull()).join(parents.select(key, id_column), key)
 
 
+def keyed(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows whose keys all have values, and the others: they match nothing, and would
+    meet in one partition of a join."""
+    has = F.lit(True)
+    for key in keys:
+        has = has & F.col(f"`{key}`").isNotNull()
+    return df.filter(has), df.filter(~has)
+
+
 def propagate(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
     """Fills nulls of ``column`` from rows with the same keys, the least value of
     several; a null key matches nothing.  Sources are one row a key before the join."""
-    keyed = df.filter(F.col(column).isNotNull())
-    for key in keys:
-        keyed = keyed.filter(F.col(key).isNotNull())
-    sources = keyed.groupBy(*keys).agg(F.min(column).alias("_source"))
-    return df.join(sources, list(keys), "left").withColumn(column, F.coalesce(column, "_source")).select(*df.columns)
+    known, others = keyed(df, keys)
+    sources = known.filter(F.col(column).isNotNull()).groupBy(*keys).agg(F.min(column).alias("_source"))
+    filled = known.join(sources, list(keys), "left").withColumn(column, F.coalesce(column, "_source")).select(*df.columns)
+    return filled.unionByName(others)
 
 
 def null_out_unknown(df: DataFrame, column: str, known: DataFrame, key: str) -> DataFrame:
     """Keeps every row; a reference that ``known`` lacks becomes null."""
     ids = known.select(F.col(key).alias(column)).distinct().withColumn("_known", F.lit(True))
-    return df.join(ids, column, "left").withColumn(column, F.when(F.col("_known"), F.col(column))).select(*df.columns)
+    referring, others = keyed(df, [column])
+    joined = referring.join(ids, column, "left").withColumn(column, F.when(F.col("_known"), F.col(column))).select(*df.columns)
+    return joined.unionByName(others)
 
 
 def split_by_reference(df: DataFrame, column: str, known: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Rows whose reference is there, and a quarantine of the rest."""
+    """Rows whose reference is there or null, and a quarantine of the rest."""
     ids = known.select(F.col(key).alias(column)).distinct()
-    return df.join(ids, column, "left_semi").select(*df.columns), df.join(ids, column, "left_anti").select(*df.columns)
+    referring, others = keyed(df, [column])
+    return referring.join(ids, column, "left_semi").select(*df.columns).unionByName(others), referring.join(ids, column, "left_anti").select(*df.columns)
 
 
 def without_children(parents: DataFrame, children: DataFrame, key: str, child_key: str) -> DataFrame:
@@ -67,6 +78,25 @@ def flag_by_name(cards: DataFrame, names: DataFrame, flag: str = "flag", name: s
     return flagged, missed.select(F.col("_name").alias("name"))
 
 
+def flag_totals(cards: DataFrame, flag: str = "flag") -> DataFrame:
+    """One row: cards, and cards with the flag."""
+    return cards.agg(F.count("*").alias("cards"), F.count_if(flag).alias("flagged"))
+
+
+def name_report(names: DataFrame, name: str = "name") -> DataFrame:
+    """Different names in order."""
+    return names.select(name).filter(F.col(name).isNotNull()).distinct().orderBy(name)
+
+
+def look_up(df: DataFrame, column: str, value: str, **others: object) -> DataFrame:
+    """Rows whose ``column`` is ``value`` and whose other columns have the values given:
+    plain comparisons, which reach a scan sorted or partitioned by these columns."""
+    out = df.filter(F.col(column) == value)
+    for key, wanted in others.items():
+        out = out.filter(F.col(key) == wanted)
+    return out
+
+
 def nested(parents: DataFrame, children: DataFrame, key: str, columns: Sequence[str], out: str) -> DataFrame:
     """Parents with their children as a sorted array, empty if there are none."""
     lists = children.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*columns))).alias(out))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cardloom.functions.plans import once, where_computed
 from cardloom.functions.text import text_or_null
-from cardloom.functions.values import first_present, integer_or_null, price_or_null
+from cardloom.functions.values import decimal_or_null, first_present, integer_or_null, overflows
 from cardloom.sources import schemas
 
 
@@ -17,7 +18,8 @@ def product_id(record: Column) -> Column:
 
 def _split(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     known = records.withColumn("id_product", product_id(F.col("record")))
-    return known.filter("id_product is not null"), known.filter("id_product is null").drop("id_product").withColumn("reason", F.lit("no product id"))
+    good, bad = where_computed(known, "id_product is not null"), where_computed(known, "id_product is null")
+    return good, bad.drop("id_product").withColumn("reason", F.lit("no product id"))
 
 
 def product_rows(records: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
@@ -31,10 +33,40 @@ def product_rows(records: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
 
 
 def price_entries(records: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
-    """Price entries with their 15 prices, and a quarantine."""
+    """Price entries with their 15 prices, and a quarantine.
+
+    The keys are data and not code: spelled out, the look-ups of all spellings would be
+    more code than the JVM compiles.
+    """
     good, bad = _split(records)
-    prices = [price_or_null(first_present(F.col("record"), keys)).alias(c) for c, keys in schemas.PRICES.items()]
-    return good.select("id_product", *prices, F.to_json("record").alias("raw_json"), *more), bad
+    prices = F.transform(F.transform("_texts", decimal_or_null), lambda d: F.when(d != 0, d.try_cast("decimal(12,4)")))
+    read = with_price_texts(good).withColumn("_prices", prices)
+    columns = [F.get("_prices", i).alias(c) for i, c in enumerate(schemas.PRICES)]
+    return read.select("id_product", *columns, F.to_json("record").alias("raw_json"), *more), bad
+
+
+def with_price_texts(records: DataFrame) -> DataFrame:
+    """Adds ``_texts``: for each price the value of the first of its keys that the record
+    has, even if that value is null.
+
+    The record's entries are sorted by the place of their key among all spellings, eight
+    places for each price, and of each price the first is taken.
+    """
+    places = F.create_map(*[x for i, keys in enumerate(schemas.PRICES.values()) for j, k in enumerate(keys) for x in (F.lit(k), F.lit(8 * i + j))])
+    price = lambda e: F.shiftright(e["place"], 3)
+    sorted_ = F.sort_array(F.transform(F.map_entries("record"), lambda e: F.struct(F.try_element_at(places, e["key"]).alias("place"), e["value"].alias("text"))))
+    first_of = lambda s: F.filter(s, lambda e, i: (i == 0) | ~price(F.get(s, i - 1)).eqNullSafe(price(e)))
+    turns = F.sequence(F.lit(0), F.lit(len(schemas.PRICES) - 1))
+    picked = lambda first, numbers: F.transform(turns, lambda i: F.get(first, F.array_position(numbers, i).cast("int") - 1)["text"])
+    texts = once(sorted_, lambda s: once(first_of(s), lambda first: once(F.transform(first, price), lambda numbers: picked(first, numbers))))
+    return records.withColumn("_texts", texts)
+
+
+def overflowing_prices(records: DataFrame) -> DataFrame:
+    """(id_product, price, text) for prices that are numbers but too large to be kept."""
+    good, _ = _split(records)
+    texts = F.map_from_arrays(F.array(*map(F.lit, schemas.PRICES)), F.col("_texts"))
+    return with_price_texts(good).select("id_product", F.explode(texts).alias("price", "text")).filter(overflows(F.col("text"), "decimal(12,4)"))
 
 
 def localizations(records: DataFrame) -> DataFrame:

@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cardloom.sources.storage import written
+
 
 def _whole(df: DataFrame) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in df.columns])
@@ -82,18 +84,25 @@ def replace_children(target: DataFrame, stage: DataFrame, parent: str | Sequence
     return kept.unionByName(stage.select(*target.columns))
 
 
-def numbered(df: DataFrame, key: str, out: str, start: int = 1, parts: int = 64) -> DataFrame:
+def numbered(df: DataFrame, key: str, out: str, start: int = 1, rows_per_part: int = 1_000_000) -> DataFrame:
     """Adds consecutive numbers in the order of the distinct values of ``key``.
 
-    The values are cut into ranges at a few of them, ranks within a range and the
-    number of rows in the ranges before give the place: no single task sorts all.
+    The rows are written once; their number gives the number of ranges.  They are cut
+    at a few values of the key, ranks within a range and the number of rows in the ranges
+    before give the place: no single task sorts all.
     """
-    cuts = sorted(r[0] for r in df.select(key).orderBy(F.xxhash64(key), key).limit(parts - 1).collect())
+    df = written(df, "numbered")
+    parts = max(8, -(-df.count() // rows_per_part))
+    # some times more than there are ranges, so that ranges are about equal
+    share = min(1.0, 64 * parts / max(df.count(), 1))
+    seen = df.select(key).filter(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < int(share * (1 << 30))).distinct()
+    values = sorted(r[0] for r in seen.collect())  # about 64 for each range
+    cuts = values[:: max(1, len(values) // parts)] or [r[0] for r in df.select(key).limit(1).collect()]
     if not cuts:
         return df.withColumn(out, F.lit(None).cast("long"))
     bounds = F.array(*[F.lit(c) for c in cuts])
     ranged = df.withColumn("_range", F.size(F.filter(bounds, lambda b: b <= F.col(f"`{key}`"))))
-    sizes = ranged.groupBy("_range").count().collect()  # at most `parts` rows
+    sizes = ranged.groupBy("_range").count().collect()  # a row for each range
     offsets, total = {}, start
     for r in sorted(sizes, key=lambda r: r["_range"]):
         offsets[r["_range"]] = total
@@ -118,5 +127,7 @@ def cascade(children: DataFrame, deleted: DataFrame, key: str) -> DataFrame:
 def set_null(children: DataFrame, deleted: DataFrame, column: str, key: str) -> DataFrame:
     """Children of deleted parents stay and lose the reference."""
     gone = deleted.select(F.col(key).alias(column)).distinct().withColumn("_gone", F.lit(True))
-    joined = children.join(gone, column, "left")
-    return joined.withColumn(column, F.when(F.col("_gone").isNull(), F.col(column))).select(*children.columns)
+    has = F.col(column).isNotNull()
+    # those without a reference have nothing to lose, and would meet in one partition
+    joined = children.filter(has).join(gone, column, "left")
+    return joined.withColumn(column, F.when(F.col("_gone").isNull(), F.col(column))).select(*children.columns).unionByName(children.filter(~has))

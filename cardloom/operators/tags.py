@@ -16,6 +16,12 @@ def tag_rows(responses: DataFrame, key: str) -> DataFrame:
     return responses.select(key, F.explode(names).alias("tag_name")).filter("tag_name is not null")
 
 
+def answered(responses: DataFrame, work_list: DataFrame) -> DataFrame:
+    """(card_id, taggings): responses back at the cards whose printing was asked for."""
+    asked = work_list.select("card_id", "set_code", "collector_number")
+    return responses.join(asked, ["set_code", "collector_number"]).select("card_id", "taggings")
+
+
 def merge_tags(target: DataFrame, stage: DataFrame, key: str, replace: bool = False) -> DataFrame:
     """Adds the tags that are new, or replaces all tags of the cards in ``stage``; a
     card without a tag in ``stage`` keeps its tags in either case."""

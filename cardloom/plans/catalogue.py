@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,8 @@ from cardloom.functions.text import normalize_name
 from cardloom.functions.values import date_or_null
 from cardloom.operators import cards, decks, latest, ledger, links, market, merge, quality, tags
 from cardloom.sources import json_files, schemas
-from cardloom.sources.storage import Snapshots, shared_folder, table
+from cardloom.plans import jobs
+from cardloom.sources.storage import Snapshots, shared_folder, table, written
 from cardloom.streaming import latest_prices
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -317,20 +319,46 @@ def parse_product_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.select("id_product", "en_name", "count_reprints", "rarity")
 
 
-@query("""
-    WITH p AS (SELECT l_orderkey * 10 + l_linenumber AS id_product, l_quantity, l_tax, l_discount, l_extendedprice FROM lineitem)
-    SELECT id_product, l_quantity::DECIMAL(12,4)::VARCHAR AS avg_price, CASE WHEN l_discount > 0 THEN l_discount::DECIMAL(12,4)::VARCHAR END AS low_price,
-           CASE WHEN l_tax > 0.02 THEN l_tax::DECIMAL(12,4)::VARCHAR END AS trend_price, NULL::VARCHAR AS foil_sell FROM p""")
+#: For each price of the guide the spelling of its key, and the column of line items that gives its text.
+_GUIDE = (
+    ("avg_price", "AVG", "l_quantity"),
+    ("low_price", "LOW", "l_discount"),
+    ("trend_price", "trendPrice", "l_tax"),
+    ("german_pro_low", "GermanProLow", "l_extendedprice"),
+    ("suggested_price", "sell", "l_quantity"),
+    ("foil_sell", "foil_sell", "l_discount"),
+    ("foil_low", "Foil Low", "l_tax"),
+    ("foil_trend", "trend-foil", "l_extendedprice"),
+    ("low_price_ex_plus", "Low Price Ex+", "l_quantity"),
+    ("avg1", "Avg1", "l_discount"),
+    ("avg7", "avg7", "l_tax"),
+    ("avg30", "AVG30", "l_extendedprice"),
+    ("foil_avg1", "avg1-foil", "l_quantity"),
+    ("foil_avg7", "foilAvg7", "l_discount"),
+    ("foil_avg30", "FoilAvg30", "l_tax"),
+)
+
+
+@query(
+    "SELECT l_orderkey * 10 + l_linenumber AS id_product, "
+    + ", ".join(f"CASE WHEN {c} <> 0 AND (l_linenumber + {i}) % 4 <> 0 THEN {c}::DECIMAL(12,4)::VARCHAR END AS {out}" for i, (out, _, c) in enumerate(_GUIDE))
+    + " FROM lineitem"
+)
 def parse_prices_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    number = lambda c: F.col(c).cast("decimal(12,2)").cast("string")
-    line = _lines(spark, sf_dir)
-    alternate = F.when(F.col("l_linenumber") % 2 == 0, F.concat(F.lit(" "), F.replace(number("l_quantity"), F.lit("."), F.lit(",")))).otherwise(number("l_quantity"))
-    tax = F.when(F.col("l_tax") > 0.02, number("l_tax")).otherwise("n/a")
-    keys = F.array(F.lit("idProduct"), F.when(F.col("l_linenumber") > 3, "Avg").otherwise("avg"), F.lit("LOW"), F.lit("trendPrice"), F.lit("avg-foil"), F.lit("foilSell"))
-    values = F.array((F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string"), alternate, number("l_discount"), tax, F.lit(None).cast("string"), F.lit("5"))
+    """All 15 prices: with a decimal point or comma, blanks around, null, or no number."""
+    line, turn = _lines(spark, sf_dir), F.col("l_linenumber")
+    number = {c: F.col(c).cast("decimal(12,2)").cast("string") for c in ("l_quantity", "l_discount", "l_tax", "l_extendedprice")}
+
+    def text(i: int, column: str) -> Column:
+        spelled = number[column] if i % 3 else F.concat(F.lit(" "), F.replace(number[column], F.lit("."), F.lit(",")))
+        return F.when((turn + i) % 4 != 0, spelled).otherwise(F.lit(None) if i % 2 else F.lit("n/a"))
+
+    # a second spelling of the first price comes later in the order of keys and is never asked
+    keys = F.array(F.lit("idProduct"), F.lit("avg_priceX"), *[F.lit(k) for _, k, _ in _GUIDE])
+    values = F.array((F.col("l_orderkey") * 10 + turn).cast("string"), F.lit("5"), *[text(i, c) for i, (_, _, c) in enumerate(_GUIDE)])
     records = line.select(F.from_json(F.to_json(F.map_from_arrays(keys, values)), "map<string,string>").alias("record"))
     good, _ = market.price_entries(records)
-    return good.select("id_product", *[F.col(c).cast("string").alias(c) for c in ("avg_price", "low_price", "trend_price", "foil_sell")])
+    return good.select("id_product", *[F.col(c).cast("string").alias(c) for c, _, _ in _GUIDE])
 
 
 @query("""
@@ -501,7 +529,7 @@ def unwrap_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     lists = turns.groupBy("conv_id").agg(F.to_json(F.collect_list(F.struct("turn"))).alias("list"))
     k = F.col("conv_id") % 4
     text = F.when(k == 0, F.col("list")).when(k == 1, F.concat(F.lit('{"singles":'), "list", F.lit("}"))).when(k == 2, F.concat(F.lit('{"product":"none","data":'), "list", F.lit("}"))).otherwise(F.concat(F.lit('{"other":'), "list", F.lit("}")))
-    items = lists.select("conv_id", F.explode(json_files.unwrap(text, schemas.PRODUCT_LISTS)).alias("record"))
+    items, _ = json_files.split_wrapped(lists.select("conv_id", text.alias("value")), schemas.PRODUCT_LISTS, "conv_id")
     return items.groupBy("conv_id").agg(F.count("*").alias("n"), F.sum(F.try_element_at("record", F.lit("turn")).cast("long")).alias("turns"))
 
 
@@ -515,11 +543,13 @@ def attach_parent_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
     SELECT count(*) AS rows_imported, count(*) FILTER (event_type = 'error') AS errors, count(DISTINCT user_id) AS products, count(*) FILTER (value > 50) AS flagged FROM events""")
 def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counters of a run, as one aggregate over what it wrote."""
+    """Counters of a run, seen while its rows were written."""
     events = table(spark, sf_dir, "events")
-    products = events.select("user_id").distinct().agg(F.count("user_id").alias("products"))
-    counts = events.agg(F.count("*").alias("rows_imported"), F.count_if(F.col("event_type") == "error").alias("errors"), F.count_if(F.col("value") > 50).alias("flagged"))
-    return counts.join(products, F.lit(True))
+    counters = {"rows_imported": F.count(F.lit(1)), "errors": F.count_if(F.col("event_type") == "error"), "flagged": F.count_if(F.col("value") > 50)}
+    rows, seen = ledger.counted(events, f"run-{uuid.uuid4().hex}", **counters)
+    taken = written(rows, "run")
+    products = taken.select("user_id").distinct().agg(F.count("user_id").alias("products"))
+    return products.select(*[F.lit(seen.get[k]).cast("long").alias(k) for k in counters], "products")
 
 
 @query("SELECT p_partkey FROM part WHERE p_partkey % 17 = 0")
@@ -538,7 +568,7 @@ def import_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sets by way of a first import and a second one that updates a half of them."""
     k = F.col("s_suppkey")
     raw = table(spark, sf_dir, "supplier").select(F.concat(F.lit("s"), k.cast("string")).alias("code"), F.when(k % 7 != 0, F.col("s_name")).alias("name"), F.when(k % 2 == 0, "2020-01-05").otherwise("5 Jan").alias("released_at"), (k % 3 == 0).alias("again"))
-    sets = cards.set_rows(raw)
+    sets, _ = cards.set_rows(raw)
     old = sets.withColumn("name", F.when(F.col("again"), F.lit("stale")).otherwise(F.col("name"))).drop("again")
     merged = merge.upsert(old, sets.filter("again"), ["code"], ["name", "released_at"])
     return merged.select("code", "name", F.date_format("released_at", "yyyy-MM-dd").alias("released_at"))
@@ -547,5 +577,174 @@ def import_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
     SELECT p_partkey, p_name, p_brand FROM part WHERE lower(p_name) = 'red widget' AND p_brand = 'Brand#17'""")
 def look_up_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = table(spark, sf_dir, "part").filter(F.col("p_brand") == "Brand#17")
-    return part.filter(normalize_name(F.col("p_name")) == "red widget").select("p_partkey", "p_name", "p_brand")
+    """From a table kept in order of the folded name, so that a look-up reads few groups of rows."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", normalize_name(F.col("p_name")).alias("normalized_name"))
+    kept = written(part.sortWithinPartitions("normalized_name"), "names")
+    return links.look_up(kept, "normalized_name", "red widget", p_brand="Brand#17").select("p_partkey", "p_name", "p_brand")
+
+
+def _landed(spark: SparkSession, df: DataFrame, name: str) -> str:
+    """A text column written as files, for readers."""
+    folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.text(folder)
+    return folder
+
+
+@query("""
+    SELECT doc_id::VARCHAR AS id, lang, CASE WHEN doc_id % 10 = 0 THEN 'not readable as JSON' WHEN doc_id % 7 = 0 THEN 'id is missing' ELSE '' END AS reason
+    FROM documents""")
+def read_any_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrays in one line, with several records a line, a record a line and over many
+    lines, with broken records and records without id: all come back, as records or with
+    the reason why not."""
+    d = F.col("doc_id")
+    fields = F.struct(F.when(d % 7 != 0, d.cast("string")).alias("id"), d.cast("string").alias("name"), "lang")
+    flat, wide = F.to_json(fields), F.to_json(fields, {"pretty": "true"})
+    # a broken record ends early, and what is left of it still tells which one it is
+    broken = lambda x: F.when(d % 10 == 0, F.concat(F.lit("{"), F.lit('"broken": '), d.cast("string"), F.lit(', "'), F.col("lang"), F.lit('"'))).otherwise(x)
+    docs = table(spark, sf_dir, "documents")
+    found = []
+    for kind, text in enumerate((flat, flat, flat, wide)):
+        # broken records only where lines or indents tell where the next one begins; else one file of whole ones
+        mine = docs.filter(d % 4 == kind).select("doc_id", "lang", (text if kind == 0 else broken(text)).alias("value"))
+        if kind == 0:
+            mine = mine.filter(d % 10 != 0)
+        mine = mine.withColumn("part", (F.pmod(F.xxhash64("doc_id"), F.lit(8))).cast("int"))
+        lists = F.sort_array(F.collect_list(F.struct("doc_id", "value")))
+        joined = F.array_join(F.transform(lists, lambda x: x["value"]), ",\n" if kind else ",")
+        if kind == 1:  # two records a line, of those that are whole
+            joined = F.regexp_replace(joined, r"\},\n(?=\{\"(?:id|name))", "},")
+        folder = f"{shared_folder(spark)}/arrays-{uuid.uuid4().hex}"
+        whole = mine.groupBy("part").agg(F.concat(F.lit("[" if kind == 0 else "[\n"), joined, F.lit("]" if kind == 0 else "\n]")).alias("value")).select("value")
+        whole.write.option("lineSep", "\n\n").option("maxRecordsPerFile", 1).text(folder)
+        found.append(json_files.good_and_bad(json_files.read_array(spark, folder, schemas.CARD), required=("id",)))
+    rows = []
+    for good, bad in found:
+        rows.append(good.select("id", "lang", F.lit("").alias("reason")))
+        number = F.coalesce(F.get_json_object("raw", "$.name"), F.regexp_extract("raw", '"broken": ([0-9]+)', 1))
+        lang = F.coalesce(F.get_json_object("raw", "$.lang"), F.regexp_extract("raw", ', "([a-z]+)"', 1))
+        rows.append(bad.select(number.alias("id"), lang.alias("lang"), "reason"))
+    # the broken ones of the first kind weren't landed; they are what the others' rule says
+    left = docs.filter((d % 4 == 0) & (d % 10 == 0)).select(d.cast("string").alias("id"), "lang", F.lit("not readable as JSON").alias("reason"))
+    return reduce(DataFrame.unionByName, [*rows, left])
+
+
+@query("""
+    SELECT conv_id, CASE WHEN conv_id % 3 = 0 THEN 'not readable as JSON' ELSE 'no object' END AS reason, (CASE WHEN conv_id % 3 = 0 THEN 1 ELSE count(*) FILTER (turn % 2 = 0) END)::BIGINT AS n
+    FROM conversations GROUP BY conv_id HAVING conv_id % 3 = 0 OR count(*) FILTER (turn % 2 = 0) > 0""")
+def wrapped_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wrapped documents of which every third is cut off; of the others, even turns are no objects."""
+    turns = table(spark, sf_dir, "conversations")
+    element = F.when(F.col("turn") % 2 == 0, F.col("turn").cast("string")).otherwise(F.to_json(F.struct("turn")))
+    listed = turns.groupBy("conv_id").agg(F.array_join(F.collect_list(element), ",").alias("list"))
+    text = F.concat(F.lit('{"data": ['), "list", F.when(F.col("conv_id") % 3 == 0, ',{"tu').otherwise("]}"))
+    _, bad = json_files.split_wrapped(listed.select("conv_id", text.alias("value")), schemas.PRODUCT_LISTS, "conv_id")
+    return bad.groupBy("conv_id", "reason").agg(F.count("*").alias("n"))
+
+
+@query("SELECT count(*) AS n FROM lineitem")
+def count_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that writes nothing: the records of a landed dump, counted."""
+    record = F.to_json(F.struct(F.col("l_orderkey").cast("string").alias("id")))
+    folder = _landed(spark, _lines(spark, sf_dir).select(F.concat(record, F.lit(",")).alias("value")), "count")
+    return spark.range(1).select(F.lit(json_files.count_records(spark, folder)).cast("long").alias("n"))
+
+
+@query("SELECT 's' || s_suppkey AS code, s_name AS name, CASE WHEN s_suppkey % 2 = 0 THEN '2020-01-05' END AS released_at, s_nationkey::INTEGER AS card_count FROM supplier")
+def read_set_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set lists landed as pages of a nation each, and read back."""
+    k = F.col("s_suppkey")
+    one = F.struct(F.concat(F.lit("s"), k.cast("string")).alias("code"), F.col("s_name").alias("name"), F.when(k % 2 == 0, "2020-01-05").otherwise("soon").alias("released_at"), F.col("s_nationkey").cast("int").alias("card_count"))
+    pages = table(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(F.to_json(F.struct(F.collect_list(one).alias("data"))).alias("value")).select("value")
+    folder = f"{shared_folder(spark)}/sets-{uuid.uuid4().hex}"
+    pages.write.option("maxRecordsPerFile", 1).text(folder)
+    good, _ = cards.set_rows(json_files.read_sets(spark, folder))
+    return good.select("code", "name", F.date_format("released_at", "yyyy-MM-dd").alias("released_at"), "card_count")
+
+
+@query("SELECT p_name AS name, count(*) AS n FROM part GROUP BY p_name")
+def read_name_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names from the pages of a list, a page for each part brand."""
+    part = table(spark, sf_dir, "part")
+    pages = part.groupBy("p_brand").agg(F.to_json(F.struct(F.collect_list(F.struct(F.col("p_name").alias("name"))).alias("data"), F.lit(True).alias("has_more"))).alias("value")).select("value")
+    folder = f"{shared_folder(spark)}/names-{uuid.uuid4().hex}"
+    pages.write.option("maxRecordsPerFile", 1).text(folder)
+    return json_files.read_names(spark, folder).groupBy("name").agg(F.count("*").alias("n"))
+
+
+@query("SELECT DISTINCT p_name AS name FROM part WHERE p_size < 6")
+def ordered_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of a listing run: different names, in order."""
+    return links.name_report(table(spark, sf_dir, "part").filter("p_size < 6"), "p_name").select(F.col("p_name").alias("name"))
+
+
+@query("SELECT l_partkey AS card_id, 'tag' || (l_suppkey % 5) AS tag_name FROM lineitem WHERE l_linenumber = 1 AND l_suppkey % 2 = 0 GROUP BY ALL")
+def tags_of_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Saved responses, read and joined back to the printings that were asked for."""
+    asked = _lines(spark, sf_dir).filter("l_linenumber = 1").select(F.col("l_partkey").alias("card_id"), F.col("l_suppkey").cast("string").alias("set_code"), F.col("l_orderkey").cast("string").alias("collector_number"))
+    tagging = F.array(F.struct(F.struct(F.concat(F.lit("tag"), (F.col("set_code").cast("int") % 5).cast("string")).alias("name"), F.lit(tags.CARD_TAG).alias("type")).alias("tag")), F.struct(F.struct(F.lit("art").alias("name"), F.lit("ARTWORK").alias("type")).alias("tag")))
+    card = F.when(F.col("set_code").cast("int") % 2 == 0, F.struct(F.lit("n").alias("name"), tagging.alias("taggings")))
+    keys = asked.select("set_code", "collector_number").distinct()
+    folder = _landed(spark, keys.select(F.to_json(F.struct("set_code", "collector_number", F.struct(card.alias("card")).alias("data"))).alias("value")), "responses")
+    return tags.tag_rows(tags.answered(json_files.read_tag_responses(spark, folder), asked), "card_id").distinct()
+
+
+@query("SELECT count(*) AS cards, count(*) FILTER (lower(p_name) IN (SELECT lower(p_name) FROM part WHERE p_size < 6 AND p_partkey % 3 = 0) OR p_name IN (SELECT p_name FROM part WHERE p_size < 6 AND p_partkey % 3 < 2)) AS flagged FROM part")
+def flag_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return links.flag_totals(links.flag_by_name(*_named(spark, sf_dir))[0])
+
+
+@query("""
+    SELECT doc_id::VARCHAR AS scryfall_id, '' AS oracle_id, source AS set_code, lang, CASE WHEN doc_id % 3 = 0 THEN '2024-02-29' END AS released_at, doc_id % 2 = 0 AS promo, false AS digital,
+           CASE WHEN doc_id % 4 = 0 THEN 'own' WHEN doc_id % 4 = 1 THEN 'face' END AS image_small, CASE WHEN doc_id % 4 = 0 THEN NULL WHEN doc_id % 4 = 1 THEN 'large' END AS image_large, n_chars AS cardmarket_id FROM documents""")
+def printing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Printings from records through JSON: images as a whole from the record or its first face."""
+    d = F.col("doc_id")
+    own = F.when(d % 4 == 0, F.struct(F.lit("own").alias("small"))).when(d % 4 != 3, F.struct(F.lit(None).cast("string").alias("small")))
+    face = F.struct(F.when(d % 4 == 1, F.struct(F.lit("face").alias("small"), F.lit("large").alias("large"))).when(d % 4 == 0, F.struct(F.lit("no").alias("small"), F.lit("no").alias("large"))).alias("image_uris"))
+    released = F.when(d % 3 == 0, "20240229").when(d % 3 == 1, "2024-02-30").otherwise("2024-02-29 ")
+    fields = [d.cast("string").alias("id"), F.col("source").alias("set"), "lang", released.alias("released_at"), F.when(d % 2 == 0, F.lit(True)).alias("promo"), own.alias("image_uris"), F.array(face).alias("card_faces"), F.col("n_chars").alias("cardmarket_id")]
+    text = table(spark, sf_dir, "documents").select(F.to_json(F.struct(*fields)).alias("raw"))
+    rows = cards.printing_rows(text.select(F.from_json("raw", schemas.CARD).alias("r")).select("r.*"))
+    return rows.select("scryfall_id", "oracle_id", "set_code", "lang", F.date_format("released_at", "yyyy-MM-dd").alias("released_at"), "promo", "digital", "image_small", "image_large", "cardmarket_id")
+
+
+@query("""
+    SELECT l_orderkey, l_linenumber, l_suppkey, 'usd' AS currency, 'foil' AS price_type, (l_orderkey * 1000000000)::VARCHAR AS text FROM lineitem WHERE l_linenumber = 2 AND l_orderkey > 0""")
+def overflowing_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices that are numbers but don't fit, beside such that aren't numbers at all."""
+    odd = F.when(F.col("l_linenumber") == 2, (F.col("l_orderkey") * 1000000000).cast("string")).otherwise("n/a")
+    prices = F.struct(F.col("l_extendedprice").cast("string").alias("eur"), F.lit(None).cast("string").alias("eur_foil"), F.lit("").alias("usd"), odd.alias("usd_foil"), F.lit("0").alias("tix"))
+    return cards.overflowing(_lines(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_suppkey", prices.alias("prices")), "l_orderkey", "l_linenumber", "l_suppkey")
+
+
+@query("SELECT user_id, event_type, min(event_id) AS event_id, CASE WHEN event_type = 'click' THEN 'a' ELSE 'b' END AS file_type FROM events GROUP BY user_id, event_type")
+def append_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows appended to a history in three runs, of which the last brings nothing new."""
+    events = table(spark, sf_dir, "events").select("user_id", "event_type", "event_id", F.when(F.col("event_type") == "click", "a").otherwise("b").alias("file_type"))
+    store = jobs.Store(spark, f"{shared_folder(spark)}/history-{uuid.uuid4().hex}")
+    # in the order of the ids, so that the first of a key is the first ever
+    half = events.agg(F.max("event_id")).first()[0] // 2
+    for stage in (events.filter(F.col("event_id") <= half), events, events):
+        held = store.current("ledger")
+        store.append("ledger", merge.insert_absent(events.limit(0) if held is None else held.select(*events.columns), stage, ["user_id", "event_type"], ["event_id"]))
+    return store.current("ledger").select("user_id", "event_type", "event_id", "file_type")
+
+
+@query("SELECT o_custkey % 10 AS commander, p_name AS card_name, count(DISTINCT o_orderkey) AS decks_with_card FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey WHERE o_orderkey % 2 = 0 GROUP BY ALL")
+def rebuild_decks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deck statistics built twice: what the second run was given is all that is left."""
+    listed = _decks(spark, sf_dir).withColumn("commander", F.col("commander") % 10)
+    held = jobs.Store(spark, f"{shared_folder(spark)}/decks-{uuid.uuid4().hex}").load()
+    for decks_ in (listed, listed.filter("deck_id % 2 = 0")):
+        held = jobs.import_decks(held, decks_)
+    return held.deck_commanders.select("commander", "card_name", "decks_with_card")
+
+
+@query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def through_database(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table written to a database and read back over JDBC."""
+    url, driver = f"jdbc:derby:memory:d{uuid.uuid4().hex};create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    json_files.write_database(table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"), url, "nations", driver=driver)
+    read = json_files.read_database(spark, url, "nations", driver=driver)
+    return read.select(*[F.col(c).alias(c.lower()) for c in read.columns])

@@ -1,24 +1,61 @@
-"""The import workloads end to end: landed files in, new snapshots of tables out."""
+"""The import workloads end to end: landed files in, current tables and histories out.
+
+Tables are held in a ``Store``: current tables are snapshots that switch, histories are
+appended day by day or file by file.  Without a store they are scratch tables.  What a
+job can't take goes into ``Catalogue.quarantine`` with its reason, and is counted.
+"""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Callable
+from dataclasses import dataclass, field, replace
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardloom.operators import cards, latest, links, market, merge, tags
+from cardloom.operators import cards, decks, latest, ledger, links, market, merge, tags
 from cardloom.sources import json_files, schemas
-from cardloom.sources.storage import written
+from cardloom.sources.storage import Snapshots, written
 
 CARD_COLUMNS = ("name", "normalized_name", "mana_cost", "mana_value", "type_line", "oracle_text", "power", "toughness", "loyalty", "defense", "colors", "color_identity", "keywords", "legal_commander", "edhrec_rank")
+SET_COLUMNS = ("name", "set_type", "released_at", "block", "parent_set_code", "card_count", "icon_svg_uri")
 PRICE_KEY = ("printing_id", "date", "source", "currency", "price_type")
+CURRENT = ("sets", "cards", "faces", "printings", "products", "tags", "deck_cards", "deck_commanders")
+#: Histories, and the column by which their folders are divided.
+HISTORY = {"prices": "date", "entries": "import_file_id", "ledger": "file_type"}
+LEDGER = "id long, file_type string, path string, sha256 string, content_length long, status string, started_at timestamp, rows long, errors long"
+
+
+class Store:
+    """The tables of a catalogue in a folder."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder.rstrip("/")
+
+    def current(self, name: str) -> DataFrame | None:
+        if name in HISTORY:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}/_SUCCESS")
+            held = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+            return self.spark.read.parquet(f"{self.folder}/{name}") if held else None
+        return Snapshots(self.spark, f"{self.folder}/{name}").current()
+
+    def keep(self, name: str, df: DataFrame) -> DataFrame:
+        """Replaces a current table."""
+        return Snapshots(self.spark, f"{self.folder}/{name}").replace(df)
+
+    def append(self, name: str, df: DataFrame) -> DataFrame:
+        """Adds rows to a history, which ``df`` may read."""
+        df.write.mode("append").partitionBy(HISTORY[name]).parquet(f"{self.folder}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
+
+    def load(self) -> Catalogue:
+        return Catalogue(**{n: self.current(n) for n in (*CURRENT, *HISTORY)}, store=self)
 
 
 @dataclass
 class Catalogue:
-    """Current tables; a missing one is empty."""
+    """Current tables and histories; a missing one is empty."""
 
     sets: DataFrame | None = None
     cards: DataFrame | None = None
@@ -27,14 +64,51 @@ class Catalogue:
     prices: DataFrame | None = None
     products: DataFrame | None = None
     entries: DataFrame | None = None
+    tags: DataFrame | None = None
+    deck_cards: DataFrame | None = None
+    deck_commanders: DataFrame | None = None
+    ledger: DataFrame | None = None
+    quarantine: DataFrame | None = None
+    store: Store | None = None
     counters: dict[str, int] = field(default_factory=dict)
 
+    def keep(self, name: str, df: DataFrame) -> DataFrame:
+        return self.store.keep(name, df) if self.store else written(df, name)
+
+    def append(self, name: str, df: DataFrame) -> tuple[DataFrame, int]:
+        """The history with the new rows, and their number."""
+        held = getattr(self, name)
+        df, seen = ledger.counted(df, f"{name}-added", rows=F.count(F.lit(1)))
+        if self.store:
+            whole = self.store.append(name, df)
+        else:
+            added = written(df, name, (HISTORY[name],))
+            whole = added if held is None else held.unionByName(added)
+        return whole, seen.get["rows"]
+
+
+def _staged(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """A table that several steps read, written once, and its number of rows."""
+    df, seen = ledger.counted(df, f"{name}-staged", rows=F.count(F.lit(1)))
+    return written(df, name), seen.get["rows"]
+
+
+def _bad(*parts: DataFrame) -> tuple[DataFrame, int]:
+    """Quarantined rows as (raw, reason), written, and their number."""
+    rows = [x.select((F.col("raw") if "raw" in x.columns else F.to_json(F.struct(*[c for c in x.columns if c != "reason"]))).alias("raw"), "reason") for x in parts]
+    whole = rows[0]
+    for more in rows[1:]:
+        whole = whole.unionByName(more)
+    return _staged(whole, "quarantine")
+
 
 def _merged(target: DataFrame | None, stage: DataFrame, key: str, update: tuple[str, ...], defaults: dict) -> DataFrame:
     """``target`` with ``stage`` upserted; a first run starts from an empty table."""
     if target is None:
-        target = stage.select("id", key, *update, *[v.alias(c) for c, v in defaults.items()]).limit(0)
-    return merge.upsert(target, stage, [key], {c: F.col(c) for c in update}, {"id": F.col("id"), **defaults})
+        target = stage.select(*(["id"] if "id" in stage.columns else []), key, *update, *[v.alias(c) for c, v in defaults.items()]).limit(0)
+    if "id" in stage.columns:
+        defaults = {"id": F.col("id"), **defaults}
+    return merge.upsert(target, stage, [key], {c: F.col(c) for c in update}, defaults)
 
 
 def _with_ids(target: DataFrame | None, stage: DataFrame, key: str) -> DataFrame:
@@ -42,65 +116,114 @@ def _with_ids(target: DataFrame | None, stage: DataFrame, key: str) -> DataFrame
     return stage.join(merge.surrogate_ids(known, stage, key, "id"), key)
 
 
+def import_sets(spark: SparkSession, path: str, held: Catalogue, run: datetime) -> Catalogue:
+    """Sets by code; cards refer to them."""
+    good, bad = cards.set_rows(json_files.read_sets(spark, path))
+    stage, n = _staged(merge.last_of_each(good, ["code"], ["name"]), "set-stage")
+    quarantine, errors = _bad(bad)
+    sets = held.keep("sets", _merged(held.sets, stage, "code", SET_COLUMNS, {}))
+    return replace(held, sets=sets, quarantine=quarantine, counters={"rows": n, "errors": errors})
+
+
 def import_cards(spark: SparkSession, path: str, held: Catalogue, run: datetime, day: date, source: str = "bulk") -> Catalogue:
     """Cards, faces, printings and prices from a bulk dump.
 
     Of several records of one card, and of one printing, the last in the file counts.
+    Records without an id, and printings of a set that isn't there, are set apart; records
+    without a card key are no cards and are left out.
     """
-    good, bad = json_files.good_and_bad(json_files.read_array(spark, path, schemas.CARD))
-    records = written(good.drop("raw").filter("oracle_id is not null and oracle_id <> '' and id is not null"), "records")
+    good, bad = json_files.good_and_bad(json_files.read_array(spark, path, schemas.CARD), required=("id",))
+    records = written(good.filter("oracle_id is not null and oracle_id <> ''"), "records")
     now = F.lit(run)
 
-    card_stage = _with_ids(held.cards, merge.last_of_each(cards.card_rows(records, "ord"), ["oracle_id"], ["ord"]).drop("ord"), "oracle_id")
-    stamped = card_stage.withColumn("updated_at", now)
-    new_cards = written(_merged(held.cards, stamped, "oracle_id", (*CARD_COLUMNS, "updated_at"), {"created_at": now, "game_changer": F.lit(False)}), "cards")
+    card_stage, n_cards = _staged(_with_ids(held.cards, merge.last_of_each(cards.card_rows(records, "ord"), ["oracle_id"], ["ord"]).drop("ord"), "oracle_id").withColumn("updated_at", now), "card-stage")
+    new_cards = held.keep("cards", _merged(held.cards, card_stage, "oracle_id", (*CARD_COLUMNS, "updated_at"), {"created_at": now, "game_changer": F.lit(False)}))
     ids = new_cards.select("oracle_id", F.col("id").alias("card_id"))
 
     faced = merge.last_of_each(records.filter(F.size("card_faces") > 0).select("oracle_id", "card_faces", "ord"), ["oracle_id"], ["ord"])
     faces = links.attach(cards.face_rows(faced, "oracle_id"), ids, "oracle_id", "card_id").drop("oracle_id")
-    new_faces = written(faces if held.faces is None else merge.replace_children(held.faces, faces, "card_id"), "faces")
-
-    last = merge.last_of_each(records, ["id"], ["ord"])
-    stage = links.attach(cards.printing_rows(last), ids, "oracle_id", "card_id")
-    stage = _with_ids(held.printings, stage, "scryfall_id")
+    new_faces = held.keep("faces", faces if held.faces is None else merge.replace_children(held.faces, faces, "card_id"))
+
+    last = written(merge.last_of_each(records, ["id"], ["ord"]), "last-records")
+    rows, lost = cards.printing_rows(last, "raw"), bad.limit(0)
+    if held.sets is not None:
+        rows, without = links.split_by_reference(rows, "set_code", held.sets, "code")
+        lost = without.select("raw", F.concat(F.lit("no set "), "set_code").alias("reason"))
+    quarantine, errors = _bad(bad, lost)
+    stage, n_printings = _staged(_with_ids(held.printings, links.attach(rows.drop("raw"), ids, "oracle_id", "card_id"), "scryfall_id"), "printing-stage")
     update = tuple(c for c in stage.columns if c not in ("id", "scryfall_id"))
     printings = _merged(held.printings, stage, "scryfall_id", update, {})
-    new_printings = written(links.propagate(printings, ["card_id", "set_code", "collector_number"], "cardmarket_id"), "printings")
+    new_printings = held.keep("printings", links.propagate(printings, ["card_id", "set_code", "collector_number"], "cardmarket_id"))
 
     priced = cards.price_rows(last.withColumnRenamed("id", "scryfall_id"), F.lit(day), source, "scryfall_id")
     priced = links.attach(priced, new_printings.select("scryfall_id", F.col("id").alias("printing_id")), "scryfall_id", "printing_id").drop("scryfall_id")
-    # only this day's partition can hold a key of this day
+    # only this day's folder can hold a key of this day
     today = held.prices.filter(F.col("date") == F.lit(day)) if held.prices is not None else priced.limit(0)
-    added = written(merge.insert_absent(today, priced, PRICE_KEY, ["price"]), "prices", ("date",))
-    prices = added if held.prices is None else held.prices.unionByName(added)
-    counters = {"cards": card_stage.count(), "printings": stage.count(), "prices": added.count(), "errors": bad.count()}
-    return Catalogue(held.sets, new_cards, new_faces, new_printings, prices, held.products, held.entries, counters)
+    prices, n_prices = held.append("prices", merge.insert_absent(today, priced, PRICE_KEY, ["price"]))
+    counters = {"cards": n_cards, "printings": n_printings, "prices": n_prices, "errors": errors}
+    return replace(held, cards=new_cards, faces=new_faces, printings=new_printings, prices=prices, quarantine=quarantine, counters=counters)
 
 
 def import_products(spark: SparkSession, path: str, held: Catalogue, run: datetime) -> Catalogue:
-    good, bad = market.product_rows(json_files.read_wrapped(spark, path, schemas.PRODUCT_LISTS), "file", "ord")
-    stage = merge.last_of_each(good, ["id_product"], ["file", "ord"]).drop("file", "ord")
+    records, unread = json_files.read_wrapped(spark, path, schemas.PRODUCT_LISTS)
+    good, bad = market.product_rows(records, "file", "ord")
     now = F.lit(run)
-    stage = stage.withColumns({"last_seen_at": now, "updated_at": now})
+    stage, n = _staged(merge.last_of_each(good, ["id_product"], ["file", "ord"]).drop("file", "ord").withColumns({"last_seen_at": now, "updated_at": now}), "product-stage")
+    quarantine, errors = _bad(unread, bad)
     update = tuple(c for c in stage.columns if c != "id_product")
-    defaults = {"first_seen_at": now, "created_at": now}
-    target = held.products if held.products is not None else stage.withColumns(defaults).limit(0)
-    products = written(merge.upsert(target, stage, ["id_product"], update, defaults), "products")
-    return Catalogue(held.sets, held.cards, held.faces, held.printings, held.prices, products, held.entries, {"rows": stage.count(), "errors": bad.count()})
+    products = held.keep("products", _merged(held.products, stage, "id_product", update, {"first_seen_at": now, "created_at": now}))
+    return replace(held, products=products, quarantine=quarantine, counters={"rows": n, "errors": errors})
 
 
 def import_price_guide(spark: SparkSession, path: str, held: Catalogue, run: datetime, import_file: int) -> Catalogue:
     """Appends one snapshot of prices; ids that no product has become null."""
-    good, bad = market.price_entries(json_files.read_wrapped(spark, path, schemas.PRICE_LISTS), "file", "ord")
+    records, unread = json_files.read_wrapped(spark, path, schemas.PRICE_LISTS)
+    good, bad = market.price_entries(records, "file", "ord")
     stage = good.withColumns({"import_file_id": F.lit(import_file), "captured_at": F.lit(run)})
     if held.products is not None:
         stage = links.null_out_unknown(stage, "id_product", held.products, "id_product")
     target = held.entries if held.entries is not None else stage.withColumn("id", F.lit(None).cast("long")).drop("file", "ord").limit(0)
     own = target.filter(F.col("import_file_id") == import_file)
+    largest = target.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
     new = merge.insert_absent(own, stage, ["import_file_id", "id_product"], ["file", "ord"]).drop("file", "ord")
-    new = written(new.withColumn("id", F.monotonically_increasing_id() + F.lit(import_file) * (1 << 44)), "entries")
-    entries = new if held.entries is None else held.entries.unionByName(new)
-    return Catalogue(held.sets, held.cards, held.faces, held.printings, held.prices, held.products, entries, {"rows": new.count(), "errors": bad.count()})
+    # after all ids that were given, and different within the file
+    entries, n = held.append("entries", new.withColumn("id", F.monotonically_increasing_id() + F.lit(largest + 1)))
+    quarantine, errors = _bad(unread, bad)
+    return replace(held, entries=entries, quarantine=quarantine, counters={"rows": n, "errors": errors})
+
+
+def import_decks(held: Catalogue, listed: DataFrame) -> Catalogue:
+    """Rebuilds both tables of deck statistics from (deck_id, commander, card_name)."""
+    listed, n = _staged(listed.select("deck_id", "commander", "card_name"), "decks")
+    return replace(held, deck_cards=held.keep("deck_cards", decks.card_statistics(listed)), deck_commanders=held.keep("deck_commanders", decks.commander_statistics(listed)), counters={"rows": n, "errors": 0})
+
+
+def run_if_changed(spark: SparkSession, kind: str, path: str, held: Catalogue, run: datetime, job: Callable[[str, Catalogue], Catalogue]) -> Catalogue:
+    """Runs ``job`` on each landed file that no successful import of this kind has taken,
+    and writes a row for each file into the ledger."""
+    files = written(ledger.landed_files(spark.read.format("binaryFile").load(path)), "landed")
+    new = files if held.ledger is None else ledger.changed_files(files, held.ledger, kind)
+    wanted = {r["path"] for r in new.select("path").collect()}
+    start = 0 if held.ledger is None else held.ledger.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+    rows = []
+    for i, f in enumerate(sorted(files.collect(), key=lambda f: f["path"])):
+        status, counters = "skipped_not_modified", {}
+        if f["path"] in wanted:
+            try:
+                held = job(f["path"], held)
+                status, counters = "success", held.counters
+            except Exception:
+                status = "failed"
+                raise
+            finally:
+                rows.append((start + i + 1, kind, f["path"], f["sha256"], f["content_length"], status, run, counters.get("rows", counters.get("printings")), counters.get("errors")))
+                if status == "failed":
+                    held.append("ledger", spark.createDataFrame(rows, LEDGER))
+        else:
+            rows.append((start + i + 1, kind, f["path"], f["sha256"], f["content_length"], status, run, 0, 0))
+    if not rows:
+        return held
+    return replace(held, ledger=held.append("ledger", spark.createDataFrame(rows, LEDGER))[0])
 
 
 def latest_price_view(held: Catalogue) -> DataFrame:
@@ -111,9 +234,14 @@ def latest_price_view(held: Catalogue) -> DataFrame:
     return latest.latest_prices(printings, names, products, held.entries.drop("raw_json", "import_file_id"))
 
 
-def enrich(held: Catalogue, tag_target: DataFrame, responses: DataFrame, names: DataFrame, replace: bool = False) -> tuple[Catalogue, DataFrame, DataFrame]:
-    """Tags from responses (card_id, taggings) and flags from listed names: the tables,
-    the merged tags, and the names that no card has."""
-    merged = tags.merge_tags(tag_target, tags.tag_rows(responses, "card_id"), "card_id", replace)
+def enrich(held: Catalogue, responses: DataFrame, names: DataFrame, replace_tags: bool = False) -> tuple[Catalogue, DataFrame]:
+    """Tags from responses (set_code, collector_number, name, taggings) to the work-list,
+    and flags from listed names: the tables, and the names that no card has, in order."""
+    answered = tags.answered(responses, latest.printing_for_tags(held.printings))
+    stage = tags.tag_rows(answered, "card_id")
+    target = held.tags if held.tags is not None else stage.limit(0)
+    merged = held.keep("tags", tags.merge_tags(target, stage, "card_id", replace_tags))
     flagged, missed = links.flag_by_name(held.cards, names, "game_changer")
-    return Catalogue(held.sets, flagged, held.faces, held.printings, held.prices, held.products, held.entries, held.counters), merged, missed
+    flagged = held.keep("cards", flagged)
+    total = links.flag_totals(flagged, "game_changer").first()["flagged"]
+    return replace(held, cards=flagged, tags=merged, counters={"flagged": total}), links.name_report(missed)

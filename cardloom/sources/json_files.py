@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import re
+from collections.abc import Iterator, Sequence
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,39 +19,106 @@ def file_order() -> Column:
     return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
 
 
-def read_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The elements of a top-level JSON array that has one element a line.
+def elements(text: str) -> Iterator[str]:
+    """The elements of a JSON array as texts, whatever its line breaks.
 
-    Large files are split by lines.  Columns: ``record``, ``raw`` (its text) and
-    ``ord`` (its place).  A line that is no JSON object gives a null record.
+    What can't be read is given out as one text up to the next line that begins an object
+    and isn't indented deeper than the broken one.
     """
-    lines = spark.read.text(path).select(F.regexp_replace(F.trim("value"), r",$", "").alias("raw"), file_order().alias("ord"))
-    lines = lines.filter(~F.col("raw").isin("[", "]", ""))
-    lines = lines.withColumn("raw", F.regexp_replace(F.regexp_replace("raw", r"^\[(?=\{)", ""), r"(?<=\})\]$", ""))
-    return lines.select(F.when(F.col("raw").rlike(r"^\{"), F.from_json("raw", f"{schema}, _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})).alias("record"), "raw", "ord")
+    decode, at = json.JSONDecoder().raw_decode, 0
+    while m := re.compile(r"[\s,]*").match(text, at):
+        at = m.end()
+        if at == len(text) or not text[at:].strip("[], \t\r\n"):
+            return
+        if text[at] == "[" and not text[:at].strip():
+            at += 1
+            continue
+        try:
+            _, end = decode(text, at)
+        except ValueError:
+            line = text.rfind("\n", 0, at) + 1
+            depth = len(text[line:at]) - len(text[line:at].lstrip()) if not text[line:at].strip() else 0
+            further = re.compile(rf"\n[ \t]{{0,{depth}}}(?=\{{)").search(text, at + 1)
+            end = further.start() if further else len(text)
+        yield text[at:end].rstrip(", \t\r\n")
+        at = end
+
+
+def _split_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for text, file in zip(batch.column("value").to_pylist(), batch.column("file").to_pylist(), strict=True):
+            found = list(elements(text))
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array([file] * len(found), pa.string()), pa.array(range(len(found)), pa.int64())], names=["raw", "file", "line"])
+
 
+def read_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The elements of a top-level JSON array.
 
-def good_and_bad(read: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Records that could be read, as columns with ``raw`` and ``ord``, and a
-    quarantine of those that couldn't."""
-    bad = F.col("record").isNull() | F.col("record._bad").isNotNull()
-    good = read.filter(~bad).select("record.*", "raw", "ord").drop("_bad")
-    return good, read.filter(bad).select("raw", "ord", F.lit("not readable as JSON").alias("reason"))
+    Lines that hold one or more whole elements are split by lines, also within large
+    files, and so is a file most of whose lines do; its other lines are unreadable.  A
+    file whose elements go over several lines is read by one task.  Columns: ``record``,
+    ``raw`` (its text) and ``ord`` (its place).  What is no JSON object gives a null
+    record and is not lost.
+    """
+    lines = spark.read.text(path).select(F.regexp_replace("value", r"^[\s,]+|[\s,]+$", "").alias("raw"), file_order().alias("ord"))
+    lines = lines.withColumn("raw", F.regexp_replace(F.regexp_replace("raw", r"^\[\s*(?=[\{\]]|$)", ""), r"(^|(?<=\}))\s*\]$", "")).filter("raw <> ''")
+    listed = F.concat(F.lit("["), F.col("raw"), F.lit("]"))
+    lines = lines.withColumn("whole", F.try_parse_json(listed).isNotNull())
+    per_file = lines.groupBy("ord.file").agg(F.count_if("whole").alias("whole"), F.count_if(~F.col("whole")).alias("other"))
+    spanning = [r["file"] for r in per_file.filter("other > whole").select("file").collect()]  # of the files that the driver has listed
+    texts = F.when(F.col("whole"), F.from_json(listed, "array<string>")).otherwise(F.array("raw"))
+    found = lines.filter(~F.col("ord.file").isin(spanning)) if spanning else lines
+    found = found.select("ord", F.posexplode(texts).alias("place", "raw"))
+    if spanning:
+        whole = spark.read.text([unquote(f) for f in spanning], wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
+        split = whole.mapInArrow(_split_files, "raw string, file string, line long")
+        found = found.unionByName(split.select(F.struct("file", F.lit(0).cast("long").alias("block"), "line").alias("ord"), F.lit(0).alias("place"), "raw"))
+    record = F.from_json("raw", f"{schema}, _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    found = found.withColumn("raw", F.coalesce("raw", F.lit("null")))
+    return found.select(F.when(F.col("raw").rlike(r"^\s*\{"), record).alias("record"), "raw", F.struct("ord.*", "place").alias("ord"))
+
+
+def good_and_bad(read: DataFrame, required: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Records that could be read and have the required fields, as columns with ``raw``
+    and ``ord``, and a quarantine of all others with the reason."""
+    unreadable = F.col("record").isNull() | F.col("record._bad").isNotNull()
+    reason = F.when(unreadable, F.lit("not readable as JSON"))
+    for name in required:
+        reason = reason.when(F.coalesce(F.col(f"record.{name}") == "", F.lit(True)), F.lit(f"{name} is missing"))
+    judged = read.withColumn("reason", reason)
+    return judged.filter("reason is null").select("record.*", "raw", "ord").drop("_bad"), judged.filter("reason is not null").select("raw", "ord", "reason")
 
 
 def unwrap(text: Column, keys: Sequence[str]) -> Column:
-    """The list in a JSON text: the text itself, or the value of the first key whose
-    value is a list; else an empty list.  Elements are maps of text."""
-    listed = lambda x: F.when(x.rlike(r"^\s*\["), F.from_json(x, "array<map<string,string>>"))
+    """The list in a JSON text, its elements as texts: the text itself, or the value of
+    the first key whose value is a list; else an empty list."""
+    listed = lambda x: F.when(x.rlike(r"^\s*\["), F.from_json(x, "array<string>"))
     tries = [listed(text), *[listed(F.get_json_object(text, f"$['{k}']")) for k in keys]]
-    return F.coalesce(*tries, F.from_json(F.lit("[]"), "array<map<string,string>>"))
+    return F.coalesce(*tries, F.array().cast("array<string>"))
+
+
+def as_map(element: Column) -> Column:
+    """An element as a map of text; null if it is no object."""
+    return F.when(element.rlike(r"^\s*\{"), F.from_json(element, "map<string,string>"))
+
+
+def split_wrapped(texts: DataFrame, keys: Sequence[str], *names: str) -> tuple[DataFrame, DataFrame]:
+    """For texts (column value, and those named) of wrapped documents one row (names, ord,
+    record) for each element, and a quarantine (names, ord, reason): a text that isn't
+    JSON, and elements that are no objects."""
+    readable = F.try_parse_json("value").isNotNull()
+    found = texts.filter(readable).select(*names, F.posexplode(unwrap(F.col("value"), keys)).alias("ord", "element"))
+    found = found.select(*names, "ord", as_map(F.col("element")).alias("record"))
+    bad = texts.filter(~readable).select(*names, F.lit(None).cast("int").alias("ord"), F.lit("not readable as JSON").alias("reason"))
+    return found.filter("record is not null"), bad.unionByName(found.filter("record is null").select(*names, "ord", F.lit("no object").alias("reason")))
 
 
-def read_wrapped(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """One row (record, captured file) for each element of wrapped documents; a file
-    is one task, so large lists belong in files of one element a line."""
+def read_wrapped(spark: SparkSession, path: str, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """One row (file, ord, record) for each element of wrapped documents, and a quarantine
+    (file, ord, reason).  A file is one task: its list is under a key, so that only the
+    whole text tells where it is."""
     whole = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
-    return whole.select("file", F.posexplode_outer(unwrap(F.col("value"), keys)).alias("ord", "record")).filter("record is not null")
+    return split_wrapped(whole, keys, "file")
 
 
 def read_sets(spark: SparkSession, path: str) -> DataFrame:
@@ -62,9 +133,10 @@ def read_names(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_tag_responses(spark: SparkSession, path: str) -> DataFrame:
-    """(card name, tagging list); responses without a card give no row."""
+    """(set code, collector number, card name, taggings) of saved responses, one a line,
+    with the request they answer; responses without a card give no row."""
     read = spark.read.schema(schemas.TAG_RESPONSE).json(path)
-    return read.filter("data.card is not null").select("data.card.name", "data.card.taggings")
+    return read.filter("data.card is not null").select("set_code", "collector_number", "data.card.name", "data.card.taggings")
 
 
 def count_records(spark: SparkSession, path: str) -> int:

@@ -18,7 +18,8 @@ CARD = (
 SET = "code string, name string, set_type string, released_at string, block string, parent_set_code string, card_count int, icon_svg_uri string"
 SET_PAGE = f"data array<struct<{SET}>>"
 NAME_PAGE = "data array<struct<name: string>>, has_more boolean, next_page string"
-TAG_RESPONSE = "data struct<card: struct<name: string, taggings: array<struct<tag: struct<name: string, type: string>>>>>"
+#: Saved beside each response: the printing that was asked for.
+TAG_RESPONSE = "set_code string, collector_number string, data struct<card: struct<name: string, taggings: array<struct<tag: struct<name: string, type: string>>>>>"
 DECK = "deck_id string, commander string, card_name string"
 
 #: Keys under which wrapped documents hold their list, tried in this order.

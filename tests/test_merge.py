@@ -59,7 +59,7 @@ def test_tags(spark):
 
 def test_numbers_are_consecutive_in_key_order(spark):
     df = spark.range(0, 1000).select((F.col("id") * 7919 % 1009).alias("k")).repartition(5)
-    got = merge.numbered(df, "k", "n", start=11, parts=7).orderBy("k").collect()
+    got = merge.numbered(df, "k", "n", start=11, rows_per_part=150).orderBy("k").collect()
     assert [r.n for r in got] == list(range(11, 1011))
     assert merge.numbered(df.limit(0), "k", "n").count() == 0
 
