@@ -2,7 +2,13 @@
 
 Every stage works on all rows that its predecessor kept, and its rows are written
 as Parquet and read again by the next one.  All stages but the last return the
-columns of the documents.
+columns of the documents, and leave other columns alone whatever they are called; the
+column of texts is ``text``, the key ``doc_id``.
+
+Defined results: a null or empty text is rejected by the first stage, as are texts of
+fewer than 50 words; very long texts go through every stage whole; of equal or similar
+documents the one with the smallest id stays, of rows that repeat an id the first as
+text; an empty table gives an empty result in every stage.
 """
 
 from __future__ import annotations
