@@ -160,13 +160,15 @@ def several(labelled: DataFrame, name: str) -> DataFrame:
     return written(labelled.join(written(open_, f"{name}-open"), "bucket", "left_semi"), f"{name}-several")
 
 
-def new_heads(labelled: DataFrame, sets: DataFrame, percent: int, turn: int) -> DataFrame:
+def new_heads(labelled: DataFrame, sets: DataFrame, percent: int, turn: int) -> tuple[DataFrame, DataFrame]:
     """Links (a, b) between labels: each bucket's head of this turn, by hash, with the
-    nodes that aren't of its label."""
+    nodes that aren't of its label; and the rows without the heads, of which all is known."""
     heads = labelled.groupBy("bucket").agg(F.min_by(F.struct("node", "label"), F.xxhash64(F.lit(turn), "node")).alias("h")).select("bucket", F.col("h.node").alias("head"), F.col("h.label").alias("head_label"))
-    met = labelled.join(written(heads, f"heads-{turn}"), "bucket").filter("label <> head_label")
+    headed = labelled.join(written(heads, f"heads-{turn}"), "bucket")
+    met = headed.filter("label <> head_label")
     met = written(met.groupBy(F.col("head").alias("a"), F.col("node").alias("b")).agg(F.min("head_label").alias("label_a"), F.min("label").alias("label_b")), f"met-{turn}")
-    return star_links(met.select("a", "b"), sets, percent).join(met, ["a", "b"]).select(F.col("label_a").alias("a"), F.col("label_b").alias("b")).distinct()
+    links = star_links(met.select("a", "b"), sets, percent).join(met, ["a", "b"]).select(F.col("label_a").alias("a"), F.col("label_b").alias("b")).distinct()
+    return links, headed.filter("node <> head").select(*labelled.columns)
 
 
 def block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -178,8 +180,9 @@ def block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     sizes = by_label.groupBy("bucket").agg(most.alias("m"), F.sum("n").alias("n"), F.sum("shingles").alias("shingles"), F.count("*").alias("labels")).filter("labels > 1")
     sizes = written(sizes.select("bucket", F.col("m.label").alias("main"), parts(F.col("n"), F.col("shingles")).alias("blocks"), parts(F.col("n") - F.col("m.n"), F.col("shingles") - F.col("m.shingles")).alias("apart")), "sizes")
     dealt = members.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("own", F.pmod(F.xxhash64(F.lit(1), "node"), F.col("apart")).cast("int"))
-    # a group is some of the nodes apart, and one block of all nodes, themselves included
-    asks = dealt.filter("label <> main").withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("bucket", F.col("own").alias("i"), "j", "node", "label", F.lit(0).alias("side"))
+    # a group is some of the nodes apart, and one block of all nodes, themselves included; where
+    # one group has the whole bucket, its nodes needn't be told apart
+    asks = dealt.filter("label <> main and blocks * apart > 1").withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("bucket", F.col("own").alias("i"), "j", "node", "label", F.lit(0).alias("side"))
     told = dealt.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("apart") - 1))).select("bucket", "i", F.col("block").alias("j"), "node", "label", F.lit(1).alias("side"))
     paired = asks.unionByName(told).join(sets.select("node", "set"), "node")
 
@@ -214,13 +217,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_column
     first = star_links(crowded.filter("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(), sets, percent)
     # links between labels are drawn between nodes that bear these labels, so all of them together give the groups
     links = [written(first, "star")]
-    held = relabelled(crowded.select("bucket", "node", "n_shingles", F.col("node").alias("label")), links[0], "star")
+    rest = crowded.filter("node <> head").select("bucket", "node", "n_shingles", F.col("node").alias("label"))
+    held = relabelled(rest, links[0], "star")
     for turn in range(1, ROUNDS):
         held = several(held, f"turn-{turn}")
         if held.isEmpty():
             break
-        links.append(written(new_heads(held, sets, percent, turn), f"links-{turn}"))
-        held = relabelled(held, links[-1], f"turn-{turn}")
+        found, rest = new_heads(held, sets, percent, turn)
+        links.append(written(found, f"links-{turn}"))
+        held = relabelled(rest, links[-1], f"turn-{turn}")
     links.append(written(block_links(held, sets, percent), "blocks"))
     found = components(reduce(DataFrame.unionByName, links), "all").select("node", F.col("label").alias("component"))
 
