@@ -44,6 +44,8 @@ FREE = 3
 RADIUS = (FREE + 1) * BLOCKS - 1
 #: Rows of the index up to which it is broadcast: one number as key and two more.
 INDEX_ROWS = 2_000_000
+#: Texts whose windows are looked at by one task.
+TEXTS = 200
 
 
 def with_shingles(texts: DataFrame, size: int) -> DataFrame:
@@ -148,7 +150,8 @@ def holders(docs: DataFrame, items: DataFrame, size: int = 5, percent: int = 80)
     hits = found.join(small_if_checked(shared), "shingle").groupBy("key_a", "key_b", "item_key", "n").count().filter(100 * F.col("count") >= percent * F.col("n"))
     sizes = written(hits.groupBy("key_a", "key_b").agg(F.collect_set("n").alias("sizes")), "sizes")  # at most as many as items have sizes
     texts = keyed.join(small_if_checked(sizes), ["key_a", "key_b"]).dropDuplicates(["key_a", "key_b"])
-    texts = written(with_shingles(texts, size), "texts")
+    # what follows is much work for each text, so few of them make a task
+    texts = written(with_shingles(texts, size).repartition(min(sizes.count() // TEXTS + 1, 100_000)), "texts")
 
     sized = texts.select("key_a", "key_b", "shingles", F.explode("sizes").alias("n"))
     over = F.floor(F.col("n") * (100 - percent) / 100).cast("int")
