@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardloom.llm import decontaminate, language_id, masked_lm, minhash, ngram_quality, oracles, packing, pii, quality_rules, token_counts, warc
+from cardloom.llm import decontaminate, language_id, masked_lm, minhash, ngram_quality, oracles, packing, periodic_runs, pii, quality_rules, token_counts, warc
 from cardloom.llm.common import table
 
 
@@ -56,6 +56,10 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return masked_lm.pseudo_likelihood(table(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.report(periodic_runs.with_repeats(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_lm_scoring": op2_lm_scoring,
@@ -67,6 +71,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_packing": op9_packing,
     "op10_pii": op10_pii,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 #: Without SQL: trained models (2, 5, 7, 10) and token ids of a library (8, 9).
