@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardloom.llm import decontaminate, language_id, masked_lm, minhash, ngram_quality, oracles, packing, periodic_runs, pii, quality_rules, token_counts, warc
+from cardloom.llm import decontaminate, language_id, masked_lm, minhash, ngram_quality, oracles, packing, periodic_runs, pii, quality_rules, spelling, token_counts, token_files, warc
 from cardloom.llm.common import table
 
 
@@ -56,6 +56,14 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return masked_lm.pseudo_likelihood(table(spark, sf_dir, "documents"))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"), typo_every=199)
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.report(periodic_runs.with_repeats(table(spark, sf_dir, "documents")))
 
@@ -71,6 +79,8 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_packing": op9_packing,
     "op10_pii": op10_pii,
+    "op11_token_files": op11_token_files,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
