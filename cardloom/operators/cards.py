@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cardloom.functions.text import normalize_name
 from cardloom.functions.values import date_or_null, empty_to_null, overflows
-from cardloom.operators.quality import quarantine
+from cardloom.operators.constraints import split
 
 _PASSED = ("type_line", "oracle_text", "power", "toughness", "loyalty", "defense")
 _LISTS = ("colors", "color_identity", "keywords")
@@ -95,22 +95,33 @@ def printing_rows(records: DataFrame, *more: str) -> DataFrame:
     )
 
 
-def price_rows(records: DataFrame, date: Column, source: str, *keys: str) -> DataFrame:
-    """Up to five prices of a record as rows; a price of 0 is one, an empty text none."""
+def price_texts(records: DataFrame, date: Column, source: str, *keys: str) -> DataFrame:
+    """A row (keys, source, currency, price_type, text, date) for each price of a record that is
+    given at all, whatever its text."""
     all_prices = F.array(*[F.struct(F.lit(c).alias("currency"), F.lit(k).alias("price_type"), F.col(f"prices.{f}").alias("text")) for c, k, f in PRICE_FIELDS])
-    rows = records.select(*keys, F.explode(all_prices).alias("p"))
-    priced = rows.select(*keys, F.lit(source).alias("source"), "p.currency", "p.price_type", F.col("p.text").try_cast("decimal(10,2)").alias("price"), date.alias("date"))
-    return priced.filter("price is not null")
+    rows = records.select(*keys, F.explode(F.filter(all_prices, lambda p: p["text"].isNotNull())).alias("p"))
+    return rows.select(*keys, F.lit(source).alias("source"), "p.currency", "p.price_type", "p.text", date.alias("date"))
+
+
+def priced(texts: DataFrame) -> DataFrame:
+    """Rows of ``price_texts`` with the price as a number; texts that are none are left out,
+    a price of 0 is one."""
+    read = texts.withColumn("text", F.col("text").try_cast("decimal(10,2)")).withColumnRenamed("text", "price")
+    return read.filter("price is not null")
+
+
+def price_rows(records: DataFrame, date: Column, source: str, *keys: str) -> DataFrame:
+    """Up to five prices of a record as rows; an empty text is none."""
+    return priced(price_texts(records, date, source, *keys)).select(*keys, "source", "currency", "price_type", "price", "date")
 
 
 def overflowing(records: DataFrame, *keys: str) -> DataFrame:
     """(keys, currency, price_type, text) for prices that are numbers but too large to be kept."""
-    all_prices = F.array(*[F.struct(F.lit(c).alias("currency"), F.lit(k).alias("price_type"), F.col(f"prices.{f}").alias("text")) for c, k, f in PRICE_FIELDS])
-    rows = records.select(*keys, F.explode(all_prices).alias("p")).select(*keys, "p.*")
-    return rows.filter(overflows(F.col("text"), "decimal(10,2)"))
+    texts = price_texts(records, F.lit(None).cast("date"), "", *keys)
+    return texts.filter(overflows(F.col("text"), "decimal(10,2)")).select(*keys, "currency", "price_type", "text")
 
 
 def set_rows(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Sets with code and name, their dates read, and a quarantine of those without."""
-    good, bad = quarantine(sets, required=("code", "name"))
+    """Sets with code and name, their dates read, and a quarantine of those that break the rules of the table."""
+    good, bad = split(sets, "sets")
     return good.withColumn("released_at", date_or_null(F.col("released_at"))), bad

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardloom.functions.text import compatible_name
+from cardloom.sources.storage import shared_folder, written
 
 
 def attach(children: DataFrame, parents: DataFrame, key: str, id_column: str) -> DataFrame:
@@ -88,6 +90,18 @@ def name_report(names: DataFrame, name: str = "name") -> DataFrame:
     return names.select(name).filter(F.col(name).isNotNull()).distinct().orderBy(name)
 
 
+def for_look_ups(df: DataFrame, columns: Sequence[str], rows_per_group: int = 100_000) -> DataFrame:
+    """``df`` written so that equality look-ups on ``columns`` skip most of it: in order of the
+    first column, so that statistics of files and of row groups tell where its values are,
+    and with Bloom filters for the others, which may stand anywhere."""
+    path = f"{shared_folder(df.sparkSession)}/cardloom-look-ups-{uuid.uuid4().hex}"
+    writer = df.repartitionByRange(*columns[:1]).sortWithinPartitions(*columns).write
+    for c in columns[1:]:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true").option(f"parquet.bloom.filter.expected.ndv#{c}", str(rows_per_group))
+    writer.option("parquet.block.row.count.limit", str(rows_per_group)).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def look_up(df: DataFrame, column: str, value: str, **others: object) -> DataFrame:
     """Rows whose ``column`` is ``value`` and whose other columns have the values given:
     plain comparisons, which reach a scan sorted or partitioned by these columns."""
@@ -97,6 +111,32 @@ def look_up(df: DataFrame, column: str, value: str, **others: object) -> DataFra
     return out
 
 
+def nested_pages(parents: DataFrame, children: DataFrame, key: str, columns: Sequence[str], out: str, page_bytes: int = 1 << 20) -> DataFrame:
+    """Parents with their children in pages: arrays in the order of ``columns`` of about
+    ``page_bytes`` at most each (of their text as JSON), with ``page`` and ``pages``.
+
+    A parent without children has one empty page.  Children are dealt out by ranges of
+    (key, columns), so those of one parent may be in many tasks; the bytes before
+    a range's first child are a sum over the few ranges that the parent has.
+    """
+    item = F.struct(*columns)
+    ranged = children.filter(F.col(key).isNotNull()).select(F.col(key), item.alias("_item"), F.length(F.to_json(item)).cast("long").alias("_bytes"))
+    ranged = ranged.repartitionByRange(key, "_item").sortWithinPartitions(key, "_item").withColumn("_part", F.spark_partition_id())
+    ranged = written(ranged, "children")
+    sizes = ranged.groupBy(key, "_part").agg(F.sum("_bytes").alias("_sum"))
+    earlier = F.sum("_sum").over(Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.select(key, "_part", F.coalesce(earlier, F.lit(0)).alias("_before"))
+    own = F.sum("_bytes").over(Window.partitionBy(key, "_part").orderBy("_item").rowsBetween(Window.unboundedPreceding, -1))
+    placed = ranged.withColumn("_own", F.coalesce(own, F.lit(0))).join(offsets, [key, "_part"])
+    page = F.floor((F.col("_own") + F.col("_before")) / page_bytes)
+    lists = placed.groupBy(key, page.alias("_page")).agg(F.array_sort(F.collect_list("_item")).alias(out))
+    # an item that is longer than a page leaves numbers out
+    numbers = Window.partitionBy(key)
+    lists = lists.select(key, out, (F.row_number().over(numbers.orderBy("_page")) - 1).alias("page"), F.count("*").over(numbers).alias("pages"))
+    joined = parents.join(lists, key, "left")
+    return joined.withColumns({out: F.coalesce(F.col(out), F.array().cast(lists.schema[out].dataType)), "page": F.coalesce("page", F.lit(0)), "pages": F.coalesce("pages", F.lit(1))})
+
+
 def nested(parents: DataFrame, children: DataFrame, key: str, columns: Sequence[str], out: str) -> DataFrame:
     """Parents with their children as a sorted array, empty if there are none."""
     lists = children.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*columns))).alias(out))

@@ -32,8 +32,9 @@ def product_rows(records: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
     return good.select("id_product", *numbers, name, *texts, F.to_json("record").alias("raw_json"), *more), bad
 
 
-def price_entries(records: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
-    """Price entries with their 15 prices, and a quarantine.
+def price_entries(records: DataFrame, *more: str, overflow: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Price entries with their 15 prices, and a quarantine.  ``overflow`` names a further
+    column for the names of prices that are numbers but don't fit.
 
     The keys are data and not code: spelled out, the look-ups of all spellings would be
     more code than the JVM compiles.
@@ -42,6 +43,10 @@ def price_entries(records: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]
     prices = F.transform(F.transform("_texts", decimal_or_null), lambda d: F.when(d != 0, d.try_cast("decimal(12,4)")))
     read = with_price_texts(good).withColumn("_prices", prices)
     columns = [F.get("_prices", i).alias(c) for i, c in enumerate(schemas.PRICES)]
+    if overflow:
+        names = F.array(*map(F.lit, schemas.PRICES))
+        over = F.filter(names, lambda n, i: overflows(F.get("_texts", i), "decimal(12,4)"))
+        columns.append(over.alias(overflow))
     return read.select("id_product", *columns, F.to_json("record").alias("raw_json"), *more), bad
 
 

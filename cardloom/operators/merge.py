@@ -84,37 +84,32 @@ def replace_children(target: DataFrame, stage: DataFrame, parent: str | Sequence
     return kept.unionByName(stage.select(*target.columns))
 
 
-def numbered(df: DataFrame, key: str, out: str, start: int = 1, rows_per_part: int = 1_000_000) -> DataFrame:
-    """Adds consecutive numbers in the order of the distinct values of ``key``.
+def numbered(df: DataFrame, key: str, out: str, start: int = 1, rows_per_part: int | None = None) -> DataFrame:
+    """Adds consecutive numbers in the order of ``key``, nulls first.
 
-    The rows are written once; their number gives the number of ranges.  They are cut
-    at a few values of the key, ranks within a range and the number of rows in the ranges
-    before give the place: no single task sorts all.
+    Rows are dealt out by ranges of the key, sorted within, and written with their place in
+    their range; the rows before a range are a sum over the ranges' sizes, a row each.  No
+    key passes through the driver, and no task sorts all.  The number of ranges is the
+    session's, or follows from ``rows_per_part``.
     """
-    df = written(df, "numbered")
-    parts = max(8, -(-df.count() // rows_per_part))
-    # some times more than there are ranges, so that ranges are about equal
-    share = min(1.0, 64 * parts / max(df.count(), 1))
-    seen = df.select(key).filter(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < int(share * (1 << 30))).distinct()
-    values = sorted(r[0] for r in seen.collect())  # about 64 for each range
-    cuts = values[:: max(1, len(values) // parts)] or [r[0] for r in df.select(key).limit(1).collect()]
-    if not cuts:
-        return df.withColumn(out, F.lit(None).cast("long"))
-    bounds = F.array(*[F.lit(c) for c in cuts])
-    ranged = df.withColumn("_range", F.size(F.filter(bounds, lambda b: b <= F.col(f"`{key}`"))))
-    sizes = ranged.groupBy("_range").count().collect()  # a row for each range
-    offsets, total = {}, start
-    for r in sorted(sizes, key=lambda r: r["_range"]):
-        offsets[r["_range"]] = total
-        total += r["count"]
-    offset = F.element_at(F.create_map(*[x for k, v in offsets.items() for x in (F.lit(k), F.lit(v).cast("long"))]), F.col("_range"))
-    place = F.row_number().over(Window.partitionBy("_range").orderBy(key)) - 1
-    return ranged.withColumn(out, (place + offset).cast("long")).drop("_range")
-
-
-def surrogate_ids(known: DataFrame, keys: DataFrame, key: str, out: str) -> DataFrame:
-    """(key, id) for the known keys as they are and for new ones after the largest id."""
-    largest = known.agg(F.coalesce(F.max(out), F.lit(0)).alias("n")).first()["n"]
+    ranges = [-(-df.count() // rows_per_part) or 1] if rows_per_part else []
+    # the place is the number of the range in the high bits and that of the row in the low 33
+    ranged = df.repartitionByRange(*ranges, key).sortWithinPartitions(key).withColumn("_place", F.monotonically_increasing_id())
+    ranged = written(ranged, "numbered")
+    part = F.shiftrightunsigned("_place", 33)
+    sizes = ranged.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    own = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    placed = ranged.withColumn("_part", part).join(F.broadcast(offsets), "_part")  # a row for each task
+    return placed.select(*df.columns, (own + F.col("_before") + start).alias(out))
+
+
+def surrogate_ids(known: DataFrame, keys: DataFrame, key: str, out: str, largest: int | None = None) -> DataFrame:
+    """(key, id) for the known keys as they are and for new ones after the largest id, which
+    is to be given if ``known`` are not all."""
+    if largest is None:
+        largest = known.agg(F.coalesce(F.max(out), F.lit(0)).alias("n")).first()["n"]
     new = keys.select(key).filter(F.col(key).isNotNull()).distinct().join(known, key, "left_anti")
     return known.select(key, out).unionByName(numbered(new, key, out, start=largest + 1).select(key, out))
 
