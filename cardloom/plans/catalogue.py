@@ -7,17 +7,18 @@ a deck, a conversation turn for a face.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cardloom.functions.text import normalize_name
-from cardloom.functions.values import date_or_null
-from cardloom.operators import cards, decks, latest, ledger, links, market, merge, quality, tags
-from cardloom.sources import json_files, schemas
+from cardloom.functions.values import date_or_null, stamped_name, time_or_null
+from cardloom.operators import cards, cascades, constraints, decks, latest, ledger, links, market, merge, quality, tags
+from cardloom.sources import databases, files, json_files, schemas
 from cardloom.plans import jobs
 from cardloom.sources.storage import Snapshots, shared_folder, table, written
 from cardloom.streaming import latest_prices
@@ -498,11 +499,13 @@ def translations(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT user_id, event_id, value, strftime(ts, '%Y-%m-%d %H:%M:%S') AS captured_at FROM events
     QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
 def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The latest entries, from files as they arrive: all that are there are taken in."""
-    schema = table(spark, sf_dir, "events").schema
+    """The latest entries, from four files that arrive one after another, late entries
+    among them."""
+    events = table(spark, sf_dir, "events")
     folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    events.repartition(4, "event_id").write.parquet(f"{folder}/in")
     current = Snapshots(spark, f"{folder}/latest")
-    latest_prices.ingest_arrivals(spark, f"{sf_dir}/events.parquet*", schema, f"{folder}/checkpoint", latest_prices.keep_latest(current, ["user_id"], "ts", "event_id"))
+    latest_prices.ingest_arrivals(spark, f"{folder}/in", events.schema, f"{folder}/checkpoint", latest_prices.keep_latest(current, ["user_id"], "ts", "event_id"), files_per_batch=1)
     return current.current().select("user_id", "event_id", "value", clock("ts").alias("captured_at"))
 
 
@@ -514,23 +517,44 @@ def read_bulk_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     record = F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), F.lit("o").alias("oracle_id"), F.col("text").alias("name"), "lang", F.col("n_chars").cast("double").alias("cmc")))
     folder = f"{shared_folder(spark)}/bulk-{uuid.uuid4().hex}"
     broken = F.when(F.col("doc_id") % 10 == 0, F.concat(F.lit("{"), record)).otherwise(record)
-    docs.repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id").select(F.concat(broken, F.lit(",")).alias("value")).write.text(folder)
+    docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id").select(F.concat(broken, F.lit(",")).alias("value")).write.text(folder)
     good, _ = json_files.good_and_bad(json_files.read_array(spark, folder, schemas.CARD))
     placed = merge.numbered(good.withColumn("number", F.col("id").cast("long")), "number", "place", start=0)
     return placed.select("id", "name", "lang", F.col("cmc").alias("mana_value"), "place")
 
 
+def _landed_documents(spark: SparkSession, elements: DataFrame, head: Column, tail: Column, name: str) -> str:
+    """Files (kind, part) of ``head``, the elements (kind, part, place, value) a line each with
+    commas between, and ``tail``; no file is ever one row."""
+    order = Window.partitionBy("kind", "part").orderBy("place")
+    first = F.row_number().over(order) == 1
+    lines = elements.select("kind", "part", "place", F.when(first, F.col("value")).otherwise(F.concat(F.lit(","), "value")).alias("value"))
+    files = elements.select("kind", "part").distinct()
+    ends = files.select("kind", "part", F.lit(-1).cast("long").alias("place"), head.alias("value")).unionByName(files.select("kind", "part", F.lit((1 << 62)).cast("long").alias("place"), tail.alias("value")))
+    folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    whole = lines.unionByName(ends).repartition("kind", "part").sortWithinPartitions("kind", "part", "place")
+    whole.drop("place").write.partitionBy("kind", "part").text(folder)
+    return folder
+
+
+def _turns(spark: SparkSession, sf_dir: str, kinds: int, value: Column) -> DataFrame:
+    """Conversation turns as elements of wrapped documents, four for each kind."""
+    turns = table(spark, sf_dir, "conversations")
+    return turns.select((F.col("conv_id") % kinds).alias("kind"), (F.col("turn") % 4).alias("part"), (F.col("conv_id") * 1000 + F.col("turn")).alias("place"), value.alias("value"))
+
+
 @query("""
     SELECT conv_id, count(*) AS n, sum(turn)::BIGINT AS turns FROM conversations WHERE conv_id % 4 <> 3 GROUP BY conv_id""")
 def unwrap_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations as wrapped lists: bare, under a later key, under the first key that
-    is a list, and one under no known key, which is empty."""
-    turns = table(spark, sf_dir, "conversations")
-    lists = turns.groupBy("conv_id").agg(F.to_json(F.collect_list(F.struct("turn"))).alias("list"))
-    k = F.col("conv_id") % 4
-    text = F.when(k == 0, F.col("list")).when(k == 1, F.concat(F.lit('{"singles":'), "list", F.lit("}"))).when(k == 2, F.concat(F.lit('{"product":"none","data":'), "list", F.lit("}"))).otherwise(F.concat(F.lit('{"other":'), "list", F.lit("}")))
-    items, _ = json_files.split_wrapped(lists.select("conv_id", text.alias("value")), schemas.PRODUCT_LISTS, "conv_id")
-    return items.groupBy("conv_id").agg(F.count("*").alias("n"), F.sum(F.try_element_at("record", F.lit("turn")).cast("long")).alias("turns"))
+    """Turns landed as files of wrapped lists: bare, under a later key, under the first key
+    that is a list, and under no known key, which is empty."""
+    k = F.col("kind")
+    head = F.when(k == 0, "[").when(k == 1, '{"count": 3, "singles": [').when(k == 2, '{"product": "none", "data": [').otherwise('{"other": [')
+    tail = F.when(k == 0, "]").when(k == 2, '], "singles": [{"conv_id": -1}]}').otherwise("]}")
+    folder = _landed_documents(spark, _turns(spark, sf_dir, 4, F.to_json(F.struct("conv_id", "turn"))), head, tail, "wrapped")
+    items, _ = json_files.read_wrapped(spark, folder, schemas.PRODUCT_LISTS)
+    field = lambda c: F.try_element_at("record", F.lit(c)).cast("long")
+    return items.groupBy(field("conv_id").alias("conv_id")).agg(F.count("*").alias("n"), F.sum(field("turn")).alias("turns"))
 
 
 @query("""
@@ -577,9 +601,10 @@ def import_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
     SELECT p_partkey, p_name, p_brand FROM part WHERE lower(p_name) = 'red widget' AND p_brand = 'Brand#17'""")
 def look_up_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """From a table kept in order of the folded name, so that a look-up reads few groups of rows."""
+    """From a table kept in order of the folded name, with a filter on the brand, so that a
+    look-up reads few groups of rows."""
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", normalize_name(F.col("p_name")).alias("normalized_name"))
-    kept = written(part.sortWithinPartitions("normalized_name"), "names")
+    kept = links.for_look_ups(part, ["normalized_name", "p_brand"])
     return links.look_up(kept, "normalized_name", "red widget", p_brand="Brand#17").select("p_partkey", "p_name", "p_brand")
 
 
@@ -594,52 +619,52 @@ def _landed(spark: SparkSession, df: DataFrame, name: str) -> str:
     SELECT doc_id::VARCHAR AS id, lang, CASE WHEN doc_id % 10 = 0 THEN 'not readable as JSON' WHEN doc_id % 7 = 0 THEN 'id is missing' ELSE '' END AS reason
     FROM documents""")
 def read_any_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Arrays in one line, with several records a line, a record a line and over many
-    lines, with broken records and records without id: all come back, as records or with
-    the reason why not."""
-    d = F.col("doc_id")
+    """Arrays in one line, with two records a line, a record a line and over many lines, with
+    broken records and records without id: all come back, as records or with the reason
+    why not.
+
+    In arrays of one line a broken record lacks a value; where lines or indents tell
+    where the next one begins, it ends early.
+    """
+    d, kind = F.col("doc_id"), F.col("doc_id") % 4
     fields = F.struct(F.when(d % 7 != 0, d.cast("string")).alias("id"), d.cast("string").alias("name"), "lang")
-    flat, wide = F.to_json(fields), F.to_json(fields, {"pretty": "true"})
-    # a broken record ends early, and what is left of it still tells which one it is
-    broken = lambda x: F.when(d % 10 == 0, F.concat(F.lit("{"), F.lit('"broken": '), d.cast("string"), F.lit(', "'), F.col("lang"), F.lit('"'))).otherwise(x)
-    docs = table(spark, sf_dir, "documents")
-    found = []
-    for kind, text in enumerate((flat, flat, flat, wide)):
-        # broken records only where lines or indents tell where the next one begins; else one file of whole ones
-        mine = docs.filter(d % 4 == kind).select("doc_id", "lang", (text if kind == 0 else broken(text)).alias("value"))
-        if kind == 0:
-            mine = mine.filter(d % 10 != 0)
-        mine = mine.withColumn("part", (F.pmod(F.xxhash64("doc_id"), F.lit(8))).cast("int"))
-        lists = F.sort_array(F.collect_list(F.struct("doc_id", "value")))
-        joined = F.array_join(F.transform(lists, lambda x: x["value"]), ",\n" if kind else ",")
-        if kind == 1:  # two records a line, of those that are whole
-            joined = F.regexp_replace(joined, r"\},\n(?=\{\"(?:id|name))", "},")
-        folder = f"{shared_folder(spark)}/arrays-{uuid.uuid4().hex}"
-        whole = mine.groupBy("part").agg(F.concat(F.lit("[" if kind == 0 else "[\n"), joined, F.lit("]" if kind == 0 else "\n]")).alias("value")).select("value")
-        whole.write.option("lineSep", "\n\n").option("maxRecordsPerFile", 1).text(folder)
-        found.append(json_files.good_and_bad(json_files.read_array(spark, folder, schemas.CARD), required=("id",)))
-    rows = []
-    for good, bad in found:
-        rows.append(good.select("id", "lang", F.lit("").alias("reason")))
-        number = F.coalesce(F.get_json_object("raw", "$.name"), F.regexp_extract("raw", '"broken": ([0-9]+)', 1))
-        lang = F.coalesce(F.get_json_object("raw", "$.lang"), F.regexp_extract("raw", ', "([a-z]+)"', 1))
-        rows.append(bad.select(number.alias("id"), lang.alias("lang"), "reason"))
-    # the broken ones of the first kind weren't landed; they are what the others' rule says
-    left = docs.filter((d % 4 == 0) & (d % 10 == 0)).select(d.cast("string").alias("id"), "lang", F.lit("not readable as JSON").alias("reason"))
-    return reduce(DataFrame.unionByName, [*rows, left])
-
-
-@query("""
-    SELECT conv_id, CASE WHEN conv_id % 3 = 0 THEN 'not readable as JSON' ELSE 'no object' END AS reason, (CASE WHEN conv_id % 3 = 0 THEN 1 ELSE count(*) FILTER (turn % 2 = 0) END)::BIGINT AS n
-    FROM conversations GROUP BY conv_id HAVING conv_id % 3 = 0 OR count(*) FILTER (turn % 2 = 0) > 0""")
+    record = F.when(kind == 3, F.to_json(fields, {"pretty": "true"})).otherwise(F.to_json(fields))
+    # what is left of a broken record still tells which one it is
+    broken = F.concat(F.lit('{"broken": '), d.cast("string"), F.lit(', "'), F.col("lang"), F.when(kind == 0, '"}').otherwise('"'))
+    docs = table(spark, sf_dir, "documents").select(kind.alias("kind"), F.pmod(F.xxhash64((d / 8).cast("long")), F.lit(8)).alias("part"), d.alias("place"), F.when(d % 10 == 0, broken).otherwise(record).alias("value"), (d % 10 == 0).alias("cut"))
+    order = Window.partitionBy("kind", "part").orderBy("place")
+    number = F.row_number().over(order)
+    # the separators of each kind: none between lines of the first, which has no line breaks at all
+    beside = (F.col("kind") == 0) | ((F.col("kind") == 1) & (number % 2 == 0) & ~F.lag("cut", 1, False).over(order))
+    before = F.when(number == 1, "").when(beside, ",").otherwise(",\n")
+    text = docs.select("kind", "part", "place", F.concat(before, "value").alias("value"))
+    files = docs.select("kind", "part").distinct()
+    breaks = F.when(F.col("kind") == 0, "").otherwise("\n")
+    ends = files.select("kind", "part", F.lit(-1).cast("long").alias("place"), F.concat(F.lit("["), breaks).alias("value")).unionByName(files.select("kind", "part", F.lit(1 << 62).cast("long").alias("place"), F.concat(breaks, F.lit("]")).alias("value")))
+    folder = f"{shared_folder(spark)}/arrays-{uuid.uuid4().hex}"
+    whole = text.unionByName(ends).repartition("kind", "part").sortWithinPartitions("kind", "part", "place")
+    # lines that aren't separated: what the texts hold is all that the files hold
+    whole.drop("place").write.partitionBy("kind", "part").option("lineSep", " ").text(folder)
+    good, bad = json_files.good_and_bad(json_files.read_array(spark, folder, schemas.CARD), required=("id",))
+    number = F.coalesce(F.get_json_object("raw", "$.name"), F.regexp_extract("raw", '"broken": ([0-9]+)', 1))
+    lang = F.coalesce(F.get_json_object("raw", "$.lang"), F.regexp_extract("raw", ', "([a-z]+)"', 1))
+    return good.select("id", "lang", F.lit("").alias("reason")).unionByName(bad.select(number.alias("id"), lang.alias("lang"), "reason"))
+
+
+@query("""
+    SELECT conv_id % 3 AS kind, 'not readable as JSON' AS reason, count(DISTINCT turn % 4) AS n FROM conversations WHERE conv_id % 3 = 0 GROUP BY ALL
+    UNION ALL SELECT conv_id % 3, 'no object', count(*) FILTER (turn % 2 = 0) FROM conversations WHERE conv_id % 3 = 1 GROUP BY ALL
+    UNION ALL SELECT conv_id % 3, 'not readable as JSON', count(*) FILTER (turn % 2 = 0) FROM conversations WHERE conv_id % 3 = 2 GROUP BY ALL""")
 def wrapped_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wrapped documents of which every third is cut off; of the others, even turns are no objects."""
-    turns = table(spark, sf_dir, "conversations")
-    element = F.when(F.col("turn") % 2 == 0, F.col("turn").cast("string")).otherwise(F.to_json(F.struct("turn")))
-    listed = turns.groupBy("conv_id").agg(F.array_join(F.collect_list(element), ",").alias("list"))
-    text = F.concat(F.lit('{"data": ['), "list", F.when(F.col("conv_id") % 3 == 0, ',{"tu').otherwise("]}"))
-    _, bad = json_files.split_wrapped(listed.select("conv_id", text.alias("value")), schemas.PRODUCT_LISTS, "conv_id")
-    return bad.groupBy("conv_id", "reason").agg(F.count("*").alias("n"))
+    """Wrapped documents of which those of the first kind are cut off; of the others, even
+    turns are no objects, or objects that can't be read."""
+    k = F.col("conv_id") % 3
+    whole = F.to_json(F.struct("turn"))
+    value = F.when(F.col("turn") % 2 != 0, whole).when(k == 1, F.col("turn").cast("string")).when(k == 2, '{"turn"}').otherwise(whole)
+    tail = F.when(F.col("kind") == 0, ', {"tu').otherwise("]}")
+    folder = _landed_documents(spark, _turns(spark, sf_dir, 3, value), F.lit('{"data": ['), tail, "broken")
+    _, bad = json_files.read_wrapped(spark, folder, schemas.PRODUCT_LISTS)
+    return bad.groupBy(F.regexp_extract("file", "kind=([0-9])", 1).cast("long").alias("kind"), "reason").agg(F.count("*").alias("n"))
 
 
 @query("SELECT count(*) AS n FROM lineitem")
@@ -720,17 +745,116 @@ def overflowing_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT user_id, event_type, min(event_id) AS event_id, CASE WHEN event_type = 'click' THEN 'a' ELSE 'b' END AS file_type FROM events GROUP BY user_id, event_type")
 def append_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows appended to a history in three runs, of which the last brings nothing new."""
+    """Rows appended to a history in runs of which the first and the last bring nothing new,
+    and one is repeated under its id."""
     events = table(spark, sf_dir, "events").select("user_id", "event_type", "event_id", F.when(F.col("event_type") == "click", "a").otherwise("b").alias("file_type"))
     store = jobs.Store(spark, f"{shared_folder(spark)}/history-{uuid.uuid4().hex}")
     # in the order of the ids, so that the first of a key is the first ever
     half = events.agg(F.max("event_id")).first()[0] // 2
-    for stage in (events.filter(F.col("event_id") <= half), events, events):
+    for turn, stage in (("none", events.limit(0)), ("half", events.filter(F.col("event_id") <= half)), ("half", events.filter(F.col("event_id") <= half)), ("all", events), ("again", events)):
         held = store.current("ledger")
-        store.append("ledger", merge.insert_absent(events.limit(0) if held is None else held.select(*events.columns), stage, ["user_id", "event_type"], ["event_id"]))
+        held = events.limit(0) if held is None else store.without_append("ledger", turn)
+        store.append("ledger", merge.insert_absent(held.select(*events.columns), stage, ["user_id", "event_type"], ["event_id"]), turn)
     return store.current("ledger").select("user_id", "event_type", "event_id", "file_type")
 
 
+@query("""
+    WITH old AS (SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey % 3 <> 0), new AS (SELECT c_custkey, upper(c_name) AS c_name, c_acctbal + 1 AS c_acctbal FROM customer WHERE c_custkey % 100 < 2)
+    SELECT coalesce(n.c_custkey, o.c_custkey) AS c_custkey, coalesce(n.c_name, o.c_name) AS c_name, coalesce(n.c_acctbal, o.c_acctbal) AS c_acctbal FROM old o FULL JOIN new n ON n.c_custkey = o.c_custkey""")
+def upsert_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers kept in buckets by key, a few of which are updated: in a run that fails, which
+    leaves nothing, and in one that is committed with all of its parts."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    old = customers.filter("c_custkey % 3 <> 0")
+    new = customers.filter("c_custkey % 100 < 2").select("c_custkey", F.upper("c_name").alias("c_name"), (F.col("c_acctbal") + 1).alias("c_acctbal"))
+    store = jobs.Store(spark, f"{shared_folder(spark)}/buckets-{uuid.uuid4().hex}")
+    upsert = lambda part: store.rewrite("cards", ["c_custkey"], part, lambda held: part if held is None else merge.upsert(held, part, ["c_custkey"], ["c_name", "c_acctbal"]))
+    upsert(old)
+    try:
+        with store.run():
+            upsert(customers.withColumn("c_name", F.lit("lost")))
+            raise InterruptedError
+    except InterruptedError:
+        pass
+    with store.run():
+        for part in (new.filter("c_custkey % 2 = 0"), new.filter("c_custkey % 2 = 1")):
+            upsert(part)
+    return store.current("cards")
+
+
+@query("""
+    WITH n AS (SELECT n_nationkey FROM nation WHERE n_regionkey = 1), c AS (SELECT c_custkey FROM customer WHERE c_nationkey IN (FROM n)),
+         o AS (SELECT o_orderkey FROM orders WHERE o_custkey IN (FROM c) OR o_totalprice > 400000), s AS (SELECT s_suppkey, s_nationkey IN (FROM n) AS cut FROM supplier)
+    SELECT 'nation' AS kind, n_nationkey::BIGINT AS key, NULL::BIGINT AS reference, 1::BIGINT AS n FROM nation WHERE n_nationkey NOT IN (FROM n)
+    UNION ALL SELECT 'customer', c_custkey, c_nationkey, 1 FROM customer WHERE c_custkey NOT IN (FROM c)
+    UNION ALL SELECT 'supplier', s_suppkey, CASE WHEN s_nationkey NOT IN (FROM n) THEN s_nationkey END, 1 FROM supplier
+    UNION ALL SELECT 'orders', o_orderkey, o_custkey, 1 FROM orders WHERE o_orderkey NOT IN (FROM o)
+    UNION ALL SELECT 'lineitem', l_orderkey, CASE WHEN p_size <= 40 THEN l_partkey END, count(*) FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_orderkey NOT IN (FROM o) GROUP BY ALL""")
+def cascade_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A region's deletion through nations, customers, orders and line items, with orders and
+    parts deleted beside it; suppliers and line items lose references."""
+    keys = [
+        cascades.ForeignKey("nation", "n_regionkey", "region", "r_regionkey"),
+        cascades.ForeignKey("customer", "c_nationkey", "nation", "n_nationkey"),
+        cascades.ForeignKey("supplier", "s_nationkey", "nation", "n_nationkey", "set null"),
+        cascades.ForeignKey("orders", "o_custkey", "customer", "c_custkey"),
+        cascades.ForeignKey("lineitem", "l_orderkey", "orders", "o_orderkey"),
+        cascades.ForeignKey("lineitem", "l_partkey", "part", "p_partkey", "set null"),
+    ]
+    tables = {t: table(spark, sf_dir, t) for t in ("region", "nation", "customer", "supplier", "orders", "lineitem", "part")}
+    deleted = {"region": tables["region"].filter("r_regionkey = 1").select("r_regionkey"), "orders": tables["orders"].filter("o_totalprice > 400000").select("o_orderkey"), "part": tables["part"].filter("p_size > 40").select("p_partkey")}
+    left, _ = cascades.delete(tables, deleted, keys)
+    shown = {"nation": ("n_nationkey", None), "customer": ("c_custkey", "c_nationkey"), "supplier": ("s_suppkey", "s_nationkey"), "orders": ("o_orderkey", "o_custkey"), "lineitem": ("l_orderkey", "l_partkey")}
+    rows = [left[t].groupBy(F.lit(t).alias("kind"), F.col(k).cast("long").alias("key"), (F.col(r) if r else F.lit(None)).cast("long").alias("reference")).agg(F.count("*").alias("n")) for t, (k, r) in shown.items()]
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query("""
+    SELECT l_suppkey, count(*) AS n, sum(l_orderkey)::BIGINT AS orders, string_agg(CASE WHEN k <= 5 THEN l_orderkey || ':' || l_linenumber END, ',' ORDER BY l_orderkey, l_linenumber, l_partkey) AS first_lines
+    FROM (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey) AS k FROM lineitem) GROUP BY l_suppkey""")
+def nested_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers with their line items in pages of bounded size; counted over all pages,
+    the first five from the first page."""
+    lines = _lines(spark, sf_dir).select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey")
+    parents = lines.select("l_suppkey").distinct()
+    pages = links.nested_pages(parents, lines, "l_suppkey", ["l_orderkey", "l_linenumber", "l_partkey"], "lines", page_bytes=4096)
+    sums = F.aggregate("lines", F.lit(0).cast("long"), lambda a, x: a + x["l_orderkey"])
+    head = F.array_join(F.transform(F.slice("lines", 1, 5), lambda x: F.concat_ws(":", x["l_orderkey"].cast("string"), x["l_linenumber"].cast("string"))), ",")
+    return pages.groupBy("l_suppkey").agg(F.sum(F.size("lines")).cast("long").alias("n"), F.sum(sums).alias("orders"), F.max(F.when(F.col("page") == 0, head)).alias("first_lines"))
+
+
+@query("SELECT n_nationkey::BIGINT AS n_nationkey, sha256(n_name || chr(10)) AS sha256, length(n_name) + 1 AS content_length FROM nation")
+def file_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of any size by their digests, read in pieces: one for each nation."""
+    folder = f"{shared_folder(spark)}/digests-{uuid.uuid4().hex}"
+    table(spark, sf_dir, "nation").select("n_nationkey", "n_name").write.partitionBy("n_nationkey").text(folder)
+    found = files.digests(spark, folder)
+    return found.select(F.regexp_extract("path", "n_nationkey=([0-9]+)", 1).cast("long").alias("n_nationkey"), "sha256", "content_length")
+
+
+@query("""
+    WITH r AS (SELECT unnest([CASE WHEN doc_id % 9 = 0 THEN 'scryfall_id is missing' END, CASE WHEN length(text) > 255 THEN 'artist is longer than 255' END, CASE WHEN length(lang || n_chars) > 5 THEN 'collector_number is longer than 20' END]) AS reason FROM documents)
+    SELECT reason, count(*) AS n FROM r WHERE reason IS NOT NULL GROUP BY reason""")
+def broken_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often documents as printings break each rule of their table."""
+    d = F.col("doc_id")
+    number = F.concat("lang", F.col("n_chars").cast("string"))
+    rows = table(spark, sf_dir, "documents").select(F.when(d % 9 != 0, d.cast("string")).alias("scryfall_id"), F.lit("o").alias("oracle_id"), F.lit("s").alias("set_code"), F.when(F.length(number) > 5, F.repeat(number, 4)).otherwise(number).alias("collector_number"), "lang", F.lit(None).cast("string").alias("rarity"), F.col("text").alias("artist"), F.lit("").alias("border_color"), F.lit("2015").alias("frame"))
+    return constraints.tally(constraints.split(rows, "printings")[1])
+
+
+@query("""
+    SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at, event_type || '_' || strftime(ts, '%Y%m%d_%H%M%S') || '.json' AS name FROM events WHERE event_id % 3 <> 2
+    UNION ALL SELECT event_id, NULL, NULL FROM events WHERE event_id % 3 = 2""")
+def stamped_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times as producers write them, with ``Z``, an offset or none at all, and the names of
+    files that carry them."""
+    text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    k = F.col("event_id") % 3
+    read = table(spark, sf_dir, "events").select("event_id", "event_type", time_or_null(F.when(k == 0, F.concat(text, F.lit("Z"))).when(k == 1, F.concat(text, F.lit("+00:00"))).otherwise(text)).alias("time"))
+    return read.select("event_id", clock("time").alias("at"), stamped_name(F.concat(F.lit("landed/guides/"), "event_type", F.lit(".json")), F.col("time")).alias("name"))
+
+
 @query("SELECT o_custkey % 10 AS commander, p_name AS card_name, count(DISTINCT o_orderkey) AS decks_with_card FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey WHERE o_orderkey % 2 = 0 GROUP BY ALL")
 def rebuild_decks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deck statistics built twice: what the second run was given is all that is left."""
@@ -741,10 +865,16 @@ def rebuild_decks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return held.deck_commanders.select("commander", "card_name", "decks_with_card")
 
 
-@query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@query("SELECT l_orderkey, l_linenumber, l_suppkey, l_quantity FROM lineitem")
 def through_database(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table written to a database and read back over JDBC."""
-    url, driver = f"jdbc:derby:memory:d{uuid.uuid4().hex};create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver"
-    json_files.write_database(table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"), url, "nations", driver=driver)
-    read = json_files.read_database(spark, url, "nations", driver=driver)
-    return read.select(*[F.col(c).alias(c.lower()) for c in read.columns])
+    """Line items written to a database by several tasks, twice, of which the second run
+    replaces the first, and read back by ranges of the order's key.
+
+    The embedded database is one of this JVM; see README.
+    """
+    folder = tempfile.mkdtemp(prefix="spark-")
+    url, driver = f"jdbc:derby:{folder}/db;create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    lines = _lines(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity").repartition(4)
+    for _ in range(2):
+        databases.replace_in_database(lines, url, "lines", driver=driver)
+    return databases.lower_case(databases.read_database(spark, url, "lines", by="l_orderkey", parts=4, driver=driver))

@@ -159,8 +159,8 @@ def test_a_store_keeps_tables_between_runs(spark, dump, tmp_path):
     (tmp_path / "more.json").write_text(json.dumps(more))
     job = lambda path, x: jobs.import_cards(spark, path, x, RUN, DAY)
     held = jobs.run_if_changed(spark, "cards", str(tmp_path / "more.json"), store.load(), RUN, job)
-    assert held.counters == {"cards": 1, "printings": 2, "prices": 0, "errors": 2}
-    assert sorted(r.reason for r in held.quarantine.collect()) == ["id is missing", "no set nowhere"]
+    assert held.counters == {"cards": 1, "printings": 2, "prices": 0, "errors": 3}
+    assert sorted(r.reason for r in held.quarantine.collect()) == ["id is missing", "no set nowhere", "price: text does not fit decimal(10,2)"]
     held = jobs.run_if_changed(spark, "cards", dump, store.load(), RUN, job)
     again = jobs.run_if_changed(spark, "cards", dump, store.load(), RUN, job)
     kept = store.load()
