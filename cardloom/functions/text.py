@@ -28,27 +28,51 @@ def text_or_null(text: Column) -> Column:
 
 
 @cache
-def _folds() -> tuple[str, str]:
-    """Characters that decompose to one base character, and these base characters."""
-    source, target = [], []
+def _folds() -> tuple[str, str, dict[str, str]]:
+    """Characters that decompose to one base character, and after them all marks; these base
+    characters; and the few that decompose to several.  Hangul follows a rule of its own."""
+    source, target, marks, several = [], [], [], {}
     for c in map(chr, range(0x80, 0x110000)):
-        if 0xD800 <= ord(c) < 0xE000 or unicodedata.category(c) == "Mn":
+        if 0xD800 <= ord(c) < 0xE000 or "가" <= c <= "힣":
+            continue
+        if unicodedata.category(c) == "Mn":
+            marks.append(c)
             continue
         base = "".join(x for x in unicodedata.normalize("NFD", c) if unicodedata.category(x) != "Mn")
         if len(base) == 1 and base != c:
             source.append(c)
             target.append(base)
-    return "".join(source), "".join(target)
+        elif base != c:
+            several[c] = base
+    return "".join(source + marks), "".join(target), several
+
+
+def _taken_apart(text: Column, several: dict[str, str]) -> Column:
+    """Hangul syllables as their two or three letters, and other characters that stand for
+    several."""
+    letters = lambda first, n: F.lit("".join(chr(first + i) for i in range(n)))
+    many = F.create_map(*[F.lit(x) for pair in several.items() for x in pair]) if several else None
+
+    def apart(c: Column) -> Column:
+        at = F.ascii(c) - 0xAC00
+        lead = F.substring(letters(0x1100, 19), (at / 588).cast("int") + 1, 1)
+        vowel = F.substring(letters(0x1161, 21), (at % 588 / 28).cast("int") + 1, 1)
+        tail = F.when(at % 28 > 0, F.substring(letters(0x11A8, 27), at % 28, 1)).otherwise("")
+        other = F.coalesce(F.try_element_at(many, c), c) if several else c
+        return F.when(c.between("가", "힣"), F.concat(lead, vowel, tail)).otherwise(other)
+
+    odd = f"[가-힣{''.join(several)}]"
+    return F.when(text.rlike(odd), F.array_join(F.transform(F.split(text, ""), apart), "")).otherwise(text)
 
 
 def normalize_name(name: Column) -> Column:
     """Accents dropped, stripped and in lower case; inner space and ``//`` stay.
 
-    Equals decomposing and dropping marks for all characters but Hangul syllables
-    and a few that decompose to several base characters, which are left as they are.
+    Equals decomposing every character and dropping marks.
     """
     plain = F.octet_length(name) == F.length(name)
-    folded = F.translate(F.regexp_replace(name, r"\p{Mn}+", ""), *_folds())
+    source, target, several = _folds()  # what has no target goes
+    folded = _taken_apart(F.translate(name, source, target), several)
     return F.lower(strip_blank(F.when(plain, name).otherwise(folded)))
 
 

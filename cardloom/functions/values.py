@@ -21,9 +21,14 @@ def integer_or_null(text: Column) -> Column:
     return F.when(stripped.rlike(r"^[+-]?\d+\z"), stripped.try_cast("bigint"))
 
 
+def plain_number(text: Column) -> Column:
+    """A number's text with a point for a comma and no blanks around it."""
+    return F.replace(strip_blank(text), F.lit(","), F.lit("."))
+
+
 def decimal_or_null(text: Column) -> Column:
     """A decimal with point or comma, blanks around it allowed."""
-    return F.replace(strip_blank(text), F.lit(","), F.lit(".")).try_cast("decimal(38,18)")
+    return plain_number(text).try_cast("decimal(38,18)")
 
 
 def price_or_null(text: Column) -> Column:
@@ -37,7 +42,7 @@ def price_or_null(text: Column) -> Column:
 
 def overflows(text: Column, kind: str) -> Column:
     """Whether a text is a number that the decimal type ``kind`` can't hold."""
-    plain = F.replace(strip_blank(text), F.lit(","), F.lit("."))
+    plain = plain_number(text)
     return F.coalesce(plain.try_cast("double").isNotNull() & plain.try_cast(kind).isNull(), F.lit(False))
 
 

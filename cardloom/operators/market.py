@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cardloom.functions.plans import once, where_computed
 from cardloom.functions.text import text_or_null
-from cardloom.functions.values import decimal_or_null, first_present, integer_or_null, overflows
+from cardloom.functions.values import first_present, integer_or_null, overflows, plain_number
 from cardloom.sources import schemas
 
 
@@ -40,9 +40,9 @@ def price_entries(records: DataFrame, *more: str, overflow: str | None = None) -
     more code than the JVM compiles.
     """
     good, bad = _split(records)
-    prices = F.transform(F.transform("_texts", decimal_or_null), lambda d: F.when(d != 0, d.try_cast("decimal(12,4)")))
-    read = with_price_texts(good).withColumn("_prices", prices)
-    columns = [F.get("_prices", i).alias(c) for i, c in enumerate(schemas.PRICES)]
+    read = with_price_texts(good).withColumn("_plain", F.transform("_texts", plain_number))
+    number = lambda i: F.get("_plain", i).try_cast("decimal(38,18)")
+    columns = [F.when(number(i) != 0, number(i).try_cast("decimal(12,4)")).alias(c) for i, c in enumerate(schemas.PRICES)]
     if overflow:
         names = F.array(*map(F.lit, schemas.PRICES))
         over = F.filter(names, lambda n, i: overflows(F.get("_texts", i), "decimal(12,4)"))

@@ -201,7 +201,7 @@ def _tags(spark: SparkSession, sf_dir: str, replace: bool) -> DataFrame:
     events = table(spark, sf_dir, "events")
     held = events.filter("event_id % 3 = 0").select(F.col("user_id").alias("card_id"), F.col("event_type").alias("tag_name")).distinct()
     tagging = F.struct(F.struct(F.concat(F.lit("new "), "event_type").alias("name"), F.when(F.col("event_id") % 2 == 0, tags.CARD_TAG).otherwise("ARTWORK").alias("type")).alias("tag"))
-    responses = events.filter("user_id % 4 <> 0").groupBy(F.col("user_id").alias("card_id")).agg(F.collect_list(tagging).alias("taggings"))
+    responses = events.filter("user_id % 4 <> 0").select(F.col("user_id").alias("card_id"), F.array(tagging).alias("taggings"))
     return tags.merge_tags(held, tags.tag_rows(responses, "card_id"), "card_id", replace)
 
 
@@ -268,23 +268,23 @@ def parse_card_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT conv_id::VARCHAR AS conv_id, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1)::INTEGER AS face_index, text AS face_name, nullif(CASE WHEN turn % 2 = 0 THEN '' ELSE role END, '') AS mana_cost FROM conversations""")
+    SELECT conv_id || '/' || turn // 8 AS conv_id, (row_number() OVER (PARTITION BY conv_id, turn // 8 ORDER BY turn) - 1)::INTEGER AS face_index, text AS face_name, nullif(CASE WHEN turn % 2 = 0 THEN '' ELSE role END, '') AS mana_cost FROM conversations""")
 def explode_faces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cards.face_rows(_conversation_records(spark, sf_dir), "conv_id").select("conv_id", "face_index", "face_name", "mana_cost")
 
 
 def _conversation_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations as records with a face for each turn, through JSON."""
-    turns = table(spark, sf_dir, "conversations")
+    """Conversations as records of eight turns, with a face for each, through JSON."""
+    turns = table(spark, sf_dir, "conversations").withColumn("block", F.floor(F.col("turn") / 8))
     face = F.struct("turn", F.col("text").alias("name"), F.when(F.col("role") != "system", F.col("text")).otherwise("").alias("printed_name"), F.when(F.col("turn") % 2 == 0, "").otherwise(F.col("role")).alias("mana_cost"))
-    nested = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(face)).alias("card_faces"))
-    raw = nested.select(F.col("conv_id").cast("string").alias("conv_id"), F.to_json(F.struct("card_faces", F.when(F.col("conv_id") % 5 == 0, "printed").alias("printed_name"))).alias("raw"))
+    nested = turns.groupBy("conv_id", "block").agg(F.array_sort(F.collect_list(face)).alias("card_faces"))
+    raw = nested.select(F.concat_ws("/", F.col("conv_id").cast("string"), F.col("block").cast("string")).alias("conv_id"), F.to_json(F.struct("card_faces", F.when(F.col("conv_id") % 5 == 0, "printed").alias("printed_name"))).alias("raw"))
     return raw.select("conv_id", F.from_json("raw", schemas.CARD).alias("r")).select("conv_id", "r.*")
 
 
 @query("""
-    SELECT conv_id::VARCHAR AS conv_id, CASE WHEN conv_id % 5 = 0 THEN 'printed' ELSE nullif(string_agg(CASE WHEN role <> 'system' AND text <> '' THEN text END, ' // ' ORDER BY turn), '') END AS printed_name
-    FROM conversations GROUP BY conv_id""")
+    SELECT conv_id || '/' || turn // 8 AS conv_id, CASE WHEN conv_id % 5 = 0 THEN 'printed' ELSE nullif(string_agg(CASE WHEN role <> 'system' AND text <> '' THEN text END, ' // ' ORDER BY turn), '') END AS printed_name
+    FROM conversations GROUP BY conv_id, turn // 8""")
 def printed_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _conversation_records(spark, sf_dir).select("conv_id", cards.printed_name().alias("printed_name"))
 
@@ -347,7 +347,8 @@ _GUIDE = (
 )
 def parse_prices_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 15 prices: with a decimal point or comma, blanks around, null, or no number."""
-    line, turn = _lines(spark, sf_dir), F.col("l_linenumber")
+    # a table of one group of rows would be one task; landed files are many
+    line, turn = _lines(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism), F.col("l_linenumber")
     number = {c: F.col(c).cast("decimal(12,2)").cast("string") for c in ("l_quantity", "l_discount", "l_tax", "l_extendedprice")}
 
     def text(i: int, column: str) -> Column:
@@ -415,7 +416,7 @@ def names_not_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def localizations(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
     entry = F.create_map(F.lit("idLanguage"), F.when(F.col("role") != "system", F.col("turn").cast("string")).otherwise("x"), F.lit("languageName"), F.col("role"), F.lit("productName"), F.col("text"))
-    nested = turns.groupBy("conv_id").agg(F.collect_list(entry).alias("entries"))
+    nested = turns.groupBy("conv_id", F.floor(F.col("turn") / 8)).agg(F.collect_list(entry).alias("entries"))
     records = nested.select(F.create_map(F.lit("idProduct"), (F.col("conv_id") + 1).cast("string"), F.lit("localizations"), F.to_json("entries")).alias("record"))
     return market.localizations(records).select("id_product", "id_language", "language_name", "product_name")
 
@@ -677,10 +678,10 @@ def count_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT 's' || s_suppkey AS code, s_name AS name, CASE WHEN s_suppkey % 2 = 0 THEN '2020-01-05' END AS released_at, s_nationkey::INTEGER AS card_count FROM supplier")
 def read_set_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Set lists landed as pages of a nation each, and read back."""
+    """Set lists landed as pages of a nation each, of at most a hundred sets, and read back."""
     k = F.col("s_suppkey")
     one = F.struct(F.concat(F.lit("s"), k.cast("string")).alias("code"), F.col("s_name").alias("name"), F.when(k % 2 == 0, "2020-01-05").otherwise("soon").alias("released_at"), F.col("s_nationkey").cast("int").alias("card_count"))
-    pages = table(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(F.to_json(F.struct(F.collect_list(one).alias("data"))).alias("value")).select("value")
+    pages = table(spark, sf_dir, "supplier").groupBy("s_nationkey", F.floor(k / 100)).agg(F.to_json(F.struct(F.collect_list(one).alias("data"))).alias("value")).select("value")
     folder = f"{shared_folder(spark)}/sets-{uuid.uuid4().hex}"
     pages.write.option("maxRecordsPerFile", 1).text(folder)
     good, _ = cards.set_rows(json_files.read_sets(spark, folder))
@@ -689,9 +690,9 @@ def read_set_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT p_name AS name, count(*) AS n FROM part GROUP BY p_name")
 def read_name_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names from the pages of a list, a page for each part brand."""
+    """Names from the pages of a list, for each part brand pages of at most a thousand."""
     part = table(spark, sf_dir, "part")
-    pages = part.groupBy("p_brand").agg(F.to_json(F.struct(F.collect_list(F.struct(F.col("p_name").alias("name"))).alias("data"), F.lit(True).alias("has_more"))).alias("value")).select("value")
+    pages = part.groupBy("p_brand", F.floor(F.col("p_partkey") / 1000)).agg(F.to_json(F.struct(F.collect_list(F.struct(F.col("p_name").alias("name"))).alias("data"), F.lit(True).alias("has_more"))).alias("value")).select("value")
     folder = f"{shared_folder(spark)}/names-{uuid.uuid4().hex}"
     pages.write.option("maxRecordsPerFile", 1).text(folder)
     return json_files.read_names(spark, folder).groupBy("name").agg(F.count("*").alias("n"))
