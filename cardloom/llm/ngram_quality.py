@@ -7,14 +7,15 @@ divided by the number of different rare words in the training text and one more:
 no word is likely for being unknown.
 
 Words have ids of 21 bits, and n-grams of orders two and three are one number of the
-ids side by side, without collisions.  N-grams seen once give all of their count to
-the order below, so they needn't be kept.  With g the back-off weight of a context,
-the probability of a word is
+ids side by side, without collisions.  Each order has its own discounts for counts of 1,
+2 and more, estimated from how many of its n-grams were seen 1 to 4 times; n-grams of
+every count are kept.  With g the back-off weight of a context, the probability of a
+word is
 
     log p(w | u v) = log g(u v) + log g(v) + log p(w) + second(v w) + third(u v w)
 
 where the last two, the corrections of orders two and three, are 0 for n-grams that
-aren't kept, as is the log of the weight of such a context.  What single words are
+were never seen, as is the log of the weight of such a context.  What single words are
 worth is known to every task.  The numbers of longer n-grams live in shards: batches
 of documents send each shard their distinct n-grams with the documents that have
 them, and get back one sum for each document.  A group of this join is one shard and
@@ -60,7 +61,7 @@ SHARDS = 64
 BATCH, BATCH_BYTES, GROUP = 8192, 1 << 23, 64
 #: Buckets of middle words in which trigrams are folded.
 BUCKETS = 64
-#: The number of bits in the field of kept n-grams, as a power of two.
+#: The number of bits in the field of the model's n-grams, as a power of two.
 FIELD = 26
 
 
@@ -103,20 +104,16 @@ def ngrams(parts: list[np.ndarray], order: int) -> tuple[np.ndarray, np.ndarray]
     return keys[inside], owners[: len(keys)][inside]
 
 
-def discounts(n: list[int], keep_single: bool = False) -> np.ndarray:
+def discounts(n: list[int]) -> np.ndarray:
     """What is taken from counts of 0, 1, 2 and 3 or more, given how many n-grams
-    were counted once, twice, three and four times.  Counts of 1 are taken whole,
-    unless ``keep_single``."""
+    were counted once, twice, three and four times."""
     n = [max(int(x), 1) for x in n]
     y = n[0] / (n[0] + 2 * n[1])
-    out = np.array([0.0] + [min(max(k - (k + 1) * y * n[k] / n[k - 1], 0.1), k - 0.05) for k in range(1, 4)])
-    if not keep_single:
-        out[1] = 1.0
-    return out
+    return np.array([0.0] + [min(max(k - (k + 1) * y * n[k] / n[k - 1], 0.1), k - 0.05) for k in range(1, 4)])
 
 
 #: Kinds of folded rows: how many words come before a word (``n``); what comes after a word and after a pair;
-#: kept pairs and trigrams with their counts; how many pairs (key 2) and trigrams (key 3) were seen 1 to 4 times.
+#: pairs and trigrams with their counts; how many pairs (key 2) and trigrams (key 3) were seen 1 to 4 times.
 WORD, AFTER_WORD, AFTER_PAIR, PAIR, TRIGRAM, TIMES = range(6)
 #: ``total`` and ``t1`` to ``t3``: the sum of the counts after a context, and how many of them are 1, 2 and more;
 #: ``pairs``: the count of a trigram's last two words.
@@ -147,7 +144,6 @@ def fold(table: pa.Table) -> pa.Table:
     total = group(first, n)
     of_context = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(key))))
     context = before[first]
-    held = total[2] + total[3] > 0
 
     last_two = key & ((1 << 2 * BITS) - 1)
     order = np.argsort(last_two, kind="stable")
@@ -159,14 +155,13 @@ def fold(table: pa.Table) -> pa.Table:
     after = group(first, pairs)
     words, before_word = np.unique(pair & ID, return_counts=True)
     four = np.array([[(x == k).sum() for k in range(1, 5)] for x in (pairs, n)])
-    kept = n > 1
     named = lambda counts, at: dict(zip(("total", "t1", "t2", "t3"), [x[at] for x in counts], strict=True))
     return pa.concat_tables([
         rows(WORD, words, n=before_word),
         rows(AFTER_WORD, (pair >> BITS)[first], **named(after, slice(None))),
-        rows(AFTER_PAIR, context[held], **named(total, held)),
-        rows(PAIR, pair[pairs > 1], n=pairs[pairs > 1]),
-        rows(TRIGRAM, key[kept], n=n[kept], pairs=pairs[of_pair[kept]], **named(total, of_context[kept])),
+        rows(AFTER_PAIR, context, **named(total, slice(None))),
+        rows(PAIR, pair, n=pairs),
+        rows(TRIGRAM, key, n=n, pairs=pairs[of_pair], **named(total, of_context)),
         rows(TIMES, np.array([2, 3]), **dict(zip(("total", "t1", "t2", "t3"), four.T, strict=True))),
     ])
 
@@ -283,7 +278,7 @@ def train(texts: DataFrame, least: int = LEAST) -> tuple[Model, DataFrame]:
     before = by_id(of_kind(WORD).groupBy("key").agg(*sums).select("key", "n").toArrow(), "n", size)
     after = of_kind(AFTER_WORD).select("key", *COUNTS).toArrow()
     times = {r["key"]: [r["total"], r["t1"], r["t2"], r["t3"]] for r in of_kind(TIMES).groupBy("key").agg(*sums).collect()}
-    cut = discounts([int((before == k).sum()) for k in range(1, 5)], keep_single=True)
+    cut = discounts([int((before == k).sum()) for k in range(1, 5)])
     taken, seen = cut[np.minimum(before, 3)], max(before.sum(), 1)
     one = kept_part(cut, before) / seen + (taken.sum() / seen if before.any() else 1.0) / (size - END)
     one[:END] = 1.0  # no text goes on with a begin, and 0 is no id
@@ -304,7 +299,7 @@ def train(texts: DataFrame, least: int = LEAST) -> tuple[Model, DataFrame]:
 
 
 def field(spark: SparkSession, shards: DataFrame) -> np.ndarray:
-    """The bit field of all kept n-grams."""
+    """The bit field of all n-grams of the model."""
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

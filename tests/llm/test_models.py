@@ -235,8 +235,8 @@ def kneser_ney(texts, least=2):
         counts = (one, two, three)[order - 1]
         t = [max(sum(x == k for x in counts.values()), 1) for k in range(1, 5)]
         y = t[0] / (t[0] + 2 * t[1])
-        if n == 0 or (n == 1 and order > 1):
-            return float(n)
+        if n == 0:
+            return 0.0
         k = min(n, 3)
         return min(max(k - (k + 1) * y * t[k] / t[k - 1], 0.1), k - 0.05)
 
