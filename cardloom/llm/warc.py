@@ -10,6 +10,10 @@ Only digests and ids decide what is a response: the records that a payload has a
 by an aggregate of these, and come back to the payloads as a small table, or else by a
 join of written tables, which Spark splits where a digest is hot.
 
+A record's last chunk row tells whether its payload is ``intact``: of the length and the
+SHA-1 that the record declares (null for revisits, and where it declares none).
+``round_trip`` fails on a record that isn't.
+
 Archives of others are read too: plain or gzip, with folded header lines, ids of any
 kind, without payload digests (none is declared then), and with ``resource`` records or
 responses of other protocols, whose whole block is the payload.  Other record types are
@@ -46,7 +50,7 @@ from cardloom.llm.common import shared_folder, ship, small_if_checked, written
 
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MANIFEST = "file string, n_records long, n_bytes long"
-CHUNKS = "record_id string, record_type string, refers_to string, target_uri string, declared_digest string, declared_bytes long, chunk_no long, data binary, bytes_so_far long, digest_so_far string, last boolean"
+CHUNKS = "record_id string, record_type string, refers_to string, target_uri string, declared_digest string, declared_bytes long, chunk_no long, data binary, bytes_so_far long, digest_so_far string, last boolean, intact boolean"
 
 
 def base32_sha1(hexadecimal: str) -> str:
@@ -171,6 +175,7 @@ def records_of(stream: io.BufferedReader, chunk_bytes: int) -> Iterator[tuple]:
         whole = int(declared) if declared.isdecimal() else left
         digest_of = fields.get("warc-payload-digest")
         same = (_bare(fields.get("warc-record-id")), fields["warc-type"], _bare(fields.get("warc-refers-to")), _bare(fields.get("warc-target-uri")), digest_of and digest_of.partition(":")[2], whole)
+        declared_sha1 = digest_of.partition(":")[2].upper() if digest_of and digest_of.lower().startswith("sha1:") else None
         digest, so_far, chunk_no = hashlib.sha1(), 0, 0
         while True:
             data = stream.read(min(left, chunk_bytes))
@@ -179,7 +184,11 @@ def records_of(stream: io.BufferedReader, chunk_bytes: int) -> Iterator[tuple]:
             left -= len(data)
             so_far += len(data)
             digest.update(data)
-            yield (*same, chunk_no, data, so_far, base64.b32encode(digest.digest()).decode(), left == 0)
+            found = base64.b32encode(digest.digest()).decode()
+            intact = None
+            if left == 0 and declared_sha1 and fields["warc-type"] != "revisit":
+                intact = found == declared_sha1 and so_far == whole
+            yield (*same, chunk_no, data, so_far, found, left == 0, intact)
             chunk_no += 1
             if left == 0:
                 break
@@ -224,6 +233,8 @@ def round_trip(pages: DataFrame, id_column: str = "page_id", url: str = "url", p
     records = pages.select(F.col(id_column).cast("long").alias("id"), F.col(url).alias("url"), F.col(payload).alias("payload"))
     manifest = write_archives(with_revisits(records, least_bytes), f"{shared_folder(pages.sparkSession)}/warc-{uuid.uuid4().hex}")
     read = read_chunks(manifest, with_data=False).filter("last")
+    damaged = F.raise_error(F.concat(F.lit("damaged record "), "record_id"))
+    read = read.withColumn("record_type", F.when(F.col("intact"), F.col("record_type")).when(F.col("intact").isNull(), F.col("record_type")).otherwise(damaged))
     own = F.col("record_type") == "response"
     page = lambda c: F.regexp_extract(c, "^urn:page:(-?[0-9]+)$", 1).try_cast("bigint")
     return read.select(

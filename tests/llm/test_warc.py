@@ -65,3 +65,13 @@ def test_other_columns_and_hot_payloads(spark):
     df = spark.range(500).selectExpr("id AS page_id", "'u' AS url", "if(id % 3 = 0, 'hot', concat('p', id)) AS html", "'x' AS head", "1 AS sha1", "2 AS payload")
     got = {r.page_id: (r.record_type, r.refers_to) for r in warc.round_trip(df).collect()}
     assert all(got[i] == (("revisit", 498) if i % 3 == 0 and i != 498 else ("response", None)) for i in range(500))
+
+
+def test_damaged_records_are_told(spark, tmp_path):
+    body = b"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:x:%d>\r\nWARC-Payload-Digest: sha1:%s\r\nContent-Length: 3\r\n\r\n%s\r\n\r\n"
+    digest = warc.base32_sha1(hashlib.sha1(b"abc").hexdigest()).encode()
+    short = b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:x:4>\r\nWARC-Payload-Digest: sha1:%s\r\nContent-Length: 41\r\n\r\nHTTP/1.1 200 OK\r\nContent-Length: 5\r\n\r\nabc\r\n\r\n" % digest
+    parts = [body % (1, digest, b"abc"), body % (2, digest, b"abd"), body % (3, b"md5"[:0] + digest.lower(), b"abc"), short]
+    (tmp_path / "x.warc").write_bytes(b"".join(parts).replace(b"Content-Length: 41", b"Content-Length: %d" % len(b"HTTP/1.1 200 OK\r\nContent-Length: 5\r\n\r\nabc")))
+    got = {r.record_id: r.intact for r in warc.read_chunks(spark.createDataFrame([(f"file://{tmp_path}/x.warc",)], "file string")).collect()}
+    assert got == {"urn:x:1": True, "urn:x:2": False, "urn:x:3": True, "urn:x:4": False}
