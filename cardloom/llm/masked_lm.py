@@ -11,7 +11,9 @@ after it.  Its log-probability has two parts:
   such words; but where the same window stands elsewhere in the corpus, with such a
   word in its middle, the words found there are counted.  The masked occurrence itself
   is left out of its counts, so a text isn't likely for being in the corpus once.
-  These counts are exact, over all documents, and grow with the corpus.
+  These counts are over all documents and grow with the corpus; within a window and code
+  words are told apart by 16 bits of their hash, and spellings are sent in parts of a nat
+  up to a bound (``NAT``).
 
 Training goes over all documents.  A lane is a number of documents by hash; in each
 round the lanes start from the same weights, mask the positions whose turn it is, and
@@ -48,7 +50,7 @@ SHARED = 1000
 FIRST_SHARED = CODES - SHARED
 #: How often a word must stand in the corpus to have a code of its own, which can be learned.
 SEEN = 50
-SIDE, WIDTH, HIDDEN = 2, 8, 24
+SIDE, WIDTH, HIDDEN = 2, 16, 32
 SHAPES = {"embed": (CODES, WIDTH), "inner": (2 * SIDE * WIDTH, HIDDEN), "inner_bias": (HIDDEN,), "outer": (HIDDEN, DIGITS * BASE), "bias": (_ROWS[-1], BASE)}
 Weights = dict[str, np.ndarray]
 _AROUND = [*range(-SIDE, 0), *range(1, SIDE + 1)]
