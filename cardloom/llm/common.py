@@ -70,6 +70,14 @@ def most_frequent(counted: DataFrame, key: str, most: int) -> tuple[list[str], i
     return [r[key] for r in rows], rows[-1]["n"]
 
 
+def removed(df: DataFrame) -> None:
+    """Removes the files of a ``written`` table that nothing reads any more."""
+    spark, files = df.sparkSession, df.inputFiles()
+    if files:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def where_computed(df: DataFrame, condition: str) -> DataFrame:
     """Filters after the columns are made.
 

@@ -47,7 +47,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardloom.llm.common import ship, small_if_checked, written
+from cardloom.llm.common import removed, ship, small_if_checked, written
 
 #: Ids begin at 1, so that a pair is never mistaken for a trigram.
 BEGIN, END, UNKNOWN, FIRST_WORD = 1, 2, 3, 4
@@ -294,6 +294,7 @@ def train(texts: DataFrame, least: int = LEAST) -> tuple[Model, DataFrame]:
             yield pa.RecordBatch.from_arrays([pa.array(shard_of(keys)), pa.array(keys), pa.array(light.value.values(columns))], names=["shard", "ngram", "worth"])
 
     shards = written(folded.filter(F.col("kind").isin(PAIR, TRIGRAM, AFTER_PAIR)).mapInArrow(worth, "shard int, ngram long, worth float"), "shards")
+    removed(folded)
     model.field = field(spark, shards)
     return model, shards
 
@@ -308,8 +309,8 @@ def field(spark: SparkSession, shards: DataFrame) -> np.ndarray:
             bits = np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), first) if len(at) else at
             yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(bits.view(np.int64))], names=["cell", "bits"])
 
-    # at most 2 ** (FIELD - 6) rows
-    rows = shards.select("ngram").mapInArrow(mark, "cell int, bits long").groupBy("cell").agg(F.bit_or("bits").alias("bits")).toArrow()
+    # at most 2 ** (FIELD - 6) rows, and as many from each task: the model is bounded, so a few tasks will do
+    rows = shards.select("ngram").coalesce(4).mapInArrow(mark, "cell int, bits long").groupBy("cell").agg(F.bit_or("bits").alias("bits")).toArrow()
     out = np.zeros(1 << FIELD - 6, np.uint64)
     out[rows.column("cell").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
     return out
