@@ -261,8 +261,8 @@ class Store:
 class Snapshots:
     """One table that is replaced as a whole; a store of its own."""
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.store = Store(spark, folder)
+    def __init__(self, spark: SparkSession, folder: str, buckets: int = 8):
+        self.store = Store(spark, folder, buckets)
 
     def current(self) -> DataFrame | None:
         return self.store.current("rows")
