@@ -11,13 +11,16 @@ no band with a probability of under one in a million.
    still lie in several components get a new head, by hash, and what isn't of its
    component is compared with it, ``ROUNDS`` times in all.  Each round costs one
    comparison a node, and near copies of one text are joined within few.
-3. In a bucket that still has several components, the nodes outside of its largest
-   component are compared with all nodes of other components, in blocks bounded by
-   nodes and by shingles.  A block pair gives at most one link for each two components
-   it joins, so the links stay few however many pairs are similar.
-
-So every pair of a bucket that lies in different components is compared, whatever the
-rounds have found.  No set is cut short, no bucket is capped and nothing but counts
+3. Nodes of buckets that still have several components are joined by prefixes: each set's
+   shingles are put in order, rarest first, and two sets are compared on the whole only
+   where the smaller one's first ninth or so (at 80 %) and the larger one's first fifth have
+   a shingle in common, which similar sets always have.  Pages that share a template
+   but aren't similar have none in common.  Where a shingle has many nodes they are
+   compared in blocks bounded by nodes and by shingles, and a block pair gives at most one
+   link for each two components it joins.
+
+So every similar pair of a bucket that lies in different components is found, whatever
+the rounds have found.  No set is cut short, no bucket is capped and nothing but counts
 reaches the driver.
 
 Defined results: a null text or one without a word has an empty set and is
@@ -48,6 +51,8 @@ BLOCK, BLOCK_SHINGLES = 256, 1 << 20
 #: How often the buckets get a new head.
 ROUNDS = 5
 ROWS = 4
+#: Cells of the sketch of how frequent shingles are; comparisons under a shingle that are made as pairs.
+CELLS, PAIRS = 1 << 20, 64
 #: Parts into which the copies of one set are dealt when they look up their node.
 SALTS = 32
 
@@ -171,26 +176,96 @@ def new_heads(labelled: DataFrame, sets: DataFrame, percent: int, turn: int) ->
     return links, headed.filter("node <> head").select(*labelled.columns)
 
 
-def block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between the labels of members (bucket, node, n_shingles, label) of
-    each bucket: the nodes outside of its most frequent label against all others."""
-    by_label = members.groupBy("bucket", "label").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("shingles"))
-    most = F.max_by(F.struct("label", "n", "shingles"), F.struct("n", "label"))
-    parts = lambda n, shingles: F.ceil(F.greatest(n / BLOCK, shingles / BLOCK_SHINGLES)).cast("int")
-    sizes = by_label.groupBy("bucket").agg(most.alias("m"), F.sum("n").alias("n"), F.sum("shingles").alias("shingles"), F.count("*").alias("labels")).filter("labels > 1")
-    sizes = written(sizes.select("bucket", F.col("m.label").alias("main"), parts(F.col("n"), F.col("shingles")).alias("blocks"), parts(F.col("n") - F.col("m.n"), F.col("shingles") - F.col("m.shingles")).alias("apart")), "sizes")
-    dealt = members.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("own", F.pmod(F.xxhash64(F.lit(1), "node"), F.col("apart")).cast("int"))
-    # a group is some of the nodes apart, and one block of all nodes, themselves included; where
-    # one group has the whole bucket, its nodes needn't be told apart
-    asks = dealt.filter("label <> main and blocks * apart > 1").withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("bucket", F.col("own").alias("i"), "j", "node", "label", F.lit(0).alias("side"))
-    told = dealt.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("apart") - 1))).select("bucket", "i", F.col("block").alias("j"), "node", "label", F.lit(1).alias("side"))
-    paired = asks.unionByName(told).join(sets.select("node", "set"), "node")
+def prefix_lengths(n: int, percent: int) -> tuple[int, int]:
+    """How many of a set's shingles, rarest first, hold the first one that it shares with a
+    similar set: if it is the smaller one of the two (or equal), and if it is the larger."""
+    return n + 1 - -(-2 * percent * n // (100 + percent)), n + 1 - -(-percent * n // 100)
+
+
+def prefixes(nodes: DataFrame, percent: int) -> DataFrame:
+    """(bucket, node, n_shingles, label, index) of nodes (node, n_shingles, label, set): the
+    shingles of each node's prefix as buckets, and whether they are in the shorter prefix.
+
+    The order by rarity is one of counts in a sketch of fixed size, then of hashes; any order
+    that is the same for all sets is right.
+    """
+    cell = F.pmod("shingle", F.lit(CELLS)).alias("cell")
+    counted = nodes.select(F.explode("set").alias("shingle")).groupBy(cell).agg(F.count("*").alias("n")).toArrow()  # at most CELLS rows
+    sketch = np.zeros(CELLS, np.int64)
+    sketch[counted.column("cell").to_numpy()] = counted.column("n").to_numpy()
+    sent = nodes.sparkSession.sparkContext.broadcast(sketch)
+    kept = ["node", "n_shingles", "label"]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column("set")
+            values, offsets = column.values.to_numpy(), column.offsets.to_numpy()
+            keys, rows, index = [], [], []
+            for row, (a, b) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
+                own = values[a:b]
+                short, long = prefix_lengths(len(own), percent)
+                keys.append(own[np.lexsort((own, sent.value[own % CELLS]))[:long]])
+                rows.append(np.full(len(keys[-1]), row))
+                index.append(np.arange(len(keys[-1])) < short)
+            at = pa.array(np.concatenate(rows)) if rows else pa.array([], pa.int64())
+            flat = lambda x, kind: pa.array(np.concatenate(x) if x else [], kind)
+            yield pa.RecordBatch.from_arrays([flat(keys, pa.int64()), *[batch.column(c).take(at) for c in kept], flat(index, pa.bool_())], names=["bucket", *kept, "index"])
+
+    return nodes.select(*kept, "set").mapInArrow(cut, "bucket long, node long, n_shingles long, label long, index boolean")
+
+
+def prefix_links(held: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the labels of nodes of ``held`` (bucket, node, n_shingles, label)
+    that are similar: the first shingle that two similar sets share, rarest first, stands in
+    the shorter prefix of the smaller set and in the longer prefix of the other.
+
+    Under each shingle the nodes with it in their shorter prefix are compared with the others,
+    but not within the most frequent label: as pairs where they are few, else in blocks.
+    """
+    nodes = held.select("node", "n_shingles", "label").distinct()
+    nodes = written(nodes.join(sets.select("node", "set"), "node"), "open-nodes")
+    rows = written(prefixes(nodes, percent), "prefixes")
+    small = F.when(F.col("index"), 1).otherwise(0)
+    by_label = rows.groupBy("bucket", "label").agg(F.count("*").alias("n"), F.sum(small).alias("own"), F.sum("n_shingles").alias("shingles"))
+    most = F.max_by(F.struct("label", "n", "own"), F.struct("n", "label"))
+    sizes = by_label.groupBy("bucket").agg(most.alias("m"), F.sum("n").alias("n"), F.sum("own").alias("own"), F.sum("shingles").alias("shingles"), F.count("*").alias("labels")).filter("labels > 1 and own > 0")
+    asked = [F.col("own") - F.col("m.own"), F.col("n") - F.col("m.n")]
+    told = [F.col("n"), F.col("m.own")]
+    each = F.col("shingles") / F.col("n")
+    parts = lambda n: F.greatest(F.ceil(F.greatest(n / BLOCK, n * each / BLOCK_SHINGLES)).cast("int"), F.lit(1))
+    sizes = sizes.select("bucket", F.col("m.label").alias("main"), (asked[0] * told[0] + asked[1] * told[1]).alias("cost"), *[parts(x).alias(f"{name}_{k}") for name, of in (("asks", asked), ("tells", told)) for k, x in enumerate(of)])
+    sizes = written(sizes.filter("cost > 0"), "sizes")
+    dealt = written(rows.join(sizes, "bucket"), "dealt")
+    # 0: smaller sets outside of the main label against all; 1: all outside of it against its smaller sets
+    sides = {0: ("index and label <> main", "true"), 1: ("label <> main", "index and label = main")}
+    side = lambda k, which, few: dealt.filter(f"{sides[k][which]} and cost {'<=' if few else '>'} {PAIRS}")
+
+    pairs = None
+    for k in sides:
+        own = side(k, 0, True).select("bucket", F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("label").alias("label_a"))
+        met = own.join(side(k, 1, True).select("bucket", F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("label").alias("label_b")), "bucket")
+        met = met.filter((F.col("label_a") != F.col("label_b")) & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))).select("a", "b", "label_a", "label_b")
+        pairs = met if pairs is None else pairs.unionByName(met)
+    swapped = F.col("a") > F.col("b")
+    ends = [F.when(swapped, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in (("a", "b"), ("b", "a"), ("label_a", "label_b"), ("label_b", "label_a"))]
+    pairs = written(pairs.select(*ends).groupBy("a", "b").agg(F.min("label_a").alias("label_a"), F.min("label_b").alias("label_b")), "prefix-pairs")
+    links = star_links(pairs.select("a", "b"), sets, percent).join(pairs, ["a", "b"]).select(F.col("label_a").alias("a"), F.col("label_b").alias("b")).distinct()
+
+    grouped = None
+    for k in sides:
+        i, j = F.pmod(F.xxhash64("node"), F.col(f"asks_{k}")).cast("int"), F.pmod(F.xxhash64(F.lit(1), "node"), F.col(f"tells_{k}")).cast("int")
+        to = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        asks = side(k, 0, False).withColumn("j", to(f"tells_{k}")).select("bucket", F.lit(k).alias("kind"), i.alias("i"), "j", "node", "label", F.lit(0).alias("side"))
+        tells = side(k, 1, False).withColumn("i", to(f"asks_{k}")).select("bucket", F.lit(k).alias("kind"), "i", j.alias("j"), "node", "label", F.lit(1).alias("side"))
+        both = asks.unionByName(tells)
+        grouped = both if grouped is None else grouped.unionByName(both)
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        found = joined_components(rows["label"].to_numpy(), list(rows["set"]), rows["side"].to_numpy(), percent)
+        found = joined_components(rows["label"].to_numpy(), list(rows["set"]), rows["side"].to_numpy(), percent) if rows["side"].nunique() > 1 else []
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    return paired.groupBy("bucket", "i", "j").applyInPandas(compare, "a long, b long")
+    blocks = grouped.join(sets.select("node", "set"), "node").groupBy("bucket", "kind", "i", "j").applyInPandas(compare, "a long, b long")
+    return links.unionByName(blocks)
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -226,7 +301,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_column
         found, rest = new_heads(held, sets, percent, turn)
         links.append(written(found, f"links-{turn}"))
         held = relabelled(rest, links[-1], f"turn-{turn}")
-    links.append(written(block_links(held, sets, percent), "blocks"))
+    held = several(held, "last")
+    if not held.isEmpty():
+        links.append(written(prefix_links(held, sets, percent), "prefix-links"))
     found = components(reduce(DataFrame.unionByName, links), "all").select("node", F.col("label").alias("component"))
 
     joined = members.join(found, "node", "left")

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from cardloom.llm import minhash
 from cardloom.llm.components import components
@@ -70,8 +71,8 @@ def test_crowded_buckets_cost_a_comparison_a_node_and_round(spark, monkeypatch):
         held = []
         real = minhash.star_links
         monkeypatch.setattr(minhash, "star_links", lambda pairs, sets, percent: held.append(pairs.count()) or real(pairs, sets, percent))
-        blocks = minhash.block_links
-        monkeypatch.setattr(minhash, "block_links", lambda members, sets, percent: held.append(members.filter("label is not null").count()) or blocks(members, sets, percent))
+        blocks = minhash.prefix_links
+        monkeypatch.setattr(minhash, "prefix_links", lambda members, sets, percent: held.append(members.filter("label is not null").count()) or blocks(members, sets, percent))
         rows = list(enumerate(cloud(6, n, words=200, edits=20)))
         out = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
         assert out.count() == n
@@ -80,6 +81,50 @@ def test_crowded_buckets_cost_a_comparison_a_node_and_round(spark, monkeypatch):
     assert sent[2000] < 8 * sent[500]
 
 
+def template(seed, n, words=300, own=55):
+    """Pages of one template with a part of their own: buckets are shared, nothing is similar."""
+    random.seed(seed)
+    base = [f"w{i}" for i in range(words)]
+    return [" ".join([*base, *[f"p{i}x{k}" for k in range(own + i % 5)]]) for i in range(n)]
+
+
+def test_pages_of_a_template_are_not_compared_with_each_other(spark, monkeypatch):
+    """The comparisons left after the rounds grow with the pages and not with their square;
+    nothing is linked."""
+    compared = {}
+    for n in (300, 1200):
+        pairs = []
+        real, kernel = minhash.star_links, minhash.prefix_links
+        monkeypatch.setattr(minhash, "star_links", lambda p, sets, percent: pairs.append(p.count()) or real(p, sets, percent))
+        monkeypatch.setattr(minhash, "prefix_links", lambda held, sets, percent: (lambda out: pairs.append(out.count()) or out)(kernel(held, sets, percent)))
+        out = minhash.near_duplicates(spark.createDataFrame(list(enumerate(template(1, n))), "doc_id long, text string"))
+        assert out.filter("kept").count() == n
+        compared[n] = sum(pairs)
+        monkeypatch.undo()
+    assert compared[1200] <= 5 * compared[300]
+
+
+def test_prefixes_hold_the_first_shared_shingle():
+    random.seed(8)
+    for _ in range(3000):
+        percent = random.choice([50, 80, 85, 100])
+        shared, more_a, more_b = random.randrange(1, 40), random.randrange(12), random.randrange(12)
+        universe = random.sample(range(1000), shared + more_a + more_b)
+        common = universe[:shared]
+        a, b = sorted(common + universe[shared : shared + more_a]), sorted(common + universe[shared + more_a :])
+        if 100 * shared >= percent * len({*a, *b}):
+            x, y = sorted((a, b), key=len)
+            assert set(x[: minhash.prefix_lengths(len(x), percent)[0]]) & set(y[: minhash.prefix_lengths(len(y), percent)[1]])
+
+
+@pytest.mark.parametrize("pairs", [0, 64, 10**9])
+def test_prefix_links_alone_against_brute_force(docs, monkeypatch, pairs):
+    monkeypatch.setattr(minhash, "PAIRS", pairs)
+    monkeypatch.setattr(minhash, "ROUNDS", 1)
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    check(docs, [*cloud(1, 50, edits=7), *cloud(2, 30, words=20, edits=3), *template(3, 20, words=40, own=6), *template(4, 20, words=40, own=9)], 5, 80)
+
+
 def test_edges(spark, docs):
     df = docs(["a b c d", "a b c d", "a b c d", "q"], ids=[5, None, 5, 7])
     got = sorted(((r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(df).collect()), key=str)
