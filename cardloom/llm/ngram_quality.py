@@ -61,6 +61,8 @@ SHARDS = 64
 BATCH, BATCH_BYTES, GROUP = 8192, 1 << 23, 64
 #: Buckets of middle words in which trigrams are folded.
 BUCKETS = 64
+#: Entries of the model that a task packs at a time.
+PACKED = 1_000_000
 #: The number of bits in the field of the model's n-grams, as a power of two.
 FIELD = 26
 
@@ -122,7 +124,8 @@ FOLDED = "kind tinyint, key long, " + ", ".join(f"{c} int" for c in COUNTS)
 
 
 def fold(table: pa.Table) -> pa.Table:
-    """The counts of all trigrams (trigram, n) whose middle words are of one bucket."""
+    """The counts of all trigrams (packed in rows of trigrams and n) whose middle words are of
+    one bucket."""
 
     def starts(x: np.ndarray) -> np.ndarray:
         return np.flatnonzero(np.append(True, x[1:] != x[:-1]))
@@ -134,7 +137,8 @@ def fold(table: pa.Table) -> pa.Table:
         none = np.zeros(len(key), np.int32)
         return pa.table({"kind": np.full(len(key), kind, np.int8), "key": np.asarray(key, np.int64)} | {c: columns[c].astype(np.int32) if c in columns else none for c in COUNTS})
 
-    key, n = table.column("trigram").to_numpy(), table.column("n").to_numpy()
+    rows_ = table.to_pylist()
+    key, n = np.concatenate([sorted_of(r["trigrams"]) for r in rows_]), np.concatenate([unpack(r["n"], "<u4") for r in rows_])
     order = np.argsort(key)
     key, n = key[order], n[order]
     first = starts(key)
@@ -258,7 +262,7 @@ def by_id(rows: pa.Table, column: str, size: int) -> np.ndarray:
 
 
 def train(texts: DataFrame, least: int = LEAST) -> tuple[Model, DataFrame]:
-    """What every task knows, and the shards (shard, ngram, worth)."""
+    """What every task knows, and the shards: rows of (shard, ngrams, worths), packed."""
     spark = texts.sparkSession
     hashes, rare = vocabulary(texts, least)
     known = spark.sparkContext.broadcast(Ids(hashes))
@@ -267,9 +271,10 @@ def train(texts: DataFrame, least: int = LEAST) -> tuple[Model, DataFrame]:
         for batch in batches:
             if batch.num_rows:
                 keys, n = np.unique(ngrams([ids_of(t, known.value) for t in batch.column("text").to_pylist()], 3)[0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(((keys >> BITS & ID) % BUCKETS).astype(np.int32)), pa.array(keys), pa.array(n.astype(np.int32))], names=["bucket", "trigram", "n"])
+                rows = [(b, pack_sorted(keys[at]), pack(n[at].astype("<u4"))) for b, at in parts_of((keys >> BITS & ID) % BUCKETS)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows, strict=True)) or [()] * 3, (pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["bucket", "trigrams", "n"])
 
-    counted = texts.select("text").mapInArrow(count, "bucket int, trigram long, n int")
+    counted = texts.select("text").mapInArrow(count, "bucket int, trigrams binary, n binary")
     folded = written(counted.groupBy("bucket").applyInArrow(fold, FOLDED), "folded")
     of_kind = lambda kind: folded.filter(F.col("kind") == kind)
     sums = [F.sum(c).alias(c) for c in COUNTS]
@@ -288,12 +293,26 @@ def train(texts: DataFrame, least: int = LEAST) -> tuple[Model, DataFrame]:
     light = spark.sparkContext.broadcast(model)
 
     def worth(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+
+        def packed() -> pa.RecordBatch:
+            keys, values = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.argsort(keys, kind="stable")
+            keys, values = keys[order], values[order]
+            rows = [(shard, pack_sorted(keys[at]), pack(values[at].astype("<f4"))) for shard, at in parts_of(shard_of(keys))]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows, strict=True)) or [()] * 3, (pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["shard", "ngrams", "worths"])
+
         for batch in batches:
             columns = {c: batch.column(c).to_numpy() for c in batch.schema.names}
-            keys = columns["key"]
-            yield pa.RecordBatch.from_arrays([pa.array(shard_of(keys)), pa.array(keys), pa.array(light.value.values(columns))], names=["shard", "ngram", "worth"])
-
-    shards = written(folded.filter(F.col("kind").isin(PAIR, TRIGRAM, AFTER_PAIR)).mapInArrow(worth, "shard int, ngram long, worth float"), "shards")
+            held.append((columns["key"], light.value.values(columns)))
+            n += batch.num_rows
+            if n >= PACKED:
+                yield packed()
+                held, n = [], 0
+        if n:
+            yield packed()
+
+    shards = written(folded.filter(F.col("kind").isin(PAIR, TRIGRAM, AFTER_PAIR)).mapInArrow(worth, "shard int, ngrams binary, worths binary"), "shards")
     removed(folded)
     model.field = field(spark, shards)
     return model, shards
@@ -304,13 +323,13 @@ def field(spark: SparkSession, shards: DataFrame) -> np.ndarray:
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = np.unique(place_of(batch.column("ngram").to_numpy()))
+            at = np.unique(place_of(np.concatenate([np.zeros(0, np.int64), *map(sorted_of, batch.column("ngrams").to_pylist())])))
             cell, first = np.unique(at >> np.uint64(6), return_index=True)
             bits = np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), first) if len(at) else at
             yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(bits.view(np.int64))], names=["cell", "bits"])
 
     # at most 2 ** (FIELD - 6) rows, and as many from each task: the model is bounded, so a few tasks will do
-    rows = shards.select("ngram").coalesce(4).mapInArrow(mark, "cell int, bits long").groupBy("cell").agg(F.bit_or("bits").alias("bits")).toArrow()
+    rows = shards.select("ngrams").coalesce(4).mapInArrow(mark, "cell int, bits long").groupBy("cell").agg(F.bit_or("bits").alias("bits")).toArrow()
     out = np.zeros(1 << FIELD - 6, np.uint64)
     out[rows.column("cell").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
     return out
@@ -328,6 +347,23 @@ def unpack(data: bytes, dtype: str) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(width, n).T).view(dtype).ravel()
 
 
+def pack_sorted(numbers: np.ndarray) -> bytes:
+    """Ascending integers: neighbours are near each other, so differences take fewer bytes."""
+    return pack(np.diff(numbers, prepend=np.int64(0)).astype("<i8"))
+
+
+def sorted_of(data: bytes) -> np.ndarray:
+    return np.cumsum(unpack(data, "<i8"))
+
+
+def parts_of(groups: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(group, its places in order) for each group."""
+    order = np.argsort(groups, kind="stable")
+    found, first = np.unique(groups[order], return_index=True)
+    for group, at in zip(found.tolist(), np.split(order, first[1:]), strict=True) if len(found) else ():
+        yield group, at
+
+
 POSTINGS = "batch long, shard int, doc_ids array<long>, langs array<string>, n_words array<int>, base array<double>, keys binary, counts binary, owners binary"
 
 
@@ -385,10 +421,12 @@ def score(docs: DataFrame, model: Model, shards: DataFrame) -> DataFrame:
     held = shards.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
 
     def add(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        right = right.sort_values("ngram")
-        # what a pair is worth as a prediction and as a context are two rows
-        known, first = np.unique(right["ngram"].to_numpy(), return_index=True)
-        values = np.append(np.add.reduceat(right["worth"].to_numpy().astype(float), first) if len(first) else [], 0)
+        keys = np.concatenate([np.zeros(0, np.int64), *map(sorted_of, right["ngrams"])])
+        worths = np.concatenate([np.zeros(0), *[unpack(x, "<f4").astype(float) for x in right["worths"]]])
+        order = np.argsort(keys, kind="stable")
+        # what a pair is worth as a prediction and as a context are two entries
+        known, first = np.unique(keys[order], return_index=True)
+        values = np.append(np.add.reduceat(worths[order], first) if len(first) else [], 0)
         out = []
         for r in left.itertuples(index=False):
             if r.shard < 0:
