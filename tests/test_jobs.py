@@ -190,3 +190,28 @@ def test_ids_of_entries_differ_between_files(spark, tmp_path):
     held = jobs.import_price_guide(spark, str(tmp_path / "p.json"), jobs.Catalogue(), RUN, 1)
     held = jobs.import_price_guide(spark, str(tmp_path / "p.json"), held, RUN, 2)
     assert held.entries.select("id").distinct().count() == 58 and held.entries.filter("import_file_id = 2").agg({"id": "min"}).first()[0] > held.entries.filter("import_file_id = 1").agg({"id": "max"}).first()[0]
+
+
+def test_files_of_odd_kinds(spark, tmp_path):
+    import gzip
+
+    line = [json.dumps({"id": f"r{i}", "n": [{"a": i}]}) for i in range(5)]
+    ids = [f"r{i}" for i in range(5)]
+    whole = {
+        "packed.json.gz": gzip.compress(("[" + ",".join(line) + "]").encode()),
+        "packed_lines.json.gz": gzip.compress("\n".join(line).encode()),
+        "lines.json": "\n".join(line).encode(),
+        "windows.json": ("﻿[\r\n" + ",\r\n".join(line) + "\r\n]\r\n").encode(),
+        "latin.json": ("[" + ",".join(line) + "]").encode() + b" ",
+    }
+    for name, data in whole.items():
+        (tmp_path / name).write_bytes(data)
+        assert elements_of(spark, tmp_path / name) == (ids, []), name
+    cut = {"cut_lines.json": ("\n".join(line) + '\n{"id": "r5').encode(), "cut_brace.json": "\n".join(line).encode() + b'\n{"id": "r5", "n": [{"a": 5}', "stray.json": ("[" + ",".join(line) + "] {} 5").encode()}
+    for name, data in cut.items():
+        (tmp_path / name).write_bytes(data)
+        good, bad = elements_of(spark, tmp_path / name)
+        assert good == ids and bad, name
+    (tmp_path / "bytes.json").write_bytes(b'[{"id": "r\xff\xfe"}, {"id": "r1"}]')
+    good, bad = elements_of(spark, tmp_path / "bytes.json")
+    assert "r1" in good and len(good) + len(bad) == 2
