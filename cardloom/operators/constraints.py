@@ -4,7 +4,7 @@ into one projection that gives each row its reasons for being refused."""
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,8 +60,13 @@ def reasons(rules: Rules) -> Column:
 
 
 def split(df: DataFrame, rules: Rules | str) -> tuple[DataFrame, DataFrame]:
-    """Rows that hold the rules (of a table, if it is a name), and the others with ``reason``."""
-    judged = df.withColumn("reason", F.array_join(reasons(RULES[rules] if isinstance(rules, str) else rules), "; "))
+    """Rows that hold the rules (of a table, if it is a name), and the others with ``reason``.
+
+    Widths and types are asked of the columns that are there; required columns must be.
+    """
+    rules = RULES[rules] if isinstance(rules, str) else rules
+    there = lambda of: {c: x for c, x in of.items() if c in df.columns}
+    judged = df.withColumn("reason", F.array_join(reasons(replace(rules, longest=there(rules.longest), decimals=there(rules.decimals))), "; "))
     return judged.filter("reason = ''").drop("reason"), judged.filter("reason <> ''")
 
 
