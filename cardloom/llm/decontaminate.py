@@ -15,7 +15,8 @@
    sum of the smaller weights over the sum of the larger.
 
 Votes of a window are counted for many bits at once: a number holds one lane for
-each of several bits, and the lanes of all shingles are added up.
+each of several bits, and the lanes of all shingles are added up; of windows, from sums over
+1, 2, 4... shingles, so that a window isn't gone through shingle by shingle.
 
 Case is ignored.  All steps are built-in functions and joins.  Equal texts are
 looked at once.
@@ -46,6 +47,8 @@ RADIUS = (FREE + 1) * BLOCKS - 1
 INDEX_ROWS = 2_000_000
 #: Texts whose windows are looked at by one task.
 TEXTS = 200
+#: Windows of one size that are looked at in a row.
+TILE = 1024
 
 
 def with_shingles(texts: DataFrame, size: int) -> DataFrame:
@@ -70,25 +73,71 @@ def simhash(shingles: Column, lane: int) -> Column:
 
     Number j of ``lane`` numbers counts the bits j, j + lane, j + 2 * lane...
     """
-    unit = F.lit(every(lane)).cast("long")
     none = F.struct(*[F.lit(0).cast("long").alias(f"c{j}") for j in range(lane)])
-    bits = lambda h, j: F.call_function("shiftrightunsigned", h, F.lit(j)).bitwiseAND(unit)
-    add = lambda c, h: F.struct(*[(c[f"c{j}"] + bits(h, j)).alias(f"c{j}") for j in range(lane)])
+    add = lambda c, h: F.struct(*[(c[f"c{j}"] + v).alias(f"c{j}") for j, v in enumerate(votes(h, lane))])
+    return F.aggregate(shingles, none, add, lambda c: majority([c[f"c{j}"] for j in range(lane)], F.size(shingles), lane))
 
-    def marked(c: Column) -> Column:
-        # a lane has its highest bit once what it lacks to more than a half is added; every second lane at a time, so that nothing runs over
-        wide = every(2 * lane)
-        long = lambda x: F.lit(x).cast("long")
-        lack = (long(1 << (lane - 1)) - F.floor(F.size(shingles) / 2) - 1) * long(wide)
-        out = long(0)
-        for j in range(lane):
-            for half in (0, lane):
-                counts = F.call_function("shiftrightunsigned", c[f"c{j}"], F.lit(half)).bitwiseAND(long(wide * ((1 << lane) - 1)))
-                more = F.call_function("shiftrightunsigned", counts + lack, F.lit(lane - 1)).bitwiseAND(long(wide))
-                out = out.bitwiseOR(F.call_function("shiftleft", more, F.lit(j + half)))
-        return out
 
-    return F.aggregate(shingles, none, add, marked)
+def votes(h: Column, lane: int) -> list[Column]:
+    """The bits of a hash, dealt over ``lane`` numbers."""
+    unit = F.lit(every(lane)).cast("long")
+    return [F.call_function("shiftrightunsigned", h, F.lit(j)).bitwiseAND(unit) for j in range(lane)]
+
+
+def majority(counts: list[Column], size: Column, lane: int) -> Column:
+    """The bits that more than half of ``size`` hashes have."""
+    # a lane has its highest bit once what it lacks to more than a half is added; every second lane at a time, so that nothing runs over
+    wide = every(2 * lane)
+    long = lambda x: F.lit(x).cast("long")
+    lack = (long(1 << (lane - 1)) - F.floor(size / 2) - 1) * long(wide)
+    out = long(0)
+    for j, count in enumerate(counts):
+        for half in (0, lane):
+            part = F.call_function("shiftrightunsigned", count, F.lit(half)).bitwiseAND(long(wide * ((1 << lane) - 1)))
+            more = F.call_function("shiftrightunsigned", part + lack, F.lit(lane - 1)).bitwiseAND(long(wide))
+            out = out.bitwiseOR(F.call_function("shiftleft", more, F.lit(j + half)))
+    return out
+
+
+def marked_windows(texts: DataFrame, most: int, lane: int, percent: int) -> DataFrame:
+    """(key_a, key_b, n, start, mark) for every window of the ``sizes``, at most ``most``, of
+    each text (key_a, key_b, shingles, sizes).
+
+    The votes of 1, 2, 4... shingles from each place on are added up by doubling, so those of
+    a window are the sum of one number for each bit of its size.  Texts are cut into tiles of
+    ``TILE`` starts, each with the shingles that its windows reach.
+    """
+    over = lambda n: F.floor(n * (100 - percent) / 100).cast("int")
+    length = F.size("shingles")
+    pad = most * (100 - percent) // 100
+    tiles = F.sequence(F.lit(0), F.floor((length - 1 + pad) / TILE).cast("int"))
+    tiled = texts.select("key_a", "key_b", "sizes", "shingles", length.alias("length"), F.explode(tiles).alias("tile")).withColumn("low", F.col("tile") * TILE - pad)
+    ends = F.least(F.col("low") + (TILE + most - 2), F.col("length") - 1)
+    # before a text there is nothing to count
+    padded = F.concat(F.array_repeat(F.lit(None).cast("long"), F.greatest(-F.col("low"), F.lit(0))), F.slice("shingles", F.greatest("low", F.lit(0)) + 1, ends - F.greatest("low", F.lit(0)) + 1))
+    fields = lambda values: F.struct(*[v.alias(f"c{j}") for j, v in enumerate(values)])
+    tiled = tiled.withColumn("part", padded).drop("shingles")
+    tiled = tiled.withColumn("votes0", F.transform("part", lambda h: fields([F.coalesce(v, F.lit(0).cast("long")) for v in votes(h, lane)]))).drop("part")
+    levels = most.bit_length()
+    for k in range(1, levels):
+        below = F.col(f"votes{k - 1}")
+        added = F.zip_with(below, F.slice(below, (1 << (k - 1)) + 1, F.size(below)), lambda a, b: F.when(b.isNull(), a).otherwise(fields([a[f"c{j}"] + b[f"c{j}"] for j in range(lane)])))
+        tiled = tiled.withColumn(f"votes{k}", added)
+
+    sized = tiled.withColumn("n", F.explode("sizes")).drop("sizes")
+    first = F.greatest("low", -over(F.col("n")))
+    last = F.least(F.col("low") + (TILE - 1), F.greatest(F.col("length") - F.col("n") + over(F.col("n")), -over(F.col("n"))))
+    starts = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+    at = sized.withColumn("start", F.explode(starts))
+    summed = [F.when(F.col("n").bitwiseAND(F.lit(1 << k)) != 0, F.get(f"votes{k}", F.col("start") - F.col("low") + F.col("n").bitwiseAND(F.lit((1 << k) - 1)))) for k in range(levels)]
+    # the tile's arrays end here; used twice, this column isn't put into the lambda, where they would be copied for each window
+    at = at.select("key_a", "key_b", "n", "start", "length", F.array(*summed).alias("parts"))
+    none = fields([F.lit(0).cast("long")] * lane)
+    added = lambda c, b: F.when(b.isNull(), c).otherwise(fields([c[f"c{j}"] + b[f"c{j}"] for j in range(lane)]))
+    count = F.aggregate(F.slice("parts", 2, levels), F.coalesce(F.get("parts", 0), none), added)
+    counts = at.select("key_a", "key_b", "n", "start", "length", count.alias("counts"))
+    held = F.greatest(F.least(F.col("start") + F.col("n"), F.col("length")) - F.greatest("start", F.lit(0)), F.lit(0))
+    return counts.select("key_a", "key_b", "n", "start", majority([F.col("counts")[f"c{j}"] for j in range(lane)], held, lane).alias("mark"))
 
 
 def window_at(start: Column, n: Column, shingles: Column) -> Column:
@@ -141,7 +190,8 @@ def holders(docs: DataFrame, items: DataFrame, size: int = 5, percent: int = 80)
     first word counted from 0, and the weights shared and in total."""
     items = where_computed(with_shingles(items.select("item_id", "text"), size), "size(shingles) > 0")
     items = written(items.select("item_id", F.xxhash64("shingles").alias("item_key"), F.size("shingles").alias("n"), F.sort_array("shingles").alias("item")).dropDuplicates(["item_id", "item_key"]), "items")
-    lane = lane_for(items.agg(F.coalesce(F.max("n"), F.lit(1))).first()[0])
+    most = items.agg(F.coalesce(F.max("n"), F.lit(1))).first()[0]
+    lane = lane_for(most)
     shared = items.select("item_key", "n", F.explode("item").alias("shingle")).distinct()
 
     keyed = docs.select(*text_keys(F.col("text")), "text")
@@ -153,11 +203,7 @@ def holders(docs: DataFrame, items: DataFrame, size: int = 5, percent: int = 80)
     # what follows is much work for each text, so few of them make a task
     texts = written(with_shingles(texts, size).repartition(min(sizes.count() // TEXTS + 1, 100_000)), "texts")
 
-    sized = texts.select("key_a", "key_b", "shingles", F.explode("sizes").alias("n"))
-    over = F.floor(F.col("n") * (100 - percent) / 100).cast("int")
-    starts = F.sequence(-over, F.greatest(F.size("shingles") - F.col("n") + over, -over))
-    marks = F.transform(starts, lambda at: F.struct(at.alias("start"), simhash(window_at(at, F.col("n"), F.col("shingles")), lane).alias("mark")))
-    windows = sized.select("key_a", "key_b", "n", F.explode(marks).alias("w")).select("key_a", "key_b", "n", "w.*")
+    windows = marked_windows(texts, most, lane, percent)
     marked = items.select("item_key", "n", simhash(F.col("item"), lane).alias("item_mark")).distinct()
     near = written(candidates(windows, marked).drop("mark"), "candidates")
 

@@ -129,3 +129,18 @@ def test_simhash_is_the_majority_of_bits(spark):
         got = spark.createDataFrame([(hashes,)], "h array<long>").select(d.simhash(F.col("h"), lane)).first()[0]
         assert got % 2**64 == want, (n, lane)
     assert [d.lane_for(x) for x in (1, 127, 128, 32_767, 32_768)] == [8, 8, 16, 16, 32]
+
+
+def test_window_marks_are_those_of_each_window_alone(spark, monkeypatch):
+    """Marks from sums by doubling, over the borders of tiles and of texts."""
+    monkeypatch.setattr(d, "TILE", 7)
+    random.seed(3)
+    rows = [(i, i, [random.randrange(-(2**63), 2**63) for _ in range(n)], [1, 5, 12, 20]) for i, n in enumerate((1, 3, 11, 20, 45))]
+    got = d.marked_windows(spark.createDataFrame(rows, "key_a long, key_b long, shingles array<long>, sizes array<int>"), 20, 8, 80).collect()
+    want = {}
+    for i, _, hashes, sizes in rows:
+        for n in sizes:
+            for start in range(-(n // 5), max(len(hashes) - n + n // 5, -(n // 5)) + 1):
+                window = hashes[max(start, 0) : max(start + n, 0)]
+                want[i, n, start] = sum(1 << b for b in range(64) if sum(h >> b & 1 for h in window) * 2 > len(window))
+    assert len(got) == len(want) and {(r.key_a, r.n, r.start): r.mark % 2**64 for r in got} == want
