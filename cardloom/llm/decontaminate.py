@@ -31,6 +31,8 @@ an empty table gives an empty result; other columns may have any names.
 
 from __future__ import annotations
 
+import operator
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -129,15 +131,12 @@ def marked_windows(texts: DataFrame, most: int, lane: int, percent: int) -> Data
     last = F.least(F.col("low") + (TILE - 1), F.greatest(F.col("length") - F.col("n") + over(F.col("n")), -over(F.col("n"))))
     starts = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
     at = sized.withColumn("start", F.explode(starts))
-    summed = [F.when(F.col("n").bitwiseAND(F.lit(1 << k)) != 0, F.get(f"votes{k}", F.col("start") - F.col("low") + F.col("n").bitwiseAND(F.lit((1 << k) - 1)))) for k in range(levels)]
-    # the tile's arrays end here; used twice, this column isn't put into the lambda, where they would be copied for each window
-    at = at.select("key_a", "key_b", "n", "start", "length", F.array(*summed).alias("parts"))
-    none = fields([F.lit(0).cast("long")] * lane)
-    added = lambda c, b: F.when(b.isNull(), c).otherwise(fields([c[f"c{j}"] + b[f"c{j}"] for j in range(lane)]))
-    count = F.aggregate(F.slice("parts", 2, levels), F.coalesce(F.get("parts", 0), none), added)
-    counts = at.select("key_a", "key_b", "n", "start", "length", count.alias("counts"))
+    summed = [F.when(F.col("n").bitwiseAND(F.lit(1 << k)) != 0, F.get(f"votes{k}", F.col("start") - F.col("low") + F.col("n").bitwiseAND(F.lit((1 << k) - 1)))).alias(f"sum{k}") for k in range(levels)]
+    at = at.select("key_a", "key_b", "n", "start", "length", *summed)
+    count = lambda j: reduce(operator.add, [F.coalesce(F.col(f"sum{k}")[f"c{j}"], F.lit(0).cast("long")) for k in range(levels)])
+    counts = at.select("key_a", "key_b", "n", "start", "length", *[count(j).alias(f"c{j}") for j in range(lane)])
     held = F.greatest(F.least(F.col("start") + F.col("n"), F.col("length")) - F.greatest("start", F.lit(0)), F.lit(0))
-    return counts.select("key_a", "key_b", "n", "start", majority([F.col("counts")[f"c{j}"] for j in range(lane)], held, lane).alias("mark"))
+    return counts.select("key_a", "key_b", "n", "start", majority([F.col(f"c{j}") for j in range(lane)], held, lane).alias("mark"))
 
 
 def window_at(start: Column, n: Column, shingles: Column) -> Column:
