@@ -136,7 +136,9 @@ def marked_windows(texts: DataFrame, most: int, lane: int, percent: int) -> Data
     count = lambda j: reduce(operator.add, [F.coalesce(F.col(f"sum{k}")[f"c{j}"], F.lit(0).cast("long")) for k in range(levels)])
     counts = at.select("key_a", "key_b", "n", "start", "length", *[count(j).alias(f"c{j}") for j in range(lane)])
     held = F.greatest(F.least(F.col("start") + F.col("n"), F.col("length")) - F.greatest("start", F.lit(0)), F.lit(0))
-    return counts.select("key_a", "key_b", "n", "start", majority([F.col(f"c{j}") for j in range(lane)], held, lane).alias("mark"))
+    # never null, and said so: else the optimizer filters on it, far below, and makes each mark once more for that
+    mark = F.coalesce(majority([F.col(f"c{j}") for j in range(lane)], held, lane), F.lit(0).cast("long"))
+    return counts.select("key_a", "key_b", "n", "start", mark.alias("mark"))
 
 
 def window_at(start: Column, n: Column, shingles: Column) -> Column:

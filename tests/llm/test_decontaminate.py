@@ -144,3 +144,11 @@ def test_window_marks_are_those_of_each_window_alone(spark, monkeypatch):
                 window = hashes[max(start, 0) : max(start + n, 0)]
                 want[i, n, start] = sum(1 << b for b in range(64) if sum(h >> b & 1 for h in window) * 2 > len(window))
     assert len(got) == len(want) and {(r.key_a, r.n, r.start): r.mark % 2**64 for r in got} == want
+
+
+def test_marks_are_made_once(spark):
+    """No filter below the look-up makes the marks of windows once more."""
+    texts = spark.createDataFrame([(1, 1, [1, 2, 3], [2])], "key_a long, key_b long, shingles array<long>, sizes array<int>")
+    items = spark.createDataFrame([(1, 2, 3)], "item_key long, n int, item_mark long")
+    plan = d.candidates(d.marked_windows(texts, 2, 8, 80), items)._jdf.queryExecution().optimizedPlan().toString()
+    assert "votes1" in plan and not [line for line in plan.splitlines() if "Filter" in line and "votes1" in line]
