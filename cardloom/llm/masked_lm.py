@@ -284,34 +284,55 @@ def outputs(w: Weights, hidden: np.ndarray, target: np.ndarray) -> tuple[np.ndar
     left = [target // BASE ** (DIGITS - d) for d in range(DIGITS + 1)]
     wanted = np.stack([x % BASE for x in left[1:]], axis=1)
     rows = np.stack([start + x for start, x in zip(_ROWS, left, strict=False)], axis=1)[:, :DIGITS]
-    x = (hidden @ w["outer"]).reshape(-1, DIGITS, BASE) + w["bias"][rows]
+    x = (hidden @ w["outer"]).reshape(-1, DIGITS, BASE)
+    x += np.take(w["bias"], rows, axis=0)
     return np.exp(np.clip(x, -60, 60, out=x), out=x), wanted, rows
 
 
+def totals(x: np.ndarray) -> np.ndarray:
+    """Sums of the last of three axes, of ``BASE`` values: by halves, as ``sum`` adds them, but over the whole array at once."""
+    while x.shape[2] > 1:
+        x = x[:, :, ::2] + x[:, :, 1::2]
+    return x
+
+
+def spread(at: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    """The sums of the rows of values that have the same place."""
+    at, out = at.astype(np.intp), np.empty((size, values.shape[1]), np.float32)
+    for k, column in enumerate(np.ascontiguousarray(values.T, np.float64)):
+        out[:, k] = np.bincount(at, column, size)
+    return out
+
+
 def gradients(w: Weights, context: np.ndarray, target: np.ndarray) -> Weights:
     """Of the mean negative log-probability of ``target`` under ``context``."""
+    at, out = gradients_of_seen(w, context, target)
+    out["embed"], rows = np.zeros((CODES, WIDTH), np.float32), out["embed"]
+    out["embed"][at] = rows
+    return out
+
+
+def gradients_of_seen(w: Weights, context: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, Weights]:
+    """The codes in ``context``, and the gradients, of embeddings those of these codes alone."""
     n = len(target)
-    seen = w["embed"][context].reshape(n, -1)
+    seen = np.take(w["embed"], context, axis=0).reshape(n, -1)
     hidden = np.tanh(seen @ w["inner"] + w["inner_bias"])
     x, wanted, rows = outputs(w, hidden, target)
-    x /= x.sum(axis=2, keepdims=True)
-    errors = x.reshape(-1, BASE)
-    errors[np.arange(len(errors)), wanted.ravel()] -= 1
-    errors /= n
-    d = errors.reshape(n, -1)
+    x /= totals(x)
+    x.reshape(-1)[np.arange(0, x.size, BASE) + wanted.ravel()] -= 1
+    x /= n
+    d = x.reshape(n, -1)
     d_inner = (d @ w["outer"].T) * (1 - hidden**2)
     d_seen = (d_inner @ w["inner"].T).reshape(-1, WIDTH)
 
-    def spread(at: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
-        """The sums of the rows of values that have the same place."""
-        return np.stack([np.bincount(at, column, size) for column in np.ascontiguousarray(values.T)], axis=1)
-
-    return {
-        "embed": spread(context.ravel(), d_seen, CODES),
+    held = np.bincount(context.ravel(), minlength=CODES) > 0
+    at = np.flatnonzero(held)
+    return at, {
+        "embed": spread((np.cumsum(held) - 1)[context.ravel()], d_seen, len(at)),
         "inner": seen.T @ d_inner,
         "inner_bias": d_inner.sum(axis=0),
         "outer": hidden.T @ d,
-        "bias": spread(rows.ravel(), errors, _ROWS[-1]),
+        "bias": spread(rows.ravel(), x.reshape(-1, BASE), _ROWS[-1]),
     }
 
 
@@ -324,10 +345,10 @@ class Trainer:
 
     def learn(self, context: np.ndarray, target: np.ndarray) -> None:
         self.seen += len(target)
-        for k, g in gradients(self.weights, context, target).items():
+        codes, found = gradients_of_seen(self.weights, context, target)
+        for k, g in found.items():
             # words that aren't in the windows of these steps have no gradient
-            at = np.flatnonzero(np.bincount(context.ravel(), minlength=CODES)) if k == "embed" else slice(None)
-            g = g[at].astype(np.float32)
+            at = codes if k == "embed" else slice(None)
             square = self.square[k][at] + g * g
             self.square[k][at] = square
             self.weights[k][at] -= self.rate * g / np.sqrt(square)
@@ -404,10 +425,10 @@ def log_probabilities(w: Weights, text: np.ndarray, at: np.ndarray, chunk: int =
     out = np.empty(len(at))
     for start in range(0, len(at), chunk):
         here = at[start : start + chunk]
-        hidden = np.tanh(w["inner_bias"] + sum(table[text[here + k]] for table, k in zip(tables, _AROUND, strict=True)))
+        hidden = np.tanh(w["inner_bias"] + sum(np.take(table, text[here + k], axis=0) for table, k in zip(tables, _AROUND, strict=True)))
         x, wanted, _ = outputs(w, hidden, text[here])
-        chosen = np.take_along_axis(x, wanted[:, :, None], axis=2)[:, :, 0]
-        out[start : start + chunk] = np.log(chosen / x.sum(axis=2)).sum(axis=1)
+        chosen = x.reshape(-1)[np.arange(0, x.size, BASE) + wanted.ravel()].reshape(wanted.shape)
+        out[start : start + chunk] = np.log(chosen / totals(x)[:, :, 0]).sum(axis=1)
     return out
 
 

@@ -121,6 +121,21 @@ def test_gradients_are_those_of_the_loss():
         assert abs((up - down) / 2e-5 - g[at]) < 1e-6, k
 
 
+def test_sums_of_a_step_are_the_plain_ones():
+    """Sums by halves and by place give the bits of the plain sums, embeddings only for codes that are there."""
+    at_random = np.random.default_rng(2)
+    x = at_random.random((500, masked_lm.DIGITS, masked_lm.BASE)).astype(np.float32)
+    assert (masked_lm.totals(x) == x.sum(axis=2, keepdims=True)).all()
+    at, values = at_random.integers(0, 40, 300).astype(np.int32), at_random.random((300, 3)).astype(np.float32)
+    plain = np.zeros((50, 3))
+    np.add.at(plain, at, values)
+    assert (masked_lm.spread(at, values, 50) == plain.astype(np.float32)).all()
+    context, target = at_random.integers(0, 100, (20, 4)), at_random.integers(0, 100, 20)
+    codes, found = masked_lm.gradients_of_seen(masked_lm.fresh(), context, target)
+    whole = masked_lm.gradients(masked_lm.fresh(), context, target)["embed"]
+    assert (codes == np.unique(context)).all() and (found["embed"] == whole[codes]).all() and np.abs(whole).sum(axis=1).astype(bool).sum() == len(codes)
+
+
 def spelling(rare):
     """log p(word) from letters, three at a time, of all rare words."""
     fold = lambda w: [0, 0, *[int(masked_lm._LETTER[b]) for b in w], 0]
